@@ -30,6 +30,14 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transactions_from_events(events(spark, sf_dir)).drop("event_id")
 
 
+def transaction_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same transactions, read as a stream of files."""
+    schema = events(spark, sf_dir).schema
+    # a pattern, because a stream takes a folder or a pattern but no single file
+    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/events*.parquet")
+    return transactions_from_events(stream).drop("event_id")
+
+
 def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_log_from_events(events(spark, sf_dir), DEFAULT_TOPICS.raw).drop("event_id")
 

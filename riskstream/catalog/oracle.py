@@ -400,6 +400,16 @@ enriched AS (
   FROM tx t LEFT JOIN profiles p ON p.merchant_id = t."merchantId"
 )"""
 
+
+
+def _closed_stats(size: int, key: str, delay: int) -> str:
+    """Windows that a stream has finished when its input ends."""
+    return (
+        _stats_cte(size, key)
+        + f',\ndone AS (SELECT * FROM stats WHERE "windowEnd" <= (SELECT max("eventTime") - {delay} FROM tx))'
+    )
+
+
 ORACLE: dict[str, str] = {
     "transactions": _with(select=f'SELECT {_COLS}, "partition", "offset" FROM tx'),
     "parsed_transactions": _with(
@@ -534,4 +544,13 @@ incoming AS (
         select="SELECT count(*) AS records, f.field, CAST(0 AS BIGINT) AS nulls FROM log, "
         "(VALUES ('eventId'), ('userId'), ('eventTime'), ('amount')) f(field) WHERE reason IS NULL GROUP BY f.field",
     ),
+    "stream_aggregates": _with(_closed_stats(_MINUTE, _KEY, 40_000), select=_aggregate("done")),
+    "stream_user_bursts": _with(_closed_stats(_DAY, _USER, 40_000), select=_bursts("done")),
+    "stream_merchant_anomalies": _with(_closed_stats(_DAY, _MERCHANT, 40_000), select=_anomalies("done")),
+    "stream_sql_aggregates": _with(
+        select=f'SELECT * FROM ({_sql_aggregate("tx", _MINUTE)}) '
+        'WHERE "windowEnd" <= (SELECT max("eventTime") - 10000 FROM tx)'
+    ),
+    "stream_high_risk_alerts": _with(select=_high_risk("tx")),
+    "stream_emissions": _with(_LATE_DAY, _emissions(_MERCHANT), select="SELECT * FROM emission_stats"),
 }

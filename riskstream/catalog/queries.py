@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,9 +12,11 @@ from riskstream.catalog import inputs as I
 from riskstream.config import DAY, DEFAULT_TOPICS, MINUTE
 from riskstream.functions import expressions as E
 from riskstream.operators import aggregates, alerts, changelog, contracts, emissions, enrich, late, parse, replay, topics
+from riskstream.plans.lookup import ensure_checkpoint_dir
 from riskstream.plans.sql import sql_aggregates
 from riskstream.schemas import AGGREGATE, ALERT, TRANSACTION_FIELDS
 from riskstream.sources import sinks
+from riskstream.streaming import exact, ingest, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -314,3 +317,55 @@ def topic_head(spark, sf_dir):
 def contract_nulls(spark, sf_dir):
     valid = parse.valid_transactions(parse.parse_transactions(I.raw_log(spark, sf_dir)))
     return contracts.null_report(contracts.assert_contract(valid, "transactions.raw-value"), "transactions.raw-value")
+
+
+# --- streams: run until the tables are read, then give the sink's table
+
+
+def _run(results: DataFrame, folder: str | None = None) -> DataFrame:
+    spark = results.sparkSession
+    folder = folder or _scratch(spark)
+    query = sinks.start_file_sink(results, f"{folder}/results", f"{folder}/checkpoint", available_now=True)
+    query.awaitTermination()
+    return spark.read.schema(results.schema).parquet(f"{folder}/results")
+
+
+def _scratch(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark)}/{uuid.uuid4()}"
+
+
+@query
+def stream_aggregates(spark, sf_dir):
+    return _run(windows.stream_aggregates(I.transaction_stream(spark, sf_dir)))
+
+
+@query
+def stream_user_bursts(spark, sf_dir):
+    return _run(windows.stream_user_bursts(I.transaction_stream(spark, sf_dir), DAY))
+
+
+@query
+def stream_merchant_anomalies(spark, sf_dir):
+    return _run(windows.stream_merchant_anomalies(I.transaction_stream(spark, sf_dir), DAY))
+
+
+@query
+def stream_sql_aggregates(spark, sf_dir):
+    results = windows.stream_sql_aggregates(I.transaction_stream(spark, sf_dir))
+    return _millis(_run(results), "windowStart", "windowEnd")
+
+
+@query
+def stream_high_risk_alerts(spark, sf_dir):
+    return _run(alerts.high_risk_alerts(I.transaction_stream(spark, sf_dir)))
+
+
+@query
+def stream_emissions(spark, sf_dir):
+    """The repeated results of windows, from state instead of one batch plan."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", exact.ROCKSDB)
+    folder = _scratch(spark)
+    landed = late.events_in_time(_stamped(spark, sf_dir), I.LATE_SPEC).withColumn("topic", F.lit(DEFAULT_TOPICS.raw))
+    landed.select(*ingest.LANDED_SCHEMA.fieldNames()).write.parquet(f"{folder}/{ingest.LANDED}")
+    rows = ingest.landed_stream(spark, folder)
+    return _run(exact.exact_emissions(rows, E.merchant_key(), I.LATE_SPEC), folder)
