@@ -28,14 +28,19 @@ def window_start(spec: WindowSpec) -> Column:
     return F.col("eventTime") - F.pmod(F.col("eventTime"), F.lit(spec.size_ms))
 
 
-def is_closed(spec: WindowSpec, watermark: Column = F.col("watermark")) -> Column:
+def _passed(spec: WindowSpec, extra_ms: int) -> Column:
+    """The watermark of the row has reached the last instant of its window + extra."""
+    return F.coalesce(F.col("watermark") >= window_start(spec) + (spec.size_ms - 1 + extra_ms), F.lit(False))
+
+
+def is_closed(spec: WindowSpec) -> Column:
     """The window of the row had fired before the row came."""
-    return F.coalesce(watermark >= window_start(spec) + (spec.size_ms - 1), F.lit(False))
+    return _passed(spec, 0)
 
 
-def is_late(spec: WindowSpec, watermark: Column = F.col("watermark")) -> Column:
+def is_late(spec: WindowSpec) -> Column:
     """The window of the row no longer took rows when the row came."""
-    return is_closed(spec, watermark - F.lit(spec.allowed_lateness_ms))
+    return _passed(spec, spec.allowed_lateness_ms)
 
 
 def batch_watermarks(rows: DataFrame, spec: WindowSpec = MINUTE) -> DataFrame:
