@@ -363,7 +363,7 @@ commits AS (
 ),
 statistics AS (
   SELECT t.topic, b."partition", CASE WHEN b.high IS NULL THEN 0 ELSE 1 END AS available,
-    greatest(high - low, 0) AS messages, high AS "logEndOffset",
+    CASE WHEN high IS NOT NULL THEN greatest(high - low, 0) END AS messages, high AS "logEndOffset",
     CASE WHEN committed IS NOT NULL THEN greatest(high - committed, 0) END AS lag
   FROM (VALUES ('transactions.raw'), ('transactions.replay'), ('transactions.aggregates'),
       ('transactions.aggregates.sql'), ('alerts.fraud'), ('transactions.dlq'), ('merchant_risk_profiles')) t(topic)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskstream import config as cfg
@@ -12,6 +12,19 @@ from riskstream.schemas import TRANSACTION_FIELDS
 JSON_WRITE = {"ignoreNullFields": "false"}
 
 
+def computed_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """The frame with costly columns added, each evaluated once per row.
+
+    Spark pushes filters down by copying the expressions they use, and merges
+    projections in the same way. It does not do so across an explode, here of an
+    array of one struct. The struct is made before the explode, in a projection,
+    which Spark compiles better than the arguments of a generator.
+    """
+    row = F.struct(*[column.alias(name) for name, column in columns.items()])
+    made = df.withColumn("_row", row)
+    return made.withColumn("_once", F.explode(F.array("_row"))).select(*df.columns, "_once.*")
+
+
 def is_blank(value: Column) -> Column:
     """Null, empty or made of (Unicode) white space only."""
     return value.isNull() | ~value.rlike(r"\P{javaWhitespace}")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskstream.functions.expressions import computed_once
 from riskstream.schemas import PROFILE, PROFILE_CHANGE
 
 DELETE = "d"
@@ -17,10 +18,8 @@ def read_changes(log: DataFrame) -> DataFrame:
     wire = ", ".join(
         f"{names.get(f.name, f.name)} {f.dataType.simpleString()}" for f in PROFILE_CHANGE.fields
     )
-    text = F.col("value").cast("string")
-    rows = log.filter(F.col("value").isNotNull()).select(
-        "partition", "offset", F.explode(F.array(F.from_json(text, wire))).alias("r")
-    )
+    texts = log.filter(F.col("value").isNotNull()).select("partition", "offset", "value")
+    rows = computed_once(texts, {"r": F.from_json(F.col("value").cast("string"), wire)})
     fields = [F.col(f"r.{names.get(f.name, f.name)}").alias(f.name) for f in PROFILE_CHANGE.fields]
     return rows.select("partition", "offset", *fields).filter(F.col("merchant_id").isNotNull())
 

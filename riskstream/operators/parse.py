@@ -7,7 +7,7 @@ are filters over it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,78 +31,88 @@ _AS_TEXT = T.StructType(
 )
 _AS_VARIANT = T.StructType([T.StructField(name, T.VariantType()) for name in TRANSACTION_FIELDS])
 
-_NUMBER_KIND = "^(BIGINT|DECIMAL|DOUBLE|FLOAT)"
-_CONTAINER_KIND = "^(OBJECT|ARRAY)"
+NUMBER_KIND = "^(BIGINT|DECIMAL|DOUBLE|FLOAT)"
+CONTAINER_KIND = "^(OBJECT|ARRAY)"
 
 # fixed values: the texts for non-finite numbers that are read from JSON strings
-_NON_FINITE = ("NaN", "INF", "Infinity", "-INF", "-Infinity")
+_NON_FINITE = "('NaN', 'INF', 'Infinity', '-INF', '-Infinity')"
 
+# The expressions below are SQL text: `_text.x` is the field as text, `_typed.x`
+# the field as a variant, which exists for rows marked `_ambiguous` only.
 
-def _kind(field: str) -> Column:
-    """JSON type of a field; only rows marked ambiguous have one."""
-    return F.coalesce(F.schema_of_variant(F.col(f"_typed.{field}")), F.lit(""))
 
+def json_kind(field: str) -> str:
+    return f"coalesce(schema_of_variant(_typed.{field}), '')"
 
-def _is_empty(text: Column) -> Column:
-    return text.isNull() | (F.trim(text) == "") | (text == "null")
 
+def _is_empty(text: str) -> str:
+    return f"{text} IS NULL OR trim({text}) = '' OR {text} = 'null'"
 
-def _to_double(field: str) -> Column:
+
+def _double(field: str) -> str:
     """0.0 for a missing value, null for one that is no number."""
-    text = F.col(f"_text.{field}")
-    number = text.try_cast("double")
-    infinity = float("inf")
-    return (
-        F.when(F.abs(number) < infinity, number)
-        .when(_is_empty(text), F.lit(0.0))
-        .when(F.trim(text).isin(*_NON_FINITE), number)
-        .when(text == '"Infinity"', F.lit(infinity))
-        .when(text == '"-Infinity"', F.lit(-infinity))
-    )
+    text = f"_text.{field}"
+    return f"""CASE
+        WHEN abs(try_cast({text} AS DOUBLE)) < double('Infinity') THEN try_cast({text} AS DOUBLE)
+        WHEN {_is_empty(text)} THEN 0D
+        WHEN trim({text}) IN {_NON_FINITE} THEN try_cast({text} AS DOUBLE)
+        WHEN {text} IN ('"Infinity"', '"-Infinity"') THEN try_cast(trim(BOTH '"' FROM {text}) AS DOUBLE)
+        END"""
 
 
-def _to_integer(field: str, kind: str) -> Column:
-    """0 for a missing value, null for one that is no integer. JSON numbers with
-    a fraction or exponent are cut off; JSON strings must hold an integer."""
-    text = F.col(f"_text.{field}")
-    number = text.try_cast(kind)
-    return (
-        F.when(number.isNotNull(), number)
-        .when(_is_empty(text), F.lit(0).cast(kind))
-        .when(_kind(field).rlike(_NUMBER_KIND), text.try_cast("double").try_cast(kind))
-    )
+def _integer(field: str, kind: str, missing: str = "0") -> str:
+    """Null for a value that is no integer. JSON numbers with a fraction or
+    exponent are cut off; JSON strings must hold an integer."""
+    text = f"_text.{field}"
+    return f"""CASE
+        WHEN try_cast({text} AS {kind}) IS NOT NULL THEN try_cast({text} AS {kind})
+        WHEN {_is_empty(text)} THEN CAST({missing} AS {kind})
+        WHEN {json_kind(field)} RLIKE '{NUMBER_KIND}' THEN try_cast(try_cast({text} AS DOUBLE) AS {kind})
+        END"""
 
 
-def _is_ambiguous() -> Column:
-    """Text alone does not tell "35.7" from 35.7, nor "{x" from an object."""
-    checks = [F.col(f"_text.{f}").startswith("{") | F.col(f"_text.{f}").startswith("[") for f in TEXT_FIELDS]
-    for field in TRANSACTION.fields:
-        if isinstance(field.dataType, (T.LongType, T.IntegerType)):
-            text = F.col(f"_text.{field.name}")
-            checks.append(text.try_cast(field.dataType).isNull())
-    found = F.lit(False)
-    for check in checks:
-        found = found | F.coalesce(check, F.lit(False))
-    return found
+def _any(*conditions: str) -> str:
+    return "coalesce(" + " OR ".join(f"({c})" for c in conditions) + ", false)"
+
 
+def starts_container(field: str) -> str:
+    return f"coalesce(startswith(_text.{field}, '{{') OR startswith(_text.{field}, '['), false)"
 
-def read_fields(log: DataFrame) -> DataFrame:
-    """The log with `rawValue`, the field texts `_text` and a `_malformed` flag.
+
+def holds_container(*fields: str) -> str:
+    """A field is an object or list, unlike a string that only begins like one."""
+    return _any(*[f"{json_kind(f)} RLIKE '{CONTAINER_KIND}'" for f in fields])
+
+
+# Text alone does not tell "35.7" from 35.7, nor "{x" from an object.
+_AMBIGUOUS = _any(
+    *[starts_container(f) for f in TEXT_FIELDS],
+    *[
+        f"coalesce(_text.{f.name} IS NOT NULL AND try_cast(_text.{f.name} AS {f.dataType.simpleString()}) IS NULL, false)"
+        for f in TRANSACTION.fields
+        if isinstance(f.dataType, (T.LongType, T.IntegerType))
+    ],
+)
+
+
+def read_fields(rows: DataFrame, ambiguous: str = _AMBIGUOUS) -> DataFrame:
+    """Rows with JSON text in `rawValue`, plus the field texts `_text` and a
+    `_malformed` flag.
 
     Each record is read once, as text. A second, typed read (`_typed`) happens
-    only for the few records whose texts are ambiguous. The one-element explode
-    keeps filters on the fields above the read; pushed below it they would bring
-    a second copy of it.
+    only for the few records whose texts are ambiguous.
     """
-    raw = log.withColumn("rawValue", F.coalesce(F.col("value").cast("string"), F.lit("")))
-    read = raw.withColumn("_text", F.explode(F.array(F.from_json("rawValue", _AS_TEXT, JSON_READ))))
-    malformed = F.col("_text").isNull() | F.col(f"_text.{_CORRUPT}").isNotNull()
-    flagged = read.withColumn("_malformed", malformed).withColumn(
-        "_ambiguous", ~F.col("_malformed") & _is_ambiguous()
+    read = E.computed_once(rows, {"_text": F.from_json("rawValue", _AS_TEXT, JSON_READ)})
+    flagged = read.withColumn("_malformed", F.expr(f"_text IS NULL OR _text.{_CORRUPT} IS NOT NULL")).withColumn(
+        "_ambiguous", F.expr(f"NOT _malformed AND ({ambiguous})")
     )
     return flagged.withColumn("_typed", F.when(F.col("_ambiguous"), F.from_json("rawValue", _AS_VARIANT, JSON_READ)))
 
 
+def _raw_values(log: DataFrame) -> DataFrame:
+    return log.withColumn("rawValue", F.expr("coalesce(CAST(value AS STRING), '')"))
+
+
 def parse_transactions(log: DataFrame) -> DataFrame:
     """Parse and check a log of JSON texts.
 
@@ -110,31 +120,20 @@ def parse_transactions(log: DataFrame) -> DataFrame:
     transaction fields, `event_ts`, and `reason`, which is null for a good row.
     """
     lineage = [c for c in log.columns if c not in ("key", "value")]
-    typed = read_fields(log)
-    wrong_kind = F.lit(False)
-    for field in TEXT_FIELDS:
-        wrong_kind = wrong_kind | _kind(field).rlike(_CONTAINER_KIND)
-    values = {}
-    for field in TRANSACTION.fields:
-        if isinstance(field.dataType, T.StringType):
-            values[field.name] = F.col(f"_text.{field.name}")
-        elif isinstance(field.dataType, T.DoubleType):
-            values[field.name] = _to_double(field.name)
-        else:
-            values[field.name] = _to_integer(field.name, field.dataType.simpleString())
-    parsed = typed.select(
+    kinds = {f.name: f.dataType.simpleString() for f in TRANSACTION.fields}
+    values = {
+        name: f"_text.{name}" if kind == "string" else _double(name) if kind == "double" else _integer(name, kind)
+        for name, kind in kinds.items()
+    }
+    parsed = read_fields(_raw_values(log)).select(
         *lineage,
         "rawValue",
-        (F.col("_malformed") | (F.col("_ambiguous") & wrong_kind)).alias("_malformed"),
-        *[value.alias(name) for name, value in values.items()],
+        F.expr(f"_malformed OR (_ambiguous AND {holds_container(*TEXT_FIELDS)})").alias("_malformed"),
+        *[F.expr(value).alias(name) for name, value in values.items()],
     )
-
-    no_number = F.lit(False)
-    for field in TRANSACTION.fields:
-        if not isinstance(field.dataType, T.StringType):
-            no_number = no_number | F.col(field.name).isNull()
+    no_number = _any(*[f"{name} IS NULL" for name, kind in kinds.items() if kind != "string"])
     reason = (
-        F.when(F.col("_malformed") | no_number, cfg.REASON_MALFORMED)
+        F.when(F.expr(f"_malformed OR {no_number}"), cfg.REASON_MALFORMED)
         .when(E.is_blank(F.col("eventId")), cfg.REASON_EVENT_ID)
         .when(E.is_blank(F.col("userId")), cfg.REASON_USER_ID)
         .when(~F.col("eventTime").between(1, cfg.MAX_EPOCH_MILLIS), cfg.REASON_EVENT_TIME)
@@ -171,18 +170,15 @@ def read_transactions_leniently(log: DataFrame) -> DataFrame:
     """The source of the SQL aggregate: unreadable records are dropped, unreadable
     fields are null, nothing is checked and nothing is quarantined."""
     lineage = [c for c in log.columns if c not in ("key", "value")]
-    typed = read_fields(log).filter(~F.col("_malformed"))
     columns = []
     for field in TRANSACTION.fields:
-        text = F.col(f"_text.{field.name}")
-        kind = field.dataType.simpleString()
+        kind, text = field.dataType.simpleString(), f"_text.{field.name}"
         if kind == "string":
             value = text
         elif kind == "double":
-            value = text.try_cast(kind)
+            value = f"try_cast({text} AS DOUBLE)"
         else:
-            cut = F.when(_kind(field.name).rlike(_NUMBER_KIND), text.try_cast("double").try_cast(kind))
-            value = F.coalesce(text.try_cast(kind), cut)
-        columns.append(value.alias(field.name))
-    fields = typed.select(*lineage, *columns)
+            value = _integer(field.name, kind, missing="NULL")
+        columns.append(F.expr(value).alias(field.name))
+    fields = read_fields(_raw_values(log)).filter("NOT _malformed").select(*lineage, *columns)
     return fields.withColumn("event_ts", E.event_timestamp(F.col("eventTime")))

@@ -17,45 +17,53 @@ from pyspark.sql import types as T
 from riskstream import config as cfg
 from riskstream.functions import expressions as E
 from riskstream.functions import rules as R
-from riskstream.operators.parse import JSON_READ
-from riskstream.schemas import DLQ, TEXT_FIELDS, TRANSACTION, TRANSACTION_FIELDS
+from riskstream.operators.parse import (
+    JSON_READ,
+    NUMBER_KIND,
+    holds_container,
+    json_kind,
+    read_fields,
+    starts_container,
+)
+from riskstream.schemas import DLQ, TEXT_FIELDS, TRANSACTION_FIELDS
 
 REPAIRED, DROPPED, UNRECOVERABLE = "repaired", "dropped", "unrecoverable"
 REPLAYED_AT = "replayedFromDlqAt"
 
 _CORRUPT = JSON_READ["columnNameOfCorruptRecord"]
 _RECORD = T.StructType([T.StructField(f.name, f.dataType) for f in DLQ.fields] + [T.StructField(_CORRUPT, T.StringType())])
-_FIELDS = T.StructType([T.StructField(name, T.VariantType()) for name in TRANSACTION_FIELDS])
 _MEMBERS = T.MapType(T.StringType(), T.VariantType())
 
-# JSON texts that count as "no value"
-_EMPTY_JSON = r'^(null|""|false|\[\]|\{\}|-?0+(\.0*)?([eE].*)?)$'
-_DECIMAL_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
-_INTEGER_TEXT = r"^\s*[+-]?\d+\s*$"
+_DECIMAL_TEXT = r"^\\s*[+-]?(\\d+\\.?\\d*|\\.\\d+)([eE][+-]?\\d+)?\\s*$"
+_INTEGER_TEXT = r"^\\s*[+-]?\\d+\\s*$"
+# texts of JSON values that count as "no value", unless they are JSON strings
+_EMPTY_TEXT = r"^(false|\\[\\]|\\{\\}|-?0+(\\.0*)?([eE].*)?)$"
 
+_NUMBERS = {"amount": _DECIMAL_TEXT, "mlFraudScore": _DECIMAL_TEXT, "ipRisk": _INTEGER_TEXT}
 
-def _json(field: str) -> Column:
-    return F.to_json(F.col(f"_field.{field}"))
+# the records whose field texts do not tell enough, see parse.read_fields
+_AMBIGUOUS = " OR ".join(
+    [starts_container(f) for f in TEXT_FIELDS]
+    + [f"coalesce(_text.{f} RLIKE '{_EMPTY_TEXT}', false)" for f in TEXT_FIELDS]
+    + [f"coalesce(NOT _text.{f} RLIKE '{pattern}', false)" for f, pattern in _NUMBERS.items()]
+)
 
 
-def _kind(field: str) -> Column:
-    return F.schema_of_variant(F.col(f"_field.{field}"))
-
-
-def _as_text(field: str) -> Column:
-    return F.try_variant_get(F.col(f"_field.{field}"), "$", "string")
+def _number(field: str, kind: str) -> str:
+    """0 for a missing field; null where the value is null or no number."""
+    text, json = f"_text.{field}", json_kind(field)
+    return f"""CASE
+        WHEN {text} IS NULL AND NOT array_contains(_names, '{field}') THEN CAST(0 AS {kind})
+        WHEN {text} RLIKE '{_NUMBERS[field]}' THEN try_cast(trim({text}) AS {kind})
+        WHEN {json} = 'BOOLEAN' THEN CAST({text} = 'true' AS {kind})
+        WHEN {json} RLIKE '{NUMBER_KIND}' THEN try_cast(try_cast({text} AS DOUBLE) AS {kind})
+        END"""
 
 
-def _number(field: str, kind: str, text_pattern: str) -> Column:
-    """0 for a missing field; null where the value is null or no number."""
-    text = _as_text(field)
-    flag = F.when(text == "true", F.lit(1)).otherwise(F.lit(0)).cast(kind)
-    return (
-        F.when(~F.map_contains_key("_members", F.lit(field)), F.lit(0).cast(kind))
-        .when(_kind(field) == "BOOLEAN", flag)
-        .when(_kind(field) == "STRING", F.when(text.rlike(text_pattern), F.trim(text).try_cast(kind)))
-        .when(_kind(field).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)"), text.try_cast("double").try_cast(kind))
-    )
+def _is_empty(field: str) -> str:
+    text = f"_text.{field}"
+    return f"""(coalesce({text}, '') = ''
+        OR (_ambiguous AND {json_kind(field)} <> 'STRING' AND {text} RLIKE '{_EMPTY_TEXT}'))"""
 
 
 def repair(dlq_log: DataFrame, now: int | None = None, only_replayable: bool = False) -> DataFrame:
@@ -65,86 +73,73 @@ def repair(dlq_log: DataFrame, now: int | None = None, only_replayable: bool = F
 
     `now` (epoch millis) becomes the event time and the replay time.
     """
-    read = dlq_log.select(
-        "partition",
-        "offset",
-        F.explode(F.array(F.from_json(F.col("value").cast("string"), _RECORD, JSON_READ))).alias("_record"),
-    )
-    record = read.select(
+    log = dlq_log.select("partition", "offset", F.col("value").cast("string").alias("value"))
+    read = E.computed_once(log, {"_record": F.from_json("value", _RECORD, JSON_READ)})
+    record = read.selectExpr(
         "partition",
         "offset",
-        F.col("_record.errorType").alias("errorType"),
-        F.col("_record.rawValue").alias("rawValue"),
-        (F.col("_record").isNotNull() & F.col(f"_record.{_CORRUPT}").isNull()).alias("_readable"),
+        "_record.errorType AS errorType",
+        "_record.rawValue AS rawValue",
+        f"_record IS NOT NULL AND _record.{_CORRUPT} IS NULL AND coalesce(_record.rawValue, '') <> '' AS _has_text",
     )
     if only_replayable:
         record = record.filter(R.is_replayable(F.col("errorType")))
-    opened = record.withColumn("_members", F.from_json("rawValue", _MEMBERS, JSON_READ)).withColumn(
-        "_field", F.explode(F.array(F.from_json("rawValue", _FIELDS, JSON_READ)))
-    )
 
-    is_json = F.try_parse_json("rawValue").isNotNull()  # a duplicate key alone makes this null
-    no_text = ~F.col("_readable") | F.col("rawValue").isNull() | (F.col("rawValue") == "")
-    no_object = F.col("_members").isNull()
-    amount = _number("amount", "double", _DECIMAL_TEXT)
-    score = _number("mlFraudScore", "double", _DECIMAL_TEXT)
-    ip_risk = _number("ipRisk", "int", _INTEGER_TEXT)
-    finite = F.abs(F.col("_amount")) < float("inf")
-    finite_score = F.abs(F.col("_score")) < float("inf")
-    nested = F.lit(False)
-    for field in TEXT_FIELDS:
-        nested = nested | (
-            F.coalesce(_kind(field).rlike("^(OBJECT|ARRAY)"), F.lit(False)) & ~_json(field).isin("{}", "[]")
-        )
-
-    valued = opened.withColumns(
-        {"_amount": amount, "_score": score, "_ip_risk": ip_risk, "_nested": nested, "_is_json": is_json}
+    # one scan for the names; the members are read only where some are undeclared
+    named = read_fields(record, _AMBIGUOUS).withColumn("_names", F.expr("json_object_keys(rawValue)"))
+    declared = ", ".join(f"'{name}'" for name in [*TRANSACTION_FIELDS, REPLAYED_AT])
+    nested = " OR ".join(f"({holds_container(f)} AND NOT {_is_empty(f)})" for f in TEXT_FIELDS)
+    values = E.computed_once(
+        named.drop("errorType"),
+        {
+            "_is_object": F.expr("NOT _malformed AND _names IS NOT NULL"),
+            "_has_extra": F.expr(f"size(array_except(_names, array({declared}))) > 0"),
+            "_nested": F.expr(nested),
+            "amount": F.expr(_number("amount", "double")),
+            "mlFraudScore": F.expr(_number("mlFraudScore", "double")),
+            "ipRisk": F.expr(_number("ipRisk", "int")),
+            **{f: F.expr(f"CASE WHEN NOT {_is_empty(f)} THEN _text.{f} END") for f in TEXT_FIELDS},
+        },
     )
+
+    def is_finite(field: str) -> Column:
+        return F.expr(f"coalesce(abs({field}) < double('Infinity'), false)")
+
     problem = (
-        F.when(no_text, F.lit(None).cast("string"))
-        .when(no_object & F.col("_is_json"), "not a JSON object")
-        .when(no_object, F.lit(None).cast("string"))
+        F.when(~F.col("_has_text"), F.lit(None).cast("string"))
+        .when(~F.col("_is_object"), F.when(F.try_parse_json("rawValue").isNotNull(), "not a JSON object"))
         .when(F.col("_nested"), "a text field holds an object or a list")
-        .when(~F.coalesce(finite, F.lit(False)), "amount is no number")
-        .when(~F.coalesce(finite_score, F.lit(False)), "mlFraudScore is no number")
-        .when(F.col("_ip_risk").isNull(), "ipRisk is no integer")
+        .when(~is_finite("amount"), "amount is no number")
+        .when(~is_finite("mlFraudScore"), "mlFraudScore is no number")
+        .when(F.col("ipRisk").isNull(), "ipRisk is no integer")
     )
-    instant = E.now_millis(now)
-    values = {
-        "eventId": _text_or(
-            "eventId", F.concat_ws("-", F.lit(cfg.REPLAY_ID_PREFIX.rstrip("-")), "partition", "offset")
-        ),
-        **{name: _text_or(name, F.lit(default)) for name, default in cfg.REPLAY_DEFAULTS.items()},
-        "eventTime": instant,
-        "amount": F.greatest(F.col("_amount"), F.lit(0.0)),
-        "mlFraudScore": F.col("_score"),
-        "ipRisk": F.col("_ip_risk"),
-    }
-    declared = [*TRANSACTION_FIELDS, REPLAYED_AT]
-    undeclared = F.map_filter("_members", lambda name, _: ~name.isin(*declared))
     status = (
         F.when(F.col("problem").isNotNull(), UNRECOVERABLE)
-        .when(no_text | no_object, DROPPED)
-        .otherwise(REPAIRED)
+        .when(F.col("_has_text") & F.col("_is_object"), REPAIRED)
+        .otherwise(DROPPED)
     )
-    tagged = valued.withColumn("problem", problem).withColumn("status", status)
-    return tagged.select(
+    defaults = {name: F.lit(text) for name, text in cfg.REPLAY_DEFAULTS.items()}
+    defaults["eventId"] = F.concat(F.lit(cfg.REPLAY_ID_PREFIX), "partition", F.lit("-"), "offset")
+    fields = {
+        **{name: F.coalesce(F.col(name), default) for name, default in defaults.items()},
+        "eventTime": E.now_millis(now),
+        "amount": F.greatest(F.col("amount"), F.lit(0.0)),
+    }
+    undeclared = F.map_filter(
+        F.from_json("rawValue", _MEMBERS, JSON_READ), lambda name, _: ~name.isin(*TRANSACTION_FIELDS, REPLAYED_AT)
+    )
+    return values.withColumn("problem", problem).select(
         "partition",
         "offset",
-        "status",
+        status.alias("status"),
         "problem",
         "rawValue",
-        *[values[f.name].cast(f.dataType).alias(f.name) for f in TRANSACTION.fields],
-        instant.alias(REPLAYED_AT),
-        F.when(~no_object, F.to_json(undeclared)).alias("extra"),
+        *[fields.get(name, F.col(name)).alias(name) for name in TRANSACTION_FIELDS],
+        E.now_millis(now).alias(REPLAYED_AT),
+        F.when(F.col("_has_extra"), F.to_json(undeclared)).otherwise("{}").alias("extra"),
     )
 
 
-def _text_or(field: str, fallback: Column) -> Column:
-    empty = F.coalesce(_json(field).rlike(_EMPTY_JSON), F.lit(True))
-    return F.when(empty, fallback).otherwise(_as_text(field))
-
-
 def repaired(tagged: DataFrame, already_replayed: DataFrame | None = None) -> DataFrame:
     """The rows to replay; `already_replayed` (partition, offset) leaves out those
     that an earlier run has sent."""

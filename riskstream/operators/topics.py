@@ -32,7 +32,7 @@ def topic_statistics(log: DataFrame, committed: DataFrame, topics: Topics = DEFA
             "topic",
             "partition",
             F.when(F.col("high").isNotNull(), 1).otherwise(0).alias("available"),
-            F.greatest(F.col("high") - F.col("low"), F.lit(0)).alias("messages"),
+            F.when(F.col("high").isNotNull(), F.greatest(F.col("high") - F.col("low"), F.lit(0))).alias("messages"),
             F.col("high").alias("logEndOffset"),
             F.when(F.col("committed").isNotNull(), F.greatest(F.col("high") - F.col("committed"), F.lit(0))).alias(
                 "lag"
