@@ -442,6 +442,17 @@ ORACLE: dict[str, str] = {
         f" UNION ALL SELECT {_ALERT_COLS} FROM ({_bursts('users')})"
         f" UNION ALL SELECT {_ALERT_COLS} FROM ({_anomalies('merchants')})",
     ),
+    "fraud_alerts_of_landed_log": _with(
+        _RAW,
+        # two topics make one log: partition p of the first one becomes 2p
+        """
+valid AS (SELECT * REPLACE (CAST("partition" * 2 AS INT) AS "partition") FROM log WHERE reason IS NULL)""",
+        f"\nusers AS ({_stats('valid', _USER, _DAY)}\n)",
+        f"\nmerchants AS ({_stats('valid', _MERCHANT, _DAY)}\n)",
+        select=f"SELECT {_ALERT_COLS} FROM ({_high_risk('valid')})"
+        f" UNION ALL SELECT {_ALERT_COLS} FROM ({_bursts('users')})"
+        f" UNION ALL SELECT {_ALERT_COLS} FROM ({_anomalies('merchants')})",
+    ),
     "alert_json": _with(select=f'SELECT {_ALERT_JSON} AS "value" FROM ({_high_risk("tx")})'),
     "aggregates_minute": _with(_stats_cte(_MINUTE, _KEY), select=_aggregate("stats")),
     "aggregates_daily": _with(_stats_cte(_DAY, _KEY), select=_aggregate("stats")),

@@ -12,6 +12,7 @@ from riskstream.catalog import inputs as I
 from riskstream.config import DAY, DEFAULT_TOPICS, MINUTE
 from riskstream.functions import expressions as E
 from riskstream.operators import aggregates, alerts, changelog, contracts, emissions, enrich, late, parse, replay, topics
+from riskstream.plans import pipeline
 from riskstream.plans.lookup import ensure_checkpoint_dir
 from riskstream.plans.sql import sql_aggregates
 from riskstream.schemas import AGGREGATE, ALERT, TRANSACTION_FIELDS
@@ -319,6 +320,14 @@ def contract_nulls(spark, sf_dir):
     return contracts.null_report(contracts.assert_contract(valid, "transactions.raw-value"), "transactions.raw-value")
 
 
+# --- everything from one landed parse
+
+
+@query
+def fraud_alerts_of_landed_log(spark, sf_dir):
+    return pipeline.analyze_log(I.raw_log(spark, sf_dir), _scratch(spark), DAY).alerts
+
+
 # --- streams: run until the tables are read, then give the sink's table
 
 

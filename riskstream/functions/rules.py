@@ -15,6 +15,15 @@ def reaches(value: Column, limit: float | int) -> Column:
     return F.coalesce((value >= F.lit(limit)) & ~F.isnan(value), F.lit(False))
 
 
+def may_be_high_risk(limits: RiskThresholds = DEFAULT_THRESHOLDS) -> Column:
+    """True for every risky transaction, and for some others. Made of plain
+    comparisons only, which file readers can take over."""
+    least_score = min(limits.high_score, limits.failed_score)
+    return (F.col("mlFraudScore") >= least_score) | (
+        (F.col("amount") >= limits.high_amount) & (F.col("ipRisk") >= limits.high_ip_risk)
+    )
+
+
 def is_high_risk(limits: RiskThresholds = DEFAULT_THRESHOLDS, multiplier: Column | None = None) -> Column:
     """One transaction is risky by itself. A multiplier above 1 makes score and
     amount weigh more, as a merchant profile asks for."""

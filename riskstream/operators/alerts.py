@@ -23,6 +23,8 @@ def high_risk_alerts(
 ) -> DataFrame:
     """One alert per transaction that is risky by itself, late ones included."""
     kind = F.lit(cfg.ALERT_HIGH_RISK)
+    if multiplier is None:
+        tx = tx.filter(R.may_be_high_risk(limits))
     return tx.filter(R.is_high_risk(limits, multiplier)).select(
         E.alert_id(kind, F.col("userId"), F.col("eventTime"), F.col("eventId"), random_ids).alias("alertId"),
         kind.alias("alertType"),
@@ -112,8 +114,9 @@ def _window_alerts(
 def with_first_event(stats: DataFrame, tx: DataFrame) -> DataFrame:
     """Resolve `samplePosition` to the eventId at that position of the log.
 
-    Positions are unique, so the join has no hot key, and only two columns of
-    the transactions are read again. Callers filter the statistics first.
+    Positions are unique (see `logs.merge_topics`), so the join has no hot key,
+    and only three columns of the transactions are read again. Callers filter the
+    statistics first.
     """
     ids = tx.select(E.position().alias("samplePosition"), F.col("eventId").alias("sampleEventId"))
     return stats.join(ids, "samplePosition", "left").drop("samplePosition")

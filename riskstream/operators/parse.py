@@ -100,9 +100,11 @@ def read_fields(rows: DataFrame, ambiguous: str = _AMBIGUOUS) -> DataFrame:
     `_malformed` flag.
 
     Each record is read once, as text. A second, typed read (`_typed`) happens
-    only for the few records whose texts are ambiguous.
+    only for the few records whose texts are ambiguous. The one-element explode
+    keeps filters on the fields above the read; pushed below it they would bring
+    a second copy of it.
     """
-    read = E.computed_once(rows, {"_text": F.from_json("rawValue", _AS_TEXT, JSON_READ)})
+    read = rows.withColumn("_text", F.explode(F.array(F.from_json("rawValue", _AS_TEXT, JSON_READ))))
     flagged = read.withColumn("_malformed", F.expr(f"_text IS NULL OR _text.{_CORRUPT} IS NOT NULL")).withColumn(
         "_ambiguous", F.expr(f"NOT _malformed AND ({ambiguous})")
     )

@@ -63,5 +63,12 @@ def text_log(texts: DataFrame, topic: str, value: str = "value") -> DataFrame:
     )
 
 
+def merge_topics(log: DataFrame, *topics: str) -> DataFrame:
+    """Several topics as one log, with partition numbers that are unique over the
+    topics: number p of the i-th of n topics becomes p * n + i."""
+    index = F.array_position(F.array(*[F.lit(name) for name in topics]), F.col("topic")) - 1
+    return from_topics(log, *topics).withColumn("partition", (F.col("partition") * len(topics) + index).cast("int"))
+
+
 def from_topics(log: DataFrame, *topics: str) -> DataFrame:
     return log.filter(F.col("topic").isin(*topics))

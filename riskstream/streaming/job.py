@@ -18,7 +18,7 @@ from riskstream.functions import expressions as E
 from riskstream.operators.aggregates import aggregate_records
 from riskstream.operators.alerts import anomaly_records, burst_records
 from riskstream.operators.parse import read_transactions_leniently
-from riskstream.sources.logs import from_topics
+from riskstream.sources.logs import from_topics, merge_topics
 from riskstream.sources.sinks import start_file_sink
 from riskstream.streaming import windows
 from riskstream.streaming.exact import ROCKSDB, exact_emissions
@@ -49,7 +49,7 @@ class RiskJob:
         self, log: DataFrame, observed_at: int | None = None, available_now: bool = False
     ) -> StreamingQuery:
         return start_ingest(
-            from_topics(log, *self.topics.sources),
+            merge_topics(log, *self.topics.sources),
             self.root,
             self._checkpoint("ingest"),
             self.spec,
