@@ -38,8 +38,15 @@ def transaction_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transactions_from_events(stream).drop("event_id")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A small file comes as one partition, and would be parsed by one task.
+    Tables with a partition per core, as any large one has, stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_log_from_events(events(spark, sf_dir), DEFAULT_TOPICS.raw).drop("event_id")
+    return raw_log_from_events(spread(events(spark, sf_dir)), DEFAULT_TOPICS.raw).drop("event_id")
 
 
 def batched(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,7 +66,7 @@ def quarantine_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as a quarantine record, damaged in one of sixteen ways."""
     n = F.col("event_id")
     case = n % 16
-    tx = transactions_from_events(events(spark, sf_dir))
+    tx = transactions_from_events(spread(events(spark, sf_dir)))
     changed = {
         "amount": F.when(case == 0, -F.col("amount")).otherwise(F.col("amount")),
         "eventId": F.when(case == 2, "").otherwise(F.col("eventId")),
@@ -130,7 +137,7 @@ def committed_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def profile_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as a change of the profile of one of 40 merchants."""
     n = F.col("event_id")
-    tx = transactions_from_events(events(spark, sf_dir))
+    tx = transactions_from_events(spread(events(spark, sf_dir)))
     merchant = F.when(n % 3 == 0, "merchant-hot").otherwise(F.concat(F.lit("merchant-"), n % 40))
     image = F.struct(
         merchant.alias("merchant_id"),

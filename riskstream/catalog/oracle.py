@@ -520,6 +520,7 @@ incoming AS (
         select='SELECT "eventId", "merchantId", risk_tier, risk_multiplier, manual_review_required FROM enriched',
     ),
     "profiled_high_risk_alerts": _with(_PROFILES, _ENRICHED, select=_high_risk("enriched", "risk_multiplier")),
+    "topic_names": _with(_ACTIVITY, select="SELECT DISTINCT topic FROM activity"),
     "topic_statistics": _with(_ACTIVITY, select="SELECT * FROM statistics"),
     "topic_totals": _with(
         _ACTIVITY,

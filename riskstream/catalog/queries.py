@@ -289,6 +289,11 @@ def _statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topics.topic_statistics(I.activity_log(spark, sf_dir), I.committed_offsets(spark, sf_dir))
 
 
+@query
+def topic_names(spark, sf_dir):
+    return topics.topic_names(I.activity_log(spark, sf_dir))
+
+
 @query
 def topic_statistics(spark, sf_dir):
     return _statistics(spark, sf_dir)
@@ -372,7 +377,7 @@ def stream_high_risk_alerts(spark, sf_dir):
 @query
 def stream_emissions(spark, sf_dir):
     """The repeated results of windows, from state instead of one batch plan."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", exact.ROCKSDB)
+    exact.use_disk_state(spark)
     folder = _scratch(spark)
     landed = late.events_in_time(_stamped(spark, sf_dir), I.LATE_SPEC).withColumn("topic", F.lit(DEFAULT_TOPICS.raw))
     landed.select(*ingest.LANDED_SCHEMA.fieldNames()).write.parquet(f"{folder}/{ingest.LANDED}")

@@ -27,7 +27,9 @@ def computed_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
 
 def is_blank(value: Column) -> Column:
     """Null, empty or made of (Unicode) white space only."""
-    return value.isNull() | ~value.rlike(r"\P{javaWhitespace}")
+    # most texts begin with a printable ASCII character and need no pattern match
+    printable = (value >= "!") & (value < "\x7f")
+    return value.isNull() | (~printable & ~value.rlike(r"\P{javaWhitespace}"))
 
 
 def or_default(value: Column, fallback: str) -> Column:

@@ -13,6 +13,10 @@ from riskstream import config as cfg
 from riskstream.config import DEFAULT_TOPICS, Topics
 
 
+def topic_names(log: DataFrame) -> DataFrame:
+    return log.select("topic").distinct().orderBy("topic")
+
+
 def partition_bounds(log: DataFrame) -> DataFrame:
     return log.groupBy("topic", "partition").agg(
         F.min("offset").alias("low"), (F.max("offset") + 1).alias("high")

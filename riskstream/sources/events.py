@@ -12,72 +12,63 @@ from pyspark.sql import functions as F
 from riskstream.functions.expressions import JSON_WRITE, event_timestamp
 from riskstream.schemas import TRANSACTION_FIELDS
 
+EVENTS_SCHEMA = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 LOG_PARTITIONS = 3
 
+_FIELDS = {
+    "eventId": "concat('evt-', event_id)",
+    "userId": "concat('user-', user_id)",
+    "merchantId": """CASE WHEN event_id % 19 = 0 THEN NULL
+        WHEN event_id % 29 = 0 THEN '  '
+        WHEN event_id % 23 < 3 THEN 'merchant-hot'
+        ELSE concat('merchant-', CAST(get_json_object(props, '$.k') AS INT) % 30) END""",
+    "category": "CASE WHEN event_id % 31 <> 0 THEN event_type END",
+    "eventTime": "unix_millis(CAST(ts AS TIMESTAMP))",
+    "amount": "round(value * 20, 2)",
+    "currency": "'USD'",
+    "country": """CASE WHEN event_id % 37 = 0 THEN NULL
+        WHEN event_id % 41 = 0 THEN 'UNKNOWN'
+        ELSE element_at(array('KR', 'US', 'JP', 'SG', 'DE'), CAST(user_id % 5 + 1 AS INT)) END""",
+    "channel": "element_at(array('web', 'mobile', 'partner_api'), CAST(event_id % 3 + 1 AS INT))",
+    "deviceId": "concat('device-', event_id % 300)",
+    "mlFraudScore": "(event_id * 37) % 100 / 100D",
+    "paymentStatus": "CASE event_id % 8 WHEN 3 THEN 'FAILED' WHEN 7 THEN 'failed' ELSE 'APPROVED' END",
+    "ipRisk": "CAST((event_id * 53) % 101 AS INT)",
+    "partition": f"CAST(event_id % {LOG_PARTITIONS} AS INT)",
+    "offset": f"event_id div {LOG_PARTITIONS}",
+}
+
+# how some fields are damaged in the raw log
+_DAMAGED = {
+    "eventId": "CASE WHEN event_id % 139 = 0 THEN '' ELSE eventId END",
+    "userId": "CASE WHEN event_id % 163 = 0 THEN ' ' ELSE userId END",
+    "eventTime": "CASE WHEN event_id % 157 = 0 THEN 0L ELSE eventTime END",
+    "amount": "CASE WHEN event_id % 151 = 0 THEN -amount ELSE amount END",
+}
+
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
 
 
 def transactions_from_events(events: DataFrame) -> DataFrame:
     """One transaction per event, with log lineage (partition, offset)."""
-    n, k = F.col("event_id"), F.get_json_object("props", "$.k").cast("int")
-    countries = F.array(*[F.lit(c) for c in ("KR", "US", "JP", "SG", "DE")])
-    channels = F.array(*[F.lit(c) for c in ("web", "mobile", "partner_api")])
-    fields = events.select(
-        F.concat(F.lit("evt-"), n).alias("eventId"),
-        F.concat(F.lit("user-"), F.col("user_id")).alias("userId"),
-        F.when(n % 19 == 0, F.lit(None))
-        .when(n % 29 == 0, "  ")
-        .when(n % 23 < 3, "merchant-hot")
-        .otherwise(F.concat(F.lit("merchant-"), k % 30))
-        .alias("merchantId"),
-        F.when(n % 31 != 0, F.col("event_type")).alias("category"),
-        F.unix_millis(F.col("ts").cast("timestamp")).alias("eventTime"),
-        F.round(F.col("value") * 20, 2).alias("amount"),
-        F.lit("USD").alias("currency"),
-        F.when(n % 37 == 0, F.lit(None))
-        .when(n % 41 == 0, "UNKNOWN")
-        .otherwise(F.get(countries, (F.col("user_id") % 5).cast("int")))
-        .alias("country"),
-        F.get(channels, (n % 3).cast("int")).alias("channel"),
-        F.concat(F.lit("device-"), n % 300).alias("deviceId"),
-        ((n * 37) % 100 / 100.0).alias("mlFraudScore"),
-        F.when(n % 8 == 3, "FAILED").when(n % 8 == 7, "failed").otherwise("APPROVED").alias("paymentStatus"),
-        ((n * 53) % 101).cast("int").alias("ipRisk"),
-        (n % LOG_PARTITIONS).cast("int").alias("partition"),
-        F.floor(n / LOG_PARTITIONS).alias("offset"),
-        n.alias("event_id"),
-    )
+    fields = events.selectExpr(*[f"{sql} AS {name}" for name, sql in _FIELDS.items()], "event_id")
     return fields.withColumn("event_ts", event_timestamp(F.col("eventTime")))
 
 
 def raw_log_from_events(events: DataFrame, topic: str) -> DataFrame:
     """The same transactions as a log of JSON texts, with some bad records."""
-    n = F.col("event_id")
-    tx = transactions_from_events(events).select(
-        "event_id",
-        "partition",
-        "offset",
-        F.struct(
-            *[
-                {
-                    "eventId": F.when(n % 139 == 0, "").otherwise(F.col("eventId")),
-                    "userId": F.when(n % 163 == 0, " ").otherwise(F.col("userId")),
-                    "eventTime": F.when(n % 157 == 0, F.lit(0)).otherwise(F.col("eventTime")),
-                    "amount": F.when(n % 151 == 0, -F.col("amount")).otherwise(F.col("amount")),
-                }.get(name, F.col(name)).alias(name)
-                for name in TRANSACTION_FIELDS
-            ]
-        ).alias("tx"),
+    members = ", ".join(f"{_DAMAGED.get(name, name)} AS {name}" for name in TRANSACTION_FIELDS)
+    texts = transactions_from_events(events).select(
+        "event_id", "partition", "offset", "userId", F.to_json(F.expr(f"struct({members})"), JSON_WRITE).alias("text")
     )
-    text = F.to_json("tx", JSON_WRITE)
-    return tx.select(
-        F.lit(topic).alias("topic"),
+    return texts.selectExpr(
+        f"'{topic}' AS topic",
         "partition",
         "offset",
-        F.lit(None).cast("timestamp").alias("timestamp"),
-        F.encode(F.col("tx.userId"), "UTF-8").alias("key"),
-        F.encode(F.when(n % 137 == 0, F.substring(text, 1, 30)).otherwise(text), "UTF-8").alias("value"),
+        "CAST(NULL AS TIMESTAMP) AS timestamp",
+        f"encode({_DAMAGED['userId']}, 'UTF-8') AS key",
+        "encode(CASE WHEN event_id % 137 = 0 THEN substring(text, 1, 30) ELSE text END, 'UTF-8') AS value",
         "event_id",
     )

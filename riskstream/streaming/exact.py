@@ -18,7 +18,7 @@ from typing import Any
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -33,6 +33,15 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+
+
+def use_disk_state(spark: SparkSession) -> None:
+    """Keep the state of streaming queries on local disk with changes saved to the
+    checkpoint, instead of in executor memory. Holds for queries started later."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+
+
 _STATS = "eventCount bigint, totalAmount double, totalFraudScore double, maxFraudScore double"
 _PARTIAL = (
     f"key string, windowStart bigint, closed boolean, batch_id bigint, partition int, offset bigint, "

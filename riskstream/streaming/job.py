@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from riskstream.config import DEFAULT_THRESHOLDS, DEFAULT_TOPICS, MINUTE, RiskThresholds, Topics, WindowSpec
@@ -18,11 +19,12 @@ from riskstream.functions import expressions as E
 from riskstream.operators.aggregates import aggregate_records
 from riskstream.operators.alerts import anomaly_records, burst_records
 from riskstream.operators.parse import read_transactions_leniently
+from riskstream.schemas import AGGREGATE, ALERT, DLQ, SQL_AGGREGATE
 from riskstream.sources.logs import from_topics, merge_topics
-from riskstream.sources.sinks import start_file_sink
+from riskstream.sources.sinks import json_values, start_file_sink, start_topic_sink
 from riskstream.streaming import windows
-from riskstream.streaming.exact import ROCKSDB, exact_emissions
-from riskstream.streaming.ingest import landed_stream, start_ingest
+from riskstream.streaming.exact import exact_emissions, use_disk_state
+from riskstream.streaming.ingest import ALERTS, QUARANTINE, landed_stream, start_ingest
 
 EXACT, FINAL = "exact", "final"
 
@@ -78,17 +80,43 @@ class RiskJob:
             ),
         }
 
-    def start_windows(self, spark, available_now: bool = False) -> dict[str, StreamingQuery]:
-        if self.mode == EXACT:
-            spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    def start_windows(self, spark: SparkSession, available_now: bool = False) -> dict[str, StreamingQuery]:
+        use_disk_state(spark)
         landed = landed_stream(spark, self.root, self.files_per_batch)
         return {
             name: start_file_sink(frame, f"{self.root}/{name}", self._checkpoint(name), available_now=available_now)
             for name, frame in self.window_results(landed).items()
         }
 
+    def outputs(self) -> dict[str, tuple[str, T.StructType]]:
+        """Folder → topic and record schema of everything the job writes for others."""
+        return {
+            ALERTS: (self.topics.alerts, ALERT),
+            "user_bursts": (self.topics.alerts, ALERT),
+            "merchant_anomalies": (self.topics.alerts, ALERT),
+            "aggregates": (self.topics.aggregates, AGGREGATE),
+            "sql_aggregates": (self.topics.sql_aggregates, SQL_AGGREGATE),
+            QUARANTINE: (self.topics.dlq, DLQ),
+        }
+
+    def topic_values(self, spark: SparkSession, folder: str) -> DataFrame:
+        """The records of an output folder as a stream of JSON values."""
+        _, schema = self.outputs()[folder]
+        records = spark.readStream.schema(schema).parquet(f"{self.root}/{folder}")
+        return json_values(records.select(*schema.fieldNames()))  # without the batch of the folder
+
+    def start_publishing(self, spark: SparkSession, servers: str) -> dict[str, StreamingQuery]:
+        """Copy every output to its Kafka topic, at least once."""
+        return {
+            folder: start_topic_sink(
+                self.topic_values(spark, folder), topic, servers, self._checkpoint(f"publish-{folder}")
+            )
+            for folder, (topic, _) in self.outputs().items()
+        }
+
     def start_sql_aggregates(self, log: DataFrame, available_now: bool = False) -> StreamingQuery:
         """The SQL aggregate reads the raw topic itself, without checks or lateness."""
+        use_disk_state(log.sparkSession)
         raw = read_transactions_leniently(from_topics(log, self.topics.raw))
         return start_file_sink(
             windows.stream_sql_aggregates(raw, self.spec),

@@ -101,7 +101,7 @@ def test_retried_batch_is_not_written_twice(spark, ingested):
 
 def test_exact_mode_equals_batch_account(spark, ingested):
     rows, _, job = ingested
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", exact.ROCKSDB)
+    exact.use_disk_state(spark)
     folder = scratch("exact")
     for files in (3, None):  # the second run finds nothing new
         stream = ingest.landed_stream(spark, job.root, files)
@@ -173,3 +173,14 @@ def test_late_rows_do_not_change_landed_windows(spark, ingested):
     rows, _, job = ingested
     landed = ingest.landed_table(spark, job.root)
     assert late.late_events(landed, SPEC).count() == 0
+
+
+def test_outputs_are_published_as_json(spark, ingested):
+    _, _, job = ingested
+    folder = scratch("publish")
+    values = job.topic_values(spark, ingest.QUARANTINE)
+    run(sinks.start_file_sink(values, f"{folder}/out", f"{folder}/cp", available_now=True))
+    got = [json.loads(r.value) for r in spark.read.parquet(f"{folder}/out").collect()]
+    assert len(got) == ingest.landed_table(spark, job.root, ingest.QUARANTINE).count()
+    assert set(got[0]) == {"errorType", "reason", "sourceTopic", "replayTopic", "rawValue", "observedAt"}
+    assert job.outputs()[ingest.ALERTS][0] == "alerts.fraud"
