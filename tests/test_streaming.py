@@ -184,3 +184,16 @@ def test_outputs_are_published_as_json(spark, ingested):
     assert len(got) == ingest.landed_table(spark, job.root, ingest.QUARANTINE).count()
     assert set(got[0]) == {"errorType", "reason", "sourceTopic", "replayTopic", "rawValue", "observedAt"}
     assert job.outputs()[ingest.ALERTS][0] == "alerts.fraud"
+
+
+def test_corrections_to_batch_folders(spark, ingested):
+    _, _, job = ingested
+    folder = scratch("corrections")
+    stream = windows.stream_aggregates(ingest.landed_stream(spark, job.root, 6), SPEC)
+    write = sinks.write_batch_folder(f"{folder}/out")
+    run(sinks.start_batch_sink(stream, write, f"{folder}/cp", windows.CORRECTIONS, available_now=True))
+    out = spark.read.parquet(f"{folder}/out")
+    last = out.groupBy("key", "windowStart").agg(F.max_by("eventCount", "batch_id").alias("eventCount"))
+    want = aggregates.country_category_aggregates(ingest.landed_table(spark, job.root), SPEC)
+    want = want.select("key", "windowStart", "eventCount")
+    assert last.exceptAll(want).count() == 0 and want.exceptAll(last).count() == 0
