@@ -3,7 +3,8 @@ from oracle_check import connect, differences
 
 import __spark_entry__ as entry_module
 
-QUERIES, ORACLE = entry_module.queries(), entry_module.oracle_sql()
+from riskstream.catalog.oracle import ORACLE
+from riskstream.catalog.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -22,5 +23,9 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
 
 
+def test_all_are_registered():
+    assert set(QUERIES) <= set(entry_module.queries()) and set(ORACLE) <= set(entry_module.oracle_sql())
+
+
 def test_entry(spark):
     assert entry_module.entry(spark).count() > 0
