@@ -149,7 +149,10 @@ def train(
         yield out.take()
 
     def learn(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(parts)).sort_values(["id", "label"]).drop_duplicates("id")
+        held = list(parts)
+        if not held:
+            return
+        rows = pd.concat(held).sort_values(["id", "label"]).drop_duplicates("id")
         model = fit([np.frombuffer(p, dtype=np.int32) for p in rows["places"]], rows["label"].to_numpy())
         if model is not None:
             yield pd.DataFrame({"weights": [model.weights.tobytes()], "slope": [model.slope], "shift": [model.shift]})

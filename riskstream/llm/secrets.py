@@ -78,7 +78,8 @@ def literal_spans(text: str, least_score: float = LEAST_SCORE) -> list[tuple[int
     The text is read as assignments of terms: quoted literals, bare words and
     names, joined by +. A name that was assigned before stands for its
     literals, so key = "..."; password = key finds the literal of key. A
-    literal's score is that of its most sensitive name, weighted with its own.
+    literal's score is that of its most sensitive name, weighted with how much
+    the value that it is part of looks like a secret.
     """
     constants: dict[str, list[tuple[int, int]]] = {}
     scores: dict[tuple[int, int], float] = {}
@@ -100,10 +101,10 @@ def literal_spans(text: str, least_score: float = LEAST_SCORE) -> list[tuple[int
         found = list(dict.fromkeys(found))[:256]  # a sum of terms repeats a literal only by repeating a name
         constants[pair["name"]] = found
         if sensitive := name_score(pair["name"]):
+            score = sensitive * literal_score("".join(text[s:e] for s, e in found)) ** 0.5
             for span in found:
-                scores[span] = max(scores.get(span, 0.0), sensitive)
-    hits = [(s, e, 3) for (s, e), score in scores.items() if score * literal_score(text[s:e]) ** 0.5 >= least_score]
-    return sorted(hits)
+                scores[span] = max(scores.get(span, 0.0), score)
+    return sorted((s, e, 3) for (s, e), score in scores.items() if score >= least_score)
 
 
 def scan_text(text: str, least_score: float = LEAST_SCORE) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
