@@ -76,7 +76,7 @@ def test_license_edges(spark, docs, no_docs):
     base = {i: (r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"]) for i, r in found.items()}
     assert base == {
         1: (6, 3, 0, 4, "cc-by"), 2: (0, 0, None, None, ""), 3: (0, 0, None, None, ""), 4: (6, 2, 0, 3, "reserved"), 5: (4, 0, None, None, ""),
-        6: (9, 0, None, None, ""), 7: (8, 0, None, None, ""), 8: (6, 2, 0, 3, "gpl"), 9: (3, 0, None, None, ""),
+        6: (10, 0, None, None, ""), 7: (8, 0, None, None, ""), 8: (6, 2, 0, 3, "gpl"), 9: (3, 0, None, None, ""),
     }
     assert (found[6]["labels"], found[6]["score"]) == ("apache-2.0", 1.0)
     assert (found[7]["labels"], found[7]["score"], found[1]["score"]) == ("", 0.0, 1.0)
