@@ -20,10 +20,12 @@ SHINGLE = 4
 SEED = 42
 RADIUS = 4
 BITS = 64
-#: Variants that one cell should hold; decides how many leading bits name a cell.
-CELL_VARIANTS = 1 << 20
-#: A cell with more rows is split by further bits before the shuffle.
-HOT_ROWS, HOT_BITS = 20_000, 8
+#: Variants that one cell should hold; decides how many leading bits name a cell, and so how often a value is sent.
+CELL_VARIANTS = 1 << 24
+#: Variants that a task makes at a time.
+CHUNK = 1 << 20
+#: A cell with more rows, and with so many times the rows of the mean cell, is split by further bits before the shuffle.
+HOT_ROWS, HOT_TIMES, HOT_BITS = 20_000, 4, 8
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
@@ -71,7 +73,7 @@ def flips(bits: range, most: int) -> list[int]:
 def ball_links(
     prints: DataFrame, radius: int = RADIUS, cell_variants: int = CELL_VARIANTS, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Links (a, b) between distinct fingerprints (column fp) that join all within `radius` differing bits of each other.
+    """Links (a, b) of distinct fingerprints (column fp), with the components that differing in at most `radius` bits makes.
 
     Meet in the middle: two values differ by at most `radius` bits if and only
     if a third is within half the radius (rounded up and down) of both. Every
@@ -80,20 +82,23 @@ def ball_links(
     name a cell: the variants of a value that fall into one cell travel as one
     row and are made there, so that a value sends 1 + p + p(p-1)/2 rows for p
     bits and not one per variant. p follows the number of values, so that a
-    cell's variants fit a task's memory; a cell with many rows, as a large group
-    of near copies makes, is split by further bits in the same way. Links within a group are a star around
-    its smallest value, not all pairs.
+    cell stays small; a cell with many rows, as a large group of near copies
+    makes, is split by further bits in the same way, and a task makes variants
+    chunk by chunk. Of the verified pairs of a cell, a star around the smallest
+    value of each component goes on, not all pairs.
     """
     if radius % 2:
         raise ValueError("radius must be even")
     half = radius // 2
     prints = written(prints.select("fp").distinct(), "fingerprints")
     ball = sum(math.comb(BITS, i) for i in range(half + 1))
-    lead = min(max(6, math.ceil(math.log2(prints.count() * ball / cell_variants + 1))), 24)
+    n = prints.count()
+    lead = min(max(6, math.ceil(math.log2(n * ball / cell_variants + 1))), 24)
+    mean = n * (1 + lead + lead * (lead - 1) // 2) >> lead
     whole_ball = prints.select("fp", F.lit(0).cast("long").alias("cell"), F.lit(half).alias("left"))
     sent = _split(whole_ball, 0, lead, half)
     rows_in_cell = sent.groupBy("cell").agg(F.count(F.lit(1)).alias("rows"))
-    hot = written(rows_in_cell.filter(F.col("rows") > hot_rows).select("cell"), "hot-cells")
+    hot = written(rows_in_cell.filter(F.col("rows") > max(hot_rows, HOT_TIMES * mean)).select("cell"), "hot-cells")
     if not hot.isEmpty():
         extra = _split(sent.join(hot, "cell", "left_semi"), lead, HOT_BITS, half).withColumn("lead", F.lit(lead + HOT_BITS))
         sent = sent.join(hot, "cell", "left_anti").withColumn("lead", F.lit(lead)).unionByName(extra)
@@ -103,9 +108,9 @@ def ball_links(
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bits, values, left in _cells(batches):
-            pairs = _cell_links(values, left, bits, cell_variants)
+            pairs = _cell_links(values, left, bits, min(cell_variants, CHUNK))
             ok = np.bitwise_count(pairs[:, 0] ^ pairs[:, 1]) <= radius
-            pairs = pairs[ok].view(np.int64)
+            pairs = _spanning(pairs[ok]).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=schema)
 
     dealt = sent.select("lead", "cell", "fp", "left").repartition("lead", "cell").sortWithinPartitions("lead", "cell")
@@ -185,6 +190,23 @@ def _cell_links(values: np.ndarray, left: np.ndarray, lead: int, most: int) -> n
     return np.stack([values[pairs // len(values)], values[pairs % len(values)]], axis=1)
 
 
+def _spanning(pairs: np.ndarray) -> np.ndarray:
+    """(smallest, other) for each component of the pairs."""
+    values, ends = np.unique(pairs, return_inverse=True)
+    a, b = ends.reshape(-1, 2).T
+    label = np.arange(len(values))
+    while True:
+        low = np.minimum(label[a], label[b])
+        after = label.copy()
+        np.minimum.at(after, a, low)
+        np.minimum.at(after, b, low)
+        after = after[after]
+        if (after == label).all():
+            other = np.flatnonzero(label != np.arange(len(values)))
+            return np.stack([values[label[other]], values[other]], axis=1)
+        label = after
+
+
 def near_duplicates(
     docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:

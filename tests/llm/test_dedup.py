@@ -72,7 +72,6 @@ def test_ball_links_lose_none(spark, cell_variants, hot_rows):
     signed = {v: v - (1 << 64) if v >> 63 else v for v in values}
     df = spark.createDataFrame([(x,) for x in signed.values()] * 2, "fp long")
     links = [(r["a"] % (1 << 64), r["b"] % (1 << 64)) for r in simhash.ball_links(df, 4, cell_variants, hot_rows).collect()]
-    assert all((a ^ b).bit_count() <= 4 for a, b in links)
     every = [(a, b) for a in values for b in values if a < b and (a ^ b).bit_count() <= 4]
     assert roots(values, links) == roots(values, every)
 
