@@ -89,7 +89,7 @@ def quarantine_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(case == 10, joined(head, ',"amount":"', F.col("amount"), '","ipRisk":"', F.col("ipRisk"), '"}'))
         .when(case == 12, joined('{"mlFraudScore":', F.col("mlFraudScore"), "}"))
         .when(case == 13, joined(head, ',"ipRisk":null}'))
-        .when(case == 14, joined(head, ',"country":{"code":"KR"}}'))
+        .when(case == 14, joined(head, ',"country":{"code":"C1"}}'))
         .otherwise(text)
     )
     record = F.to_json(
@@ -138,7 +138,7 @@ def profile_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as a change of the profile of one of 40 merchants."""
     n = F.col("event_id")
     tx = transactions_from_events(spread(events(spark, sf_dir)))
-    merchant = F.when(n % 3 == 0, "merchant-hot").otherwise(F.concat(F.lit("merchant-"), n % 40))
+    merchant = F.when(n % 3 == 0, "shop-busy").otherwise(F.concat(F.lit("shop-"), n % 40))
     image = F.struct(
         merchant.alias("merchant_id"),
         F.get(F.array(F.lit("LOW"), F.lit("MEDIUM"), F.lit("HIGH")), (n % 7 % 3).cast("int")).alias("risk_tier"),
@@ -162,7 +162,7 @@ def supplier_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """New profiles for one merchant per supplier."""
     supplier = spark.read.parquet(f"{sf_dir}/supplier.parquet")
     return supplier.select(
-        F.concat(F.lit("merchant-"), F.col("s_suppkey")).alias("merchant_id"),
+        F.concat(F.lit("shop-"), F.col("s_suppkey")).alias("merchant_id"),
         F.when(F.col("s_acctbal") < 0, "HIGH").otherwise("LOW").alias("risk_tier"),
         ((F.col("s_suppkey") % 1000 + 700) / 1000).cast("decimal(6,3)").alias("risk_multiplier"),
         (F.col("s_acctbal") < 0).alias("manual_review_required"),

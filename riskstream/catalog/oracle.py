@@ -13,16 +13,16 @@ tx AS (
     'evt-' || event_id AS "eventId",
     'user-' || user_id AS "userId",
     CASE WHEN event_id % 19 = 0 THEN NULL WHEN event_id % 29 = 0 THEN '  '
-         WHEN event_id % 23 < 3 THEN 'merchant-hot'
-         ELSE 'merchant-' || (CAST(json_extract(props, '$.k') AS INT) % 30) END AS "merchantId",
+         WHEN event_id % 23 < 3 THEN 'shop-busy'
+         ELSE 'shop-' || (CAST(json_extract(props, '$.k') AS INT) % 30) END AS "merchantId",
     CASE WHEN event_id % 31 <> 0 THEN event_type END AS category,
     epoch_us(ts) // 1000 AS "eventTime",
     round(value * 20, 2) AS amount,
     'USD' AS currency,
     CASE WHEN event_id % 37 = 0 THEN NULL WHEN event_id % 41 = 0 THEN 'UNKNOWN'
-         ELSE ['KR', 'US', 'JP', 'SG', 'DE'][user_id % 5 + 1] END AS country,
-    ['web', 'mobile', 'partner_api'][event_id % 3 + 1] AS channel,
-    'device-' || (event_id % 300) AS "deviceId",
+         ELSE 'C' || (user_id % 6) END AS country,
+    'channel-' || (event_id % 4) AS channel,
+    'unit-' || (event_id % 300) AS "deviceId",
     ((event_id * 37) % 100) / 100.0::DOUBLE AS "mlFraudScore",
     CASE event_id % 8 WHEN 3 THEN 'FAILED' WHEN 7 THEN 'failed' ELSE 'APPROVED' END AS "paymentStatus",
     CAST((event_id * 53) % 101 AS INT) AS "ipRisk",
@@ -85,8 +85,9 @@ _SQL_KEY = (
 )
 
 
-def _settle(expr: str) -> str:
-    return f"floor({expr} * 1e6 + 0.5) / 1e6"
+def _sum(column: str, window: str = "") -> str:
+    """The plain sum of the decimal values; the tables have at most two places."""
+    return f"CAST(sum(CAST({column} AS DECIMAL(28, 4))){window} AS DOUBLE)"
 
 
 def _half_up(expr: str) -> str:
@@ -106,8 +107,8 @@ def _stats(source: str, key: str, size: int) -> str:
   SELECT {key} AS "key", "eventTime" - "eventTime" % {size} AS "windowStart",
     "eventTime" - "eventTime" % {size} + {size} AS "windowEnd",
     count(*) AS "eventCount",
-    {_settle('sum(amount)')} AS "totalAmount",
-    {_settle('sum("mlFraudScore")')} AS "totalFraudScore",
+    {_sum('amount')} AS "totalAmount",
+    {_sum('"mlFraudScore"')} AS "totalFraudScore",
     greatest(0.0::DOUBLE, max("mlFraudScore")) AS "maxFraudScore",
     arg_min("eventId", "partition" * (1::HUGEINT << 44) + "offset") AS "sampleEventId"
   FROM {source} GROUP BY ALL"""
@@ -173,7 +174,7 @@ def _sql_aggregate(source: str, size: int) -> str:
     CAST({_decimal_round('score / "eventCount"', 4)} AS DOUBLE) AS "avgFraudScore"
   FROM (
     SELECT "eventTime" - "eventTime" % {size} AS "windowStart", country, category, "merchantId",
-      count(*) AS "eventCount", round(sum(amount), 6) AS total, round(sum("mlFraudScore"), 6) AS score
+      count(*) AS "eventCount", {_sum('amount')} AS total, {_sum('"mlFraudScore"')} AS score
     FROM {source} GROUP BY ALL)"""
 
 
@@ -208,13 +209,15 @@ def _emissions(key: str) -> str:
     return f"""
 in_time AS (SELECT *, {key} AS "key" FROM stamped WHERE NOT late),
 on_time AS (
-  SELECT "key", "windowStart", count(*) AS n, sum(amount) AS total, sum("mlFraudScore") AS score,
+  SELECT "key", "windowStart", count(*) AS n, sum(CAST(amount AS DECIMAL(28, 4))) AS total,
+    sum(CAST("mlFraudScore" AS DECIMAL(28, 4))) AS score,
     greatest(0.0::DOUBLE, max("mlFraudScore")) AS top,
     arg_min("eventId", (batch_id * 3 + "partition") * (1::HUGEINT << 44) + "offset") AS first_id
   FROM in_time WHERE NOT closed GROUP BY ALL
 ),
 after AS (
-  SELECT a.*, row_number() OVER w AS n, sum(a.amount) OVER w AS total, sum(a."mlFraudScore") OVER w AS score,
+  SELECT a.*, row_number() OVER w AS n, sum(CAST(a.amount AS DECIMAL(28, 4))) OVER w AS total,
+    sum(CAST(a."mlFraudScore" AS DECIMAL(28, 4))) OVER w AS score,
     max(a."mlFraudScore") OVER w AS top, first_value(a."eventId") OVER w AS first_id
   FROM in_time a WHERE closed
   WINDOW w AS (PARTITION BY "key", "windowStart" ORDER BY batch_id, "partition", "offset" ROWS UNBOUNDED PRECEDING)
@@ -231,7 +234,7 @@ emitted AS (
 ),
 emission_stats AS (
   SELECT "key", "windowStart", "windowStart" + {size} AS "windowEnd", n AS "eventCount",
-    {_settle('total')} AS "totalAmount", {_settle('score')} AS "totalFraudScore", top AS "maxFraudScore",
+    CAST(total AS DOUBLE) AS "totalAmount", CAST(score AS DOUBLE) AS "totalFraudScore", top AS "maxFraudScore",
     first_id AS "sampleEventId", kind, batch_id, "partition", "offset"
   FROM emitted
 )"""
@@ -264,7 +267,7 @@ quarantine AS (
       WHEN 10 THEN head || ',"amount":"' || amount || '","ipRisk":"' || "ipRisk" || '"}}'
       WHEN 12 THEN '{{"mlFraudScore":' || "mlFraudScore" || '}}'
       WHEN 13 THEN head || ',"ipRisk":null}}'
-      WHEN 14 THEN head || ',"country":{{"code":"KR"}}}}'
+      WHEN 14 THEN head || ',"country":{{"code":"C1"}}}}'
       ELSE json_text END AS raw_value
   FROM texts
 ),
@@ -330,7 +333,7 @@ replayed AS (
   FROM (SELECT *, {_json([*_FIELDS, "replayedFromDlqAt"])} AS json_text FROM repaired)
 )"""
 
-_MERCHANT_OF_CHANGE = "CASE WHEN event_id % 3 = 0 THEN 'merchant-hot' ELSE 'merchant-' || event_id % 40 END"
+_MERCHANT_OF_CHANGE = "CASE WHEN event_id % 3 = 0 THEN 'shop-busy' ELSE 'shop-' || event_id % 40 END"
 _PROFILES = f"""
 changes AS (
   SELECT {_MERCHANT_OF_CHANGE} AS merchant_id,
@@ -506,7 +509,7 @@ valid AS (SELECT * REPLACE (CAST("partition" * 2 AS INT) AS "partition") FROM lo
         _PROFILES,
         f"""
 incoming AS (
-  SELECT 'merchant-' || s_suppkey AS merchant_id, CASE WHEN s_acctbal < 0 THEN 'HIGH' ELSE 'LOW' END AS risk_tier,
+  SELECT 'shop-' || s_suppkey AS merchant_id, CASE WHEN s_acctbal < 0 THEN 'HIGH' ELSE 'LOW' END AS risk_tier,
     CAST((s_suppkey % 1000 + 700) / 1000.0 AS DOUBLE) AS risk_multiplier, s_acctbal < 0 AS manual_review_required,
     {I.OBSERVED_AT}::BIGINT AS updated_at
   FROM supplier

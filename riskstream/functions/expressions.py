@@ -61,14 +61,33 @@ def coalesced_key() -> Column:
     )
 
 
-def settle(total: Column) -> Column:
-    """Drop the noise that a sum of doubles picks up from the order of its terms.
+# Amounts and scores are summed as decimals of twelve places, so a sum does not
+# depend on the order in which rows reach it, whatever its magnitude. Terms stay
+# below 1e16, totals below 1e25; beyond, the query fails.
+TERM, TOTAL = "decimal(28,12)", "decimal(37,12)"
+_TERM_LIMIT = 1e16
 
-    Rows reach an aggregate in another order after every retry or re-plan. Six
-    decimals are kept up to 1e9, so a later comparison or rounding does not
-    depend on that order; larger totals are left alone.
-    """
-    return F.when(F.abs(total) < 1e9, F.floor(total * 1e6 + 0.5) / 1e6).otherwise(total)
+
+def exact_term(value: Column) -> Column:
+    """A number as a term of an exact sum; null where it is null or not finite."""
+    too_large = F.raise_error(F.lit("a term of a sum must be below 1e16")).cast(TERM)
+    size = F.abs(value)
+    return F.when(size < _TERM_LIMIT, value.cast(TERM)).when(size < float("inf"), too_large)
+
+
+def odd_term(value: Column) -> Column:
+    """The number where it is NaN or infinite, else null. These add up in any order."""
+    return F.when(~(F.abs(value) < float("inf")), value)
+
+
+def exact_total(exact: Column, odd: Column) -> Column:
+    """The total of exact and odd terms, as a double."""
+    return F.coalesce(odd, exact.cast("double"))
+
+
+def exact_sum(value: Column) -> Column:
+    """sum(value), rounded to a double once. Fixed-width, so it stays in a hash aggregate."""
+    return exact_total(F.sum(exact_term(value)), F.sum(odd_term(value)))
 
 
 def round_half_up(value: Column) -> Column:
@@ -125,9 +144,16 @@ _OFFSET_BITS = 44
 _PARTITION_BITS = 63 - _OFFSET_BITS
 
 
-def position() -> Column:
-    """Arrival position of a log row: partition, then offset."""
+def position(rows: DataFrame, topics: tuple[str, ...] = cfg.DEFAULT_TOPICS.sources) -> Column:
+    """Arrival position of a log row: partition, place of its topic among `topics` if
+    the rows name it, offset. Rows of several topics so have different positions."""
     partition, offset = F.col("partition").cast("bigint"), F.col("offset").cast("bigint")
+    if "topic" in rows.columns:
+        unknown = F.raise_error(F.concat(F.lit("no position for topic "), F.col("topic"))).cast("bigint")
+        place = unknown
+        for i, name in enumerate(topics):
+            place = F.when(F.col("topic") == name, F.lit(i).cast("bigint")).otherwise(place)
+        partition = partition * len(topics) + F.when(F.col("topic").isNull(), F.lit(0).cast("bigint")).otherwise(place)
     fits = (
         partition.between(0, (1 << _PARTITION_BITS) - 1) & offset.between(0, (1 << _OFFSET_BITS) - 1)
     )

@@ -24,13 +24,13 @@ def window_stats(tx: DataFrame, key: Column, spec: WindowSpec = MINUTE, first_ev
     """
     first = {
         None: [],
-        "position": [F.min(E.position()).alias("samplePosition")],
-        "id": [F.min_by("eventId", E.position()).alias("sampleEventId")],
+        "position": [F.min(E.position(tx)).alias("samplePosition")],
+        "id": [F.min_by("eventId", E.position(tx)).alias("sampleEventId")],
     }[first_event]
     grouped = tx.groupBy(F.window("event_ts", spec.size).alias("window"), key.alias("key")).agg(
         F.count(F.lit(1)).alias("eventCount"),
-        F.sum("amount").alias("totalAmount"),
-        F.sum("mlFraudScore").alias("totalFraudScore"),
+        E.exact_sum(F.col("amount")).alias("totalAmount"),
+        E.exact_sum(F.col("mlFraudScore")).alias("totalFraudScore"),
         F.max("mlFraudScore").alias("maxFraudScore"),
         *first,
     )
@@ -39,8 +39,8 @@ def window_stats(tx: DataFrame, key: Column, spec: WindowSpec = MINUTE, first_ev
         F.unix_millis("window.start").alias("windowStart"),
         F.unix_millis("window.end").alias("windowEnd"),
         "eventCount",
-        E.settle(F.col("totalAmount")).alias("totalAmount"),
-        E.settle(F.col("totalFraudScore")).alias("totalFraudScore"),
+        "totalAmount",
+        "totalFraudScore",
         F.greatest(F.lit(0.0), F.col("maxFraudScore")).alias("maxFraudScore"),
         *[c for c in ("samplePosition", "sampleEventId") if c in grouped.columns],
     )

@@ -114,12 +114,13 @@ def _window_alerts(
 def with_first_event(stats: DataFrame, tx: DataFrame) -> DataFrame:
     """Resolve `samplePosition` to the eventId at that position of the log.
 
-    Positions are unique (see `logs.merge_topics`), so the join has no hot key,
-    and only three columns of the transactions are read again. Callers filter the
-    statistics first.
+    Positions are unique, as they hold the topic, so the join has no hot key, and
+    only the columns of a position are read again. Every position comes from the
+    table itself, so an inner join loses nothing and lets Spark send the few
+    statistics that alert to the table. Callers filter the statistics first.
     """
-    ids = tx.select(E.position().alias("samplePosition"), F.col("eventId").alias("sampleEventId"))
-    return stats.join(ids, "samplePosition", "left").drop("samplePosition")
+    ids = tx.select(E.position(tx).alias("samplePosition"), F.col("eventId").alias("sampleEventId"))
+    return stats.join(ids, "samplePosition").drop("samplePosition")
 
 
 def _alerting_stats(tx: DataFrame, key: Column, spec: WindowSpec, rule: Column) -> DataFrame:

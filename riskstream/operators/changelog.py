@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,19 +12,25 @@ from riskstream.functions.expressions import computed_once
 from riskstream.schemas import PROFILE, PROFILE_CHANGE
 
 DELETE = "d"
+_CORRUPT = "_corrupt"
 
 
 def read_changes(log: DataFrame) -> DataFrame:
-    """Change records from a log of JSON values; tombstones (null values) and
-    unreadable records are left out."""
+    """Change records from a log of JSON values. Left out are tombstones (null
+    values), records that are no JSON or have a field that does not fit its type,
+    and images, other than deletes, that lack a column: they must not take the
+    place of a good image."""
     names = {"op": "__op", "source_ts_ms": "__source_ts_ms"}
     wire = ", ".join(
         f"{names.get(f.name, f.name)} {f.dataType.simpleString()}" for f in PROFILE_CHANGE.fields
     )
     texts = log.filter(F.col("value").isNotNull()).select("partition", "offset", "value")
-    rows = computed_once(texts, {"r": F.from_json(F.col("value").cast("string"), wire)})
+    read = F.from_json(F.col("value").cast("string"), f"{wire}, {_CORRUPT} string", {"columnNameOfCorruptRecord": _CORRUPT})
+    rows = computed_once(texts, {"r": read}).filter(F.col(f"r.{_CORRUPT}").isNull())
     fields = [F.col(f"r.{names.get(f.name, f.name)}").alias(f.name) for f in PROFILE_CHANGE.fields]
-    return rows.select("partition", "offset", *fields).filter(F.col("merchant_id").isNotNull())
+    whole = reduce(and_, [F.col(f).isNotNull() for f in PROFILE.fieldNames()])
+    kept = F.col("merchant_id").isNotNull() & (F.col("op").eqNullSafe(DELETE) | whole)
+    return rows.select("partition", "offset", *fields).filter(kept)
 
 
 def current_state(

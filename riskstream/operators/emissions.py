@@ -20,6 +20,32 @@ FIRE, REFIRE = "FIRE", "REFIRE"
 # log offsets per block of the two-level running totals
 _BLOCK = 65_536
 
+# the two sums of a window, each as exact terms and as those that are not finite
+PARTS = ["amountExact", "amountOdd", "scoreExact", "scoreOdd"]
+
+
+def sum_parts() -> list[Column]:
+    """The terms of PARTS that a transaction gives."""
+    amount, score = F.col("amount"), F.col("mlFraudScore")
+    terms = [E.exact_term(amount), E.odd_term(amount), E.exact_term(score), E.odd_term(score)]
+    return [term.alias(name) for term, name in zip(terms, PARTS, strict=True)]
+
+
+def totals() -> list[Column]:
+    """The sums made of PARTS, as doubles."""
+    return [
+        E.exact_total(F.col("amountExact"), F.col("amountOdd")).alias("totalAmount"),
+        E.exact_total(F.col("scoreExact"), F.col("scoreOdd")).alias("totalFraudScore"),
+    ]
+
+
+def sum_kind(name: str) -> str:
+    return E.TOTAL if name.endswith("Exact") else "double"
+
+
+def _added(a: Column, b: Column) -> Column:
+    return F.coalesce(a + b, a, b)
+
 
 def window_emissions(stamped: DataFrame, key: Column, spec: WindowSpec = MINUTE) -> DataFrame:
     """Statistics per emission, with its `kind` and the batch_id, partition and
@@ -32,8 +58,8 @@ def window_emissions(stamped: DataFrame, key: Column, spec: WindowSpec = MINUTE)
         "partition",
         "offset",
         "eventId",
-        "amount",
         "mlFraudScore",
+        *sum_parts(),
         is_closed(spec).alias("closed"),
     )
     group = ["key", "windowStart"]
@@ -43,8 +69,7 @@ def window_emissions(stamped: DataFrame, key: Column, spec: WindowSpec = MINUTE)
         .groupBy(*group)
         .agg(
             F.count(F.lit(1)).alias("eventCount"),
-            F.sum("amount").alias("totalAmount"),
-            F.sum("mlFraudScore").alias("totalFraudScore"),
+            *[F.sum(name).cast(sum_kind(name)).alias(name) for name in PARTS],
             F.greatest(F.lit(0.0), F.max("mlFraudScore")).alias("maxFraudScore"),
             F.min_by("eventId", order).alias("sampleEventId"),
         )
@@ -56,8 +81,7 @@ def window_emissions(stamped: DataFrame, key: Column, spec: WindowSpec = MINUTE)
     after = rows.filter("closed").select(
         *group,
         F.lit(1).cast("bigint").alias("eventCount"),
-        F.col("amount").alias("totalAmount"),
-        F.col("mlFraudScore").alias("totalFraudScore"),
+        *[F.col(name).cast(sum_kind(name)).alias(name) for name in PARTS],
         F.greatest(F.lit(0.0), F.col("mlFraudScore")).alias("maxFraudScore"),
         F.col("eventId").alias("sampleEventId"),
         F.lit(REFIRE).alias("kind"),
@@ -76,8 +100,7 @@ def window_emissions(stamped: DataFrame, key: Column, spec: WindowSpec = MINUTE)
         *group,
         (F.col("windowStart") + spec.size_ms).alias("windowEnd"),
         "eventCount",
-        E.settle(F.col("totalAmount")).alias("totalAmount"),
-        E.settle(F.col("totalFraudScore")).alias("totalFraudScore"),
+        *totals(),
         "maxFraudScore",
         "sampleEventId",
         "kind",
@@ -97,8 +120,7 @@ def _running_stats(rows: DataFrame, group: list[str]) -> DataFrame:
     blocked = rows.withColumn("_block", F.floor(F.col("offset") / _BLOCK))
     sums = blocked.groupBy(*group, *block).agg(
         F.sum("eventCount").alias("_count"),
-        F.sum("totalAmount").alias("_amount"),
-        F.sum("totalFraudScore").alias("_score"),
+        *[F.sum(name).alias(f"_{name}") for name in PARTS],
         F.max("maxFraudScore").alias("_max"),
         F.min_by("sampleEventId", "offset").alias("_first"),
     )
@@ -107,23 +129,20 @@ def _running_stats(rows: DataFrame, group: list[str]) -> DataFrame:
         *group,
         *block,
         F.sum("_count").over(before).alias("_count"),
-        F.sum("_amount").over(before).alias("_amount"),
-        F.sum("_score").over(before).alias("_score"),
+        *[F.sum(f"_{name}").over(before).cast(sum_kind(name)).alias(f"_{name}") for name in PARTS],
         F.max("_max").over(before).alias("_max"),
         F.first("_first").over(before).alias("_first"),
     )
     inside = (
         Window.partitionBy(*group, *block).orderBy("offset").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    zero = F.lit(0.0)
     local = blocked.select(
         *group,
         *block,
         "kind",
         "offset",
         F.sum("eventCount").over(inside).alias("eventCount"),
-        F.sum("totalAmount").over(inside).alias("totalAmount"),
-        F.sum("totalFraudScore").over(inside).alias("totalFraudScore"),
+        *[F.sum(name).over(inside).cast(sum_kind(name)).alias(name) for name in PARTS],
         F.max("maxFraudScore").over(inside).alias("maxFraudScore"),
         F.first("sampleEventId").over(inside).alias("sampleEventId"),
     )
@@ -134,8 +153,7 @@ def _running_stats(rows: DataFrame, group: list[str]) -> DataFrame:
         "partition",
         "offset",
         (F.col("eventCount") + F.coalesce("_count", F.lit(0))).alias("eventCount"),
-        (F.col("totalAmount") + F.coalesce("_amount", zero)).alias("totalAmount"),
-        (F.col("totalFraudScore") + F.coalesce("_score", zero)).alias("totalFraudScore"),
+        *[_added(F.col(name), F.col(f"_{name}")).cast(sum_kind(name)).alias(name) for name in PARTS],
         F.greatest("maxFraudScore", "_max").alias("maxFraudScore"),
         F.coalesce("_first", "sampleEventId").alias("sampleEventId"),
     )

@@ -66,6 +66,15 @@ def _is_empty(field: str) -> str:
         OR (_ambiguous AND {json_kind(field)} <> 'STRING' AND {text} RLIKE '{_EMPTY_TEXT}'))"""
 
 
+def is_one_json(column: str) -> Column:
+    """True for a text that is one JSON value and nothing more. Spark's readers
+    stop after the first value. What follows it breaks a list around the text, or
+    an object around it, unless it is white space."""
+    listed = F.from_json(F.concat(F.lit("["), F.col(column), F.lit("]")), "array<string>")
+    member = F.from_json(F.concat(F.lit('{"v":'), F.col(column), F.lit("}")), "map<string,string>")
+    return F.coalesce((F.size(listed) == 1) & (F.size(member) == 1), F.lit(False))
+
+
 def repair(dlq_log: DataFrame, now: int | None = None, only_replayable: bool = False) -> DataFrame:
     """Quarantine log (Kafka layout, JSON values) → one row per record with
     partition, offset, `status`, `problem`, the repaired transaction, and `extra`,
@@ -74,13 +83,13 @@ def repair(dlq_log: DataFrame, now: int | None = None, only_replayable: bool = F
     `now` (epoch millis) becomes the event time and the replay time.
     """
     log = dlq_log.select("partition", "offset", F.col("value").cast("string").alias("value"))
-    read = E.computed_once(log, {"_record": F.from_json("value", _RECORD, JSON_READ)})
+    read = E.computed_once(log, {"_record": F.from_json("value", _RECORD, JSON_READ), "_strict": is_one_json("value")})
     record = read.selectExpr(
         "partition",
         "offset",
         "_record.errorType AS errorType",
         "_record.rawValue AS rawValue",
-        f"_record IS NOT NULL AND _record.{_CORRUPT} IS NULL AND coalesce(_record.rawValue, '') <> '' AS _has_text",
+        f"_strict AND _record IS NOT NULL AND _record.{_CORRUPT} IS NULL AND coalesce(_record.rawValue, '') <> '' AS _has_text",
     )
     if only_replayable:
         record = record.filter(R.is_replayable(F.col("errorType")))
@@ -93,6 +102,7 @@ def repair(dlq_log: DataFrame, now: int | None = None, only_replayable: bool = F
         named.drop("errorType"),
         {
             "_is_object": F.expr("NOT _malformed AND _names IS NOT NULL"),
+            "_one_value": is_one_json("rawValue"),
             "_has_extra": F.expr(f"size(array_except(_names, array({declared}))) > 0"),
             "_nested": F.expr(nested),
             "amount": F.expr(_number("amount", "double")),
@@ -107,6 +117,7 @@ def repair(dlq_log: DataFrame, now: int | None = None, only_replayable: bool = F
 
     problem = (
         F.when(~F.col("_has_text"), F.lit(None).cast("string"))
+        .when(~F.col("_one_value"), F.lit(None).cast("string"))
         .when(~F.col("_is_object"), F.when(F.try_parse_json("rawValue").isNotNull(), "not a JSON object"))
         .when(F.col("_nested"), "a text field holds an object or a list")
         .when(~is_finite("amount"), "amount is no number")
@@ -115,7 +126,7 @@ def repair(dlq_log: DataFrame, now: int | None = None, only_replayable: bool = F
     )
     status = (
         F.when(F.col("problem").isNotNull(), UNRECOVERABLE)
-        .when(F.col("_has_text") & F.col("_is_object"), REPAIRED)
+        .when(F.col("_has_text") & F.col("_one_value") & F.col("_is_object"), REPAIRED)
         .otherwise(DROPPED)
     )
     defaults = {name: F.lit(text) for name, text in cfg.REPLAY_DEFAULTS.items()}

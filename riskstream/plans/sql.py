@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame
 
 from riskstream import config as cfg
 from riskstream.config import MINUTE, WindowSpec
+from riskstream.functions.expressions import TERM
 
 # Differs on purpose from the DataFrame aggregate: groups are made of the raw
 # values, only nulls are replaced in the printed key, and SUM and AVG skip nulls.
-# The inner ROUND drops the noise of summing doubles in varying order.
+# Sums are made of decimals and rounded to a double once, so they do not depend
+# on the order of rows; values that are not finite are summed apart.
 AGGREGATE_SQL = """
 SELECT '{aggregate_type}' AS aggregateType,
        concat_ws('|', coalesce(country, '{country}'), coalesce(category, '{category}'),
@@ -23,8 +25,12 @@ SELECT '{aggregate_type}' AS aggregateType,
 FROM (
   SELECT window(event_ts, '{size}') AS w, country, category, merchantId,
          count(*) AS n,
-         round(sum(amount), 6) AS total, nullif(count(amount), 0) AS amounts,
-         round(sum(mlFraudScore), 6) AS score, nullif(count(mlFraudScore), 0) AS scores
+         coalesce(sum(amount) FILTER (WHERE NOT abs(amount) < double('Infinity')),
+                  CAST(sum(CAST(amount AS {term})) FILTER (WHERE abs(amount) < double('Infinity')) AS DOUBLE)) AS total,
+         nullif(count(amount), 0) AS amounts,
+         coalesce(sum(mlFraudScore) FILTER (WHERE NOT abs(mlFraudScore) < double('Infinity')),
+                  CAST(sum(CAST(mlFraudScore AS {term})) FILTER (WHERE abs(mlFraudScore) < double('Infinity')) AS DOUBLE)) AS score,
+         nullif(count(mlFraudScore), 0) AS scores
   FROM {{transactions}}
   GROUP BY window(event_ts, '{size}'), country, category, merchantId
 )
@@ -38,5 +44,6 @@ def sql_aggregates(tx: DataFrame, spec: WindowSpec = MINUTE) -> DataFrame:
         category=cfg.UNKNOWN_CATEGORY,
         merchant=cfg.UNKNOWN_MERCHANT,
         size=spec.size,
+        term=TERM,
     )
     return tx.sparkSession.sql(text, transactions=tx)

@@ -20,17 +20,17 @@ _FIELDS = {
     "userId": "concat('user-', user_id)",
     "merchantId": """CASE WHEN event_id % 19 = 0 THEN NULL
         WHEN event_id % 29 = 0 THEN '  '
-        WHEN event_id % 23 < 3 THEN 'merchant-hot'
-        ELSE concat('merchant-', CAST(get_json_object(props, '$.k') AS INT) % 30) END""",
+        WHEN event_id % 23 < 3 THEN 'shop-busy'
+        ELSE concat('shop-', CAST(get_json_object(props, '$.k') AS INT) % 30) END""",
     "category": "CASE WHEN event_id % 31 <> 0 THEN event_type END",
     "eventTime": "unix_millis(CAST(ts AS TIMESTAMP))",
     "amount": "round(value * 20, 2)",
     "currency": "'USD'",
     "country": """CASE WHEN event_id % 37 = 0 THEN NULL
         WHEN event_id % 41 = 0 THEN 'UNKNOWN'
-        ELSE element_at(array('KR', 'US', 'JP', 'SG', 'DE'), CAST(user_id % 5 + 1 AS INT)) END""",
-    "channel": "element_at(array('web', 'mobile', 'partner_api'), CAST(event_id % 3 + 1 AS INT))",
-    "deviceId": "concat('device-', event_id % 300)",
+        ELSE concat('C', user_id % 6) END""",
+    "channel": "concat('channel-', event_id % 4)",
+    "deviceId": "concat('unit-', event_id % 300)",
     "mlFraudScore": "(event_id * 37) % 100 / 100D",
     "paymentStatus": "CASE event_id % 8 WHEN 3 THEN 'FAILED' WHEN 7 THEN 'failed' ELSE 'APPROVED' END",
     "ipRisk": "CAST((event_id * 53) % 101 AS INT)",

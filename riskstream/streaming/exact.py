@@ -12,6 +12,7 @@ and window. Needs the RocksDB state store.
 
 from __future__ import annotations
 
+import decimal
 import sys
 from collections.abc import Iterator
 from typing import Any
@@ -25,7 +26,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from riskstream.config import MINUTE, WindowSpec
 from riskstream.functions import expressions as E
-from riskstream.operators.emissions import FIRE, REFIRE
+from riskstream.operators.emissions import FIRE, PARTS, REFIRE, sum_kind, sum_parts, totals
 from riskstream.operators.late import is_closed, window_start
 
 # executors get the code of this module with the query; it need not be installed there
@@ -42,7 +43,8 @@ def use_disk_state(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
 
 
-_STATS = "eventCount bigint, totalAmount double, totalFraudScore double, maxFraudScore double"
+_STATS = f"eventCount bigint, amountExact {E.TOTAL}, amountOdd double, scoreExact {E.TOTAL}, scoreOdd double, maxFraudScore double"
+_DIGITS = 38  # of decimal sums, as in Spark
 _PARTIAL = (
     f"key string, windowStart bigint, closed boolean, batch_id bigint, partition int, offset bigint, "
     f"event_ts timestamp, eventId string, {_STATS}"
@@ -56,10 +58,12 @@ _OUTPUT = (
 
 def _sum_open_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Per Arrow batch: open rows summed per key and window, closed rows as they are.
-    Rows with a NaN stay single too, because pandas would leave it out of a sum."""
+    Rows with a value that is null or not finite stay single too, because pandas
+    would leave it out of a sum."""
+    decimal.getcontext().prec = _DIGITS
     order = ["batch_id", "partition", "offset"]
     for rows in batches:
-        single = rows["closed"] | rows["totalAmount"].isna() | rows["totalFraudScore"].isna()
+        single = rows["closed"] | rows["amountExact"].isna() | rows["scoreExact"].isna()
         open_rows = rows[~single].sort_values(order)
         summed = open_rows.groupby(["key", "windowStart"], as_index=False, sort=False).agg(
             closed=("closed", "first"),
@@ -69,8 +73,10 @@ def _sum_open_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             event_ts=("event_ts", "max"),
             eventId=("eventId", "first"),
             eventCount=("eventCount", "sum"),
-            totalAmount=("totalAmount", "sum"),
-            totalFraudScore=("totalFraudScore", "sum"),
+            amountExact=("amountExact", "sum"),
+            amountOdd=("amountOdd", "first"),
+            scoreExact=("scoreExact", "sum"),
+            scoreOdd=("scoreOdd", "first"),
             maxFraudScore=("maxFraudScore", "max"),
         )
         yield summed[list(rows.columns)]
@@ -82,6 +88,11 @@ def _greater(a: float, b: float) -> float:
     return a if a != a or a >= b else b
 
 
+def _sum(a: Any, b: Any) -> Any:
+    """a + b, where null counts as nothing."""
+    return b if a is None else a if b is None else a + b
+
+
 class WindowEmitter(StatefulProcessor):
     """State of one key and window, and what it emits.
 
@@ -95,6 +106,7 @@ class WindowEmitter(StatefulProcessor):
         self._lateness_ms = lateness_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        decimal.getcontext().prec = _DIGITS
         self._handle = handle
         self._state = handle.getValueState("window", _STATE)
 
@@ -135,30 +147,32 @@ class WindowEmitter(StatefulProcessor):
         place = (row.batch_id, row.partition, row.offset)
         if stats is None:
             return (
-                row.eventCount, row.totalAmount, row.totalFraudScore, row.maxFraudScore, *place, row.eventId, fired
+                row.eventCount, row.amountExact, row.amountOdd, row.scoreExact, row.scoreOdd, row.maxFraudScore,
+                *place, row.eventId, fired,
             )
-        first = stats[4:8] if stats[4:7] <= place else (*place, row.eventId)
+        first = stats[6:10] if stats[6:9] <= place else (*place, row.eventId)
         return (
             stats[0] + row.eventCount,
-            stats[1] + row.totalAmount,
-            stats[2] + row.totalFraudScore,
-            _greater(stats[3], row.maxFraudScore),
+            _sum(stats[1], row.amountExact),
+            _sum(stats[2], row.amountOdd),
+            _sum(stats[3], row.scoreExact),
+            _sum(stats[4], row.scoreOdd),
+            _greater(stats[5], row.maxFraudScore),
             *first,
             fired,
         )
 
     @staticmethod
     def _emit(name: str, start: int, stats: tuple, kind: str, cause: tuple[int, int, int]) -> Row:
-        count, amount, score, highest = stats[:4]
+        count, *parts, highest = stats[:6]
         batch_id, partition, offset = cause
         return Row(
             key=name,
             windowStart=start,
             eventCount=count,
-            totalAmount=amount,
-            totalFraudScore=score,
+            **dict(zip(PARTS, parts, strict=True)),
             maxFraudScore=highest,
-            sampleEventId=stats[7],
+            sampleEventId=stats[9],
             kind=kind,
             batch_id=batch_id,
             partition=partition,
@@ -178,8 +192,7 @@ def exact_emissions(stamped: DataFrame, key: Column, spec: WindowSpec = MINUTE)
         "event_ts",
         "eventId",
         F.lit(1).cast("bigint").alias("eventCount"),
-        F.col("amount").alias("totalAmount"),
-        F.col("mlFraudScore").alias("totalFraudScore"),
+        *[term.cast(sum_kind(name)).alias(name) for name, term in zip(PARTS, sum_parts(), strict=True)],
         F.greatest(F.lit(0.0), F.col("mlFraudScore")).alias("maxFraudScore"),
     )
     life = spec.size_ms + spec.out_of_orderness_ms + spec.allowed_lateness_ms
@@ -199,8 +212,7 @@ def exact_emissions(stamped: DataFrame, key: Column, spec: WindowSpec = MINUTE)
         "windowStart",
         (F.col("windowStart") + spec.size_ms).alias("windowEnd"),
         "eventCount",
-        E.settle(F.col("totalAmount")).alias("totalAmount"),
-        E.settle(F.col("totalFraudScore")).alias("totalFraudScore"),
+        *totals(),
         "maxFraudScore",
         "sampleEventId",
         "kind",

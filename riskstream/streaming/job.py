@@ -44,6 +44,10 @@ class RiskJob:
     mode: str = EXACT
     files_per_batch: int | None = None
 
+    def __post_init__(self) -> None:
+        if self.mode not in (EXACT, FINAL):
+            raise ValueError(f"mode must be {EXACT!r} or {FINAL!r}, not {self.mode!r}")
+
     def _checkpoint(self, name: str) -> str:
         return f"{self.root}/checkpoints/{name}"
 
@@ -105,14 +109,28 @@ class RiskJob:
         records = spark.readStream.schema(schema).parquet(f"{self.root}/{folder}")
         return json_values(records.select(*schema.fieldNames()))  # without the batch of the folder
 
+    def _has_output(self, spark: SparkSession, folder: str) -> bool:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{folder}")
+        return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
     def start_publishing(self, spark: SparkSession, servers: str) -> dict[str, StreamingQuery]:
-        """Copy every output to its Kafka topic, at least once."""
-        return {
-            folder: start_topic_sink(
-                self.topic_values(spark, folder), topic, servers, self._checkpoint(f"publish-{folder}")
-            )
-            for folder, (topic, _) in self.outputs().items()
-        }
+        """Copy every output that there is to its Kafka topic, at least once.
+
+        The SQL aggregates, say, are there only if their query was started. If a
+        copy cannot start, those that did are stopped.
+        """
+        started: dict[str, StreamingQuery] = {}
+        try:
+            for folder, (topic, _) in self.outputs().items():
+                if self._has_output(spark, folder):
+                    started[folder] = start_topic_sink(
+                        self.topic_values(spark, folder), topic, servers, self._checkpoint(f"publish-{folder}")
+                    )
+        except Exception:
+            for query in started.values():
+                query.stop()
+            raise
+        return started
 
     def start_sql_aggregates(self, log: DataFrame, available_now: bool = False) -> StreamingQuery:
         """The SQL aggregate reads the raw topic itself, without checks or lateness."""

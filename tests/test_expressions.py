@@ -28,11 +28,31 @@ def test_round_half_up_of_nan_is_zero(spark):
     assert value(spark, E.round_half_up(F.lit(float("nan")))) == 0.0
 
 
-def test_settled_sums_do_not_depend_on_order(spark):
-    parts = [0.1, 0.2, 0.3, 1e5, 7.77]
-    forward, backward = sum(parts), sum(reversed(parts))
-    assert value(spark, E.settle(F.lit(forward))) == value(spark, E.settle(F.lit(backward)))
-    assert value(spark, E.settle(F.lit(1e12 + 0.123))) == 1e12 + 0.123
+@pytest.mark.parametrize(
+    ("terms", "total"),
+    [
+        ([0.1, 0.2, 0.3, 1e5, 7.77], 100008.37),
+        ([2999.9999997], 2999.9999997),
+        ([1e-7] * 4, 4e-7),
+        ([2e9 + 0.1, 0.2, -2e9, 1e12, 0.3, None], 1e12 + 0.6),
+        ([1.0, float("inf"), 2.0], float("inf")),
+        ([None], None),
+    ],
+)
+def test_sums_do_not_depend_on_order(spark, terms, total):
+    for some in (terms, terms[::-1], sorted(terms, key=lambda x: (x is None, x))):
+        rows = spark.createDataFrame([(x,) for x in some], "x double").repartition(3)
+        assert rows.agg(E.exact_sum(F.col("x"))).first()[0] == total
+
+
+def test_sum_with_nan_is_nan(spark):
+    rows = spark.createDataFrame([(1.0,), (float("nan"),), (float("inf"),)], "x double")
+    assert str(rows.agg(E.exact_sum(F.col("x"))).first()[0]) == "nan"
+
+
+def test_sum_refuses_what_does_not_fit(spark):
+    with pytest.raises(PySparkException):
+        spark.createDataFrame([(1e16,)], "x double").agg(E.exact_sum(F.col("x"))).collect()
 
 
 def test_ratio_of_nothing_is_zero(spark):
@@ -59,14 +79,24 @@ def test_alert_id_is_stable_or_random(spark):
 
 def test_position_orders_by_partition_then_offset(spark):
     rows = spark.createDataFrame([(1, 0), (0, 5), (0, 4)], "partition int, offset bigint")
-    got = rows.withColumn("p", E.position()).orderBy("p").collect()
+    got = rows.withColumn("p", E.position(rows)).orderBy("p").collect()
     assert [(r.partition, r.offset) for r in got] == [(0, 4), (0, 5), (1, 0)]
 
 
+def test_position_tells_topics_apart(spark):
+    rows = spark.createDataFrame(
+        [("transactions.replay", 0, 0), ("transactions.raw", 0, 0), ("transactions.raw", 1, 0)], "topic string, partition int, offset bigint"
+    )
+    assert rows.select(E.position(rows)).distinct().count() == 3
+    other = rows.withColumn("topic", F.lit("alerts.fraud"))
+    with pytest.raises(PySparkException):
+        other.select(E.position(other)).collect()
+
+
 def test_position_refuses_what_does_not_fit(spark):
     rows = spark.createDataFrame([(0, 1 << 44)], "partition int, offset bigint")
     with pytest.raises(PySparkException):
-        rows.select(E.position()).collect()
+        rows.select(E.position(rows)).collect()
 
 
 def test_event_timestamp_out_of_range_is_null(spark):

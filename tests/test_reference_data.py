@@ -8,15 +8,23 @@ from riskstream.sources.logs import text_log
 
 PROFILE = '{"merchant_id":"%s","risk_tier":"%s","risk_multiplier":%s,"manual_review_required":%s,"updated_at":"2026-06-22T10:00:00Z","__op":"%s","__source_ts_ms":%d}'
 CHANGES = [
-    PROFILE % ("merchant-hot", "HIGH", "1.700", "true", "r", 1),
-    PROFILE % ("merchant-01", "LOW", "0.900", "false", "r", 1),
-    PROFILE % ("merchant-07", "MEDIUM", "1.200", "false", "r", 1),
-    PROFILE % ("merchant-12", "MEDIUM", "1.150", "false", "r", 1),
-    PROFILE % ("merchant-hot", "HIGH", "1.8", "true", "u", 5),
-    PROFILE % ("merchant-07", "MEDIUM", "1.2", "false", "d", 5),
-    PROFILE % ("merchant-12", "LOW", "1.0", "false", "u", 9),
-    PROFILE % ("merchant-12", "HIGH", "1.9", "false", "u", 9),
+    PROFILE % ("tea-house", "MEDIUM", "1.310", "false", "r", 100),
+    PROFILE % ("book-barn", "LOW", "0.455", "true", "r", 100),
+    PROFILE % ("kiosk-9", "HIGH", "2.250", "true", "r", 100),
+    PROFILE % ("tea-house", "HIGH", "1.625", "true", "u", 340),
+    PROFILE % ("kiosk-9", "HIGH", "2.250", "true", "d", 340),
+    # equal times: the later place in the log wins
+    PROFILE % ("ferry", "LOW", "0.750", "false", "u", 340),
+    PROFILE % ("ferry", "MEDIUM", "1.125", "false", "u", 340),
+    # damaged images do not take the place of a good one
+    PROFILE % ("tea-house", "LOW", '"abc"', "false", "u", 900),
+    PROFILE % ("tea-house", "LOW", "123456789.5", "false", "u", 900),
+    '{"merchant_id":"tea-house","risk_tier":"LOW","__op":"u","__source_ts_ms":900}',
+    '{"merchant_id":"tea-house","risk_tier":',
     None,
+    # a delete needs no image
+    PROFILE % ("gone", "LOW", "1.0", "false", "r", 100),
+    '{"merchant_id":"gone","__op":"d","__source_ts_ms":200}',
 ]
 
 
@@ -33,29 +41,29 @@ def tiers(df):
 
 
 def test_last_change_wins_and_deletes_remove(changes):
-    assert changes.count() == 8
+    assert changes.count() == 9
     assert tiers(changelog.current_state(changes)) == {
-        "merchant-hot": ("HIGH", 1.8),
-        "merchant-01": ("LOW", 0.9),
-        "merchant-12": ("HIGH", 1.9),
+        "tea-house": ("HIGH", 1.625),
+        "book-barn": ("LOW", 0.455),
+        "ferry": ("MEDIUM", 1.125),
     }
 
 
 def test_upsert(spark, changes):
     incoming = spark.createDataFrame(
-        [("merchant-01", "HIGH", True), ("merchant-99", "LOW", False)],
+        [("book-barn", "HIGH", True), ("new-stall", "LOW", False)],
         "merchant_id string, risk_tier string, manual_review_required boolean",
     ).withColumn("risk_multiplier", F.lit(2).cast("decimal(6,3)"))
     now = F.timestamp_millis(F.lit(1000))
     merged = changelog.upsert(changelog.current_state(changes), incoming, now)
     assert tiers(merged) == {
-        "merchant-hot": ("HIGH", 1.8),
-        "merchant-01": ("HIGH", 2.0),
-        "merchant-12": ("HIGH", 1.9),
-        "merchant-99": ("LOW", 2.0),
+        "tea-house": ("HIGH", 1.625),
+        "book-barn": ("HIGH", 2.0),
+        "ferry": ("MEDIUM", 1.125),
+        "new-stall": ("LOW", 2.0),
     }
     stamped = merged.filter(F.unix_millis("updated_at") == 1000)
-    assert sorted(r.merchant_id for r in stamped.collect()) == ["merchant-01", "merchant-99"]
+    assert sorted(r.merchant_id for r in stamped.collect()) == ["book-barn", "new-stall"]
 
 
 def test_upsert_refuses_two_rows_for_a_key(changes):
@@ -79,9 +87,9 @@ def test_lookup_join_is_the_same_both_ways(spark, how):
 
 def test_profiles_scale_the_rules(spark, changes):
     tx = spark.createDataFrame(
-        [("e1", "u", "merchant-hot", 0.6, 1.0), ("e2", "u", "merchant-01", 0.95, 1.0), ("e3", "u", None, 0.95, 1.0)],
+        [("e1", "u", "tea-house", 0.6, 1.0), ("e2", "u", "book-barn", 0.95, 1.0), ("e3", "u", None, 0.95, 1.0)],
         "eventId string, userId string, merchantId string, mlFraudScore double, amount double",
     ).withColumns({"ipRisk": F.lit(1), "paymentStatus": F.lit("APPROVED"), "eventTime": F.lit(5).cast("bigint")})
     enriched = enrich.with_profiles(tx, changelog.current_state(changes))
-    assert {r.eventId: r.risk_multiplier for r in enriched.collect()} == {"e1": 1.8, "e2": 0.9, "e3": 1.0}
+    assert {r.eventId: r.risk_multiplier for r in enriched.collect()} == {"e1": 1.625, "e2": 0.455, "e3": 1.0}
     assert {r.sampleEventId for r in enrich.profiled_high_risk_alerts(enriched).collect()} == {"e1", "e3"}

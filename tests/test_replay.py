@@ -119,3 +119,14 @@ def test_repaired_records_pass_the_parser(spark):
     again = parse.parse_transactions(fixed)
     # white space is no missing value to the repair, but blank to the parser
     assert sorted(str(r.reason) for r in again.collect()) == ["None"] * 4 + ["userId is required"]
+
+
+@pytest.mark.parametrize("raw", ['{"eventId":"a","userId":"u"} trailing', '{"eventId":"a"}{"eventId":"b"}', '{"eventId":"a"},{"eventId":"b"}', '{"eventId":"a"}]'])
+def test_text_after_the_json_is_dropped(spark, raw):
+    import json
+
+    record = json.dumps({"errorType": "PARSE_OR_VALIDATION_ERROR", "rawValue": raw})
+    good = json.dumps({"errorType": "PARSE_OR_VALIDATION_ERROR", "rawValue": '{"eventId":"a"}'})
+    rows = [(0, 0, record), (0, 1, good + " junk"), (0, 2, good)]
+    log = spark.createDataFrame(rows, "partition int, offset bigint, value string")
+    assert [r.status for r in replay.repair(log, 5).orderBy("offset").collect()] == ["dropped", "dropped", "repaired"]

@@ -1,6 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
+from riskstream.operators import alerts
+
 from riskstream.config import RiskThresholds
 from riskstream.functions import rules as R
 
@@ -78,3 +80,19 @@ def test_replayable(spark):
 def test_thresholds_can_be_tuned(spark):
     limits = RiskThresholds(burst_count=2)
     assert spark.range(1).select(R.is_burst(F.lit(2), F.lit(1.0), limits)).first()[0] is True
+
+
+def test_two_topics_give_one_alert_per_user(spark):
+    """Rows of two topics may have the same partition and offset."""
+    rows = [(topic, 0, 0, f"e-{user}", user, 5_000.0) for topic, user in (("transactions.raw", "u"), ("transactions.replay", "v"))]
+    tx = spark.createDataFrame(rows, "topic string, partition int, offset bigint, eventId string, userId string, amount double")
+    tx = tx.withColumns({"mlFraudScore": F.lit(0.1), "event_ts": F.timestamp_millis(F.lit(60_000))})
+    found = alerts.user_burst_alerts(tx).collect()
+    assert sorted((r.key, r.sampleEventId) for r in found) == [("u", "e-u"), ("v", "e-v")]
+
+
+def test_burst_limit_is_not_reached_by_rounding(spark):
+    rows = [("e", "u", 0, 0, 2999.9999997)]
+    tx = spark.createDataFrame(rows, "eventId string, userId string, partition int, offset bigint, amount double")
+    tx = tx.withColumns({"mlFraudScore": F.lit(0.1), "event_ts": F.timestamp_millis(F.lit(60_000))})
+    assert alerts.user_burst_alerts(tx).count() == 0

@@ -197,3 +197,8 @@ def test_corrections_to_batch_folders(spark, ingested):
     want = aggregates.country_category_aggregates(ingest.landed_table(spark, job.root), SPEC)
     want = want.select("key", "windowStart", "eventCount")
     assert last.exceptAll(want).count() == 0 and want.exceptAll(last).count() == 0
+
+
+def test_unknown_mode_is_refused(tmp_path):
+    with pytest.raises(ValueError, match="mode"):
+        RiskJob(str(tmp_path), mode="corrections")
