@@ -6,7 +6,10 @@ number of records. The frames of bounds have one row per partition.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskstream import config as cfg
@@ -75,15 +78,16 @@ def topic_tail(
     if not cfg.TAIL_MIN_LIMIT <= limit <= cfg.TAIL_MAX_LIMIT:
         raise ValueError(f"limit must be between {cfg.TAIL_MIN_LIMIT} and {cfg.TAIL_MAX_LIMIT}")
     rows = log.filter(F.col("topic") == topic)
-    if rows.isEmpty():
+    bounds = partition_bounds(rows).collect()  # a row per partition
+    if not bounds:
         raise LookupError(f"topic not found: {topic}")
     if not from_beginning:
-        partitions = F.count(F.lit(1)).over(Window.partitionBy("topic"))
-        each = F.greatest(F.lit(1), F.floor(F.lit(limit) / F.greatest(partitions, F.lit(1))) + 1)
-        starts = partition_bounds(rows).select(
-            "topic", "partition", F.greatest(F.col("low"), F.col("high") - each).alias("_start")
-        )
-        rows = rows.join(F.broadcast(starts), ["topic", "partition"]).filter(F.col("offset") >= F.col("_start"))
+        each = max(1, limit // len(bounds) + 1)
+        newest = [
+            (F.col("partition") == b["partition"]) & (F.col("offset") >= max(b["low"], b["high"] - each)) for b in bounds
+        ]
+        # literals, so that the bounds reach the files; the newest records need no other pass
+        rows = rows.filter(reduce(or_, newest))
     text = F.coalesce(F.col("value").cast("string"), F.lit(""))
     return (
         rows.orderBy("partition", "offset")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,13 +10,11 @@ SALTS = 16
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster; a temporary one only in local mode."""
+    """The shared folder of the cluster: spark.checkpoint.dir, else one in the warehouse."""
     context = spark.sparkContext
     folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="riskstream-")
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
