@@ -5,7 +5,9 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -40,6 +42,7 @@ _TERM = re.compile(
     r"""(?P<lit>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*')|\$\{?(?P<var>[A-Za-z_]\w*)\}?|(?P<bare>[A-Za-z0-9+/_.=-]+)"""
 )
 _PLUS = re.compile(r"[ \t]{0,8}(?:\+|\.\.)[ \t]{0,8}")
+_SPACE = re.compile(r"\s")
 _NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_.-]*\Z")
 _PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
@@ -63,13 +66,43 @@ def name_score(name: str) -> float:
     return 1 - math.prod(1 - SENSITIVE.get(p, 0.0) for p in set(parts))
 
 
-def literal_score(value: str) -> float:
+def _character_counts(literal: str) -> Counter[int]:
+    """How often characters stand in a literal; those beyond ASCII share the 128 places by code point."""
+    counts: Counter[int] = Counter()
+    for c, n in Counter(literal).items():
+        counts[ord(c) % 128] += n
+    return counts
+
+
+def literal_score(counts: Counter[int], spaced: bool) -> float:
     """How much a literal looks like a secret, from 0 to 1: by length, and by entropy of its characters."""
-    if len(value) < 6 or re.search(r"\s", value):
+    length = counts.total()
+    if length < 6 or spaced:
         return 0.0
-    counts = [value.count(c) for c in set(value)]
-    entropy = -sum(n / len(value) * math.log2(n / len(value)) for n in counts)
-    return min(1.0, len(value) / 16) * min(1.0, entropy / 3)
+    entropy = -sum(n / length * math.log2(n / length) for n in counts.values())
+    return min(length, 16) / 16 * min(1.0, entropy / 3)
+
+
+@dataclass(slots=True)
+class _Value:
+    """What was assigned to a name: its literals and the earlier values that it is made of."""
+
+    spans: list[tuple[int, int]]
+    parts: list[_Value]
+    counts: Counter[int]
+    spaced: bool
+    score: float = 0.0
+
+
+def _value(text: str, spans: list[tuple[int, int]], parts: list[_Value]) -> _Value:
+    """The value joined of these literals and earlier values; a value of over 2**40 characters keeps their shares only."""
+    counts: Counter[int] = Counter()
+    for more in [*(_character_counts(text[s:e]) for s, e in spans), *(p.counts for p in parts)]:
+        counts.update(more)
+    if counts.total() > 1 << 40:
+        counts = Counter({c: max(1, n >> 20) for c, n in counts.items()})
+    spaced = any(_SPACE.search(text, s, e) for s, e in spans) or any(p.spaced for p in parts)
+    return _Value(spans, parts, counts, spaced)
 
 
 def literal_spans(text: str, least_score: float = LEAST_SCORE) -> list[tuple[int, int, int]]:
@@ -79,31 +112,37 @@ def literal_spans(text: str, least_score: float = LEAST_SCORE) -> list[tuple[int
     names, joined by +. A name that was assigned before stands for its
     literals, so key = "..."; password = key finds the literal of key. A
     literal's score is that of its most sensitive name, weighted with how much
-    the value that it is part of looks like a secret.
+    the value that it is part of looks like a secret. A value refers to those
+    it is made of, and scores go back over these references in one pass, so the
+    work follows the text's length and no literal is left out.
     """
-    constants: dict[str, list[tuple[int, int]]] = {}
-    scores: dict[tuple[int, int], float] = {}
+    constants: dict[str, _Value] = {}
+    values: list[_Value] = []
     for pair in _PAIR.finditer(text):
-        at, found = pair.end(), []
+        at, spans, parts = pair.end(), [], []
         while term := _TERM.match(text, at):
             at = term.end()
             if term["lit"] is not None:
-                found.append((term.start() + 1, at - 1))
+                spans.append((term.start() + 1, at - 1))
             else:
                 name = term["var"] or term["bare"]
                 if name in constants:
-                    found += constants[name]
+                    parts.append(constants[name])
                 elif term["bare"] and not (_NAME.match(name) and len(name) < 16 and not re.search(r"\d", name)):
-                    found.append((term.start(), at))
+                    spans.append((term.start(), at))
             if not (plus := _PLUS.match(text, at)):
                 break
             at = plus.end()
-        found = list(dict.fromkeys(found))[:256]  # a sum of terms repeats a literal only by repeating a name
-        constants[pair["name"]] = found
+        value = constants[pair["name"]] = _value(text, spans, parts)
+        values.append(value)
         if sensitive := name_score(pair["name"]):
-            score = sensitive * literal_score("".join(text[s:e] for s, e in found)) ** 0.5
-            for span in found:
-                scores[span] = max(scores.get(span, 0.0), score)
+            value.score = sensitive * literal_score(value.counts, value.spaced) ** 0.5
+    scores: dict[tuple[int, int], float] = {}
+    for value in reversed(values):  # a value is made of earlier ones only, so its score is final when it is passed on
+        for part in value.parts:
+            part.score = max(part.score, value.score)
+        for span in value.spans:
+            scores[span] = max(scores.get(span, 0.0), value.score)
     return sorted((s, e, 3) for (s, e), score in scores.items() if score >= least_score)
 
 

@@ -57,6 +57,14 @@ def test_literals(text, literals):
     assert [text[s:e] for s, e, _ in secrets.literal_spans(text)] == literals
 
 
+def test_no_literal_of_a_long_sum_is_left_out():
+    pieces = [f"kX{n:04d}qZ" for n in range(3000)]
+    text = 'a = ""\n' + "".join(f'a = a + "{piece}"\n' for piece in pieces) + "auth_token = a"
+    assert [text[s:e] for s, e, _ in secrets.literal_spans(text) if e > s] == pieces
+    doubled = 'a = "kX82hs71Lq0z"\n' + "a = a + a\n" * 5000 + "auth_token = a"
+    assert [doubled[s:e] for s, e, _ in secrets.literal_spans(doubled)] == ["kX82hs71Lq0z"]
+
+
 def test_secrets_of_no_documents(no_docs):
     assert secrets.secret_digest(secrets.secret_scan(no_docs)).count() == 0
 
