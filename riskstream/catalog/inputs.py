@@ -18,6 +18,9 @@ DAY_MS, HOUR_MS = 86_400_000, 3_600_000
 
 # wide window and delays, to match the sparse test events
 LATE_SPEC = WindowSpec(size_ms=DAY_MS, out_of_orderness_ms=HOUR_MS, allowed_lateness_ms=12 * HOUR_MS)
+# the same for a log that arrives in a few large batches
+JOB_SPEC = WindowSpec(size_ms=DAY_MS, out_of_orderness_ms=HOUR_MS, allowed_lateness_ms=48 * HOUR_MS)
+JOB_BATCHES = 3
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,6 +52,19 @@ def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_log_from_events(spread(events(spark, sf_dir)), DEFAULT_TOPICS.raw).drop("event_id")
 
 
+def arriving_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw log with the number of the batch in which a record arrives. A part
+    comes on the replay topic, some records 30 hours late and a few 10 days."""
+    rows, n = spread(events(spark, sf_dir)), F.col("event_id")
+    delay = F.when(n % 149 == 0, 10 * 24).when(n % 13 == 0, 30).otherwise(0)
+    rows = rows.withColumn("ts", F.col("ts") - F.make_interval(hours=delay))
+    log = raw_log_from_events(rows, DEFAULT_TOPICS.raw)
+    last = JOB_BATCHES - 1
+    batch = F.least(F.floor(n * JOB_BATCHES / max(1, rows.count())), F.lit(last))
+    topic = F.when(n % 7 == 0, DEFAULT_TOPICS.replay).otherwise(F.col("topic"))
+    return log.withColumn("topic", topic).withColumn("batch_id", batch).drop("event_id")
+
+
 def batched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transactions in numbered batches; some come 8 hours late, a few 10 days."""
     n = F.col("event_id")

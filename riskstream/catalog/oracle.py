@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from riskstream.catalog import inputs as I
+from riskstream.config import WindowSpec
 
 _SIZES = {"minute": 60_000, "day": I.DAY_MS}
 
@@ -43,14 +44,15 @@ def _json(fields: list[str], prefix: str = "") -> str:
 
 
 # the raw log: overridden fields, then its JSON text
-_RAW = f"""
+def _raw_log(source: str) -> str:
+    return f"""
 raw AS (
   SELECT * REPLACE (
     CASE WHEN event_id % 139 = 0 THEN '' ELSE "eventId" END AS "eventId",
     CASE WHEN event_id % 163 = 0 THEN ' ' ELSE "userId" END AS "userId",
     CASE WHEN event_id % 157 = 0 THEN 0 ELSE "eventTime" END AS "eventTime",
     CASE WHEN event_id % 151 = 0 THEN -amount ELSE amount END AS amount)
-  FROM tx
+  FROM {source}
 ),
 log AS (
   SELECT *, CASE WHEN event_id % 137 = 0 THEN substr(json_text, 1, 30) ELSE json_text END AS raw_value,
@@ -62,6 +64,9 @@ log AS (
   FROM (SELECT *, {_json(_FIELDS)} AS json_text FROM raw)
 )"""
 
+
+_RAW = _raw_log("tx")
+
 _REJECTED = f"""
 rejected AS (
   SELECT 'PARSE_OR_VALIDATION_ERROR' AS "errorType", reason,
@@ -179,14 +184,17 @@ def _sql_aggregate(source: str, size: int) -> str:
 
 
 # batches with their watermark, and the place of each row relative to its window
-def _stamped(size: int, delay: int, lateness: int) -> str:
-    return f"""
+_BATCHED = f"""
 batched AS (
   SELECT * REPLACE ("eventTime" - CASE WHEN event_id % 149 = 0 THEN {10 * I.DAY_MS}
       WHEN event_id % 11 = 0 THEN {8 * I.HOUR_MS} ELSE 0 END AS "eventTime"),
     event_id // {I.BATCH_EVENTS} AS batch_id
   FROM tx
-),
+)"""
+
+
+def _stamped(size: int, delay: int, lateness: int, batched: str = _BATCHED) -> str:
+    return f"""{batched},
 marks AS (
   SELECT batch_id, max(max("eventTime")) OVER (ORDER BY batch_id
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - {delay + 1} AS watermark
@@ -204,15 +212,15 @@ _LATE_MINUTE = _stamped(60_000, 10_000, 30_000)
 _LATE_DAY = _stamped(I.LATE_SPEC.size_ms, I.LATE_SPEC.out_of_orderness_ms, I.LATE_SPEC.allowed_lateness_ms)
 
 
-def _emissions(key: str) -> str:
-    size, delay = I.LATE_SPEC.size_ms, I.LATE_SPEC.out_of_orderness_ms
+def _emissions(key: str, spec: WindowSpec = I.LATE_SPEC) -> str:
+    size, delay = spec.size_ms, spec.out_of_orderness_ms
     return f"""
 in_time AS (SELECT *, {key} AS "key" FROM stamped WHERE NOT late),
 on_time AS (
   SELECT "key", "windowStart", count(*) AS n, sum(CAST(amount AS DECIMAL(28, 4))) AS total,
     sum(CAST("mlFraudScore" AS DECIMAL(28, 4))) AS score,
     greatest(0.0::DOUBLE, max("mlFraudScore")) AS top,
-    arg_min("eventId", (batch_id * 3 + "partition") * (1::HUGEINT << 44) + "offset") AS first_id
+    arg_min("eventId", (batch_id * 1024 + "partition") * (1::HUGEINT << 44) + "offset") AS first_id
   FROM in_time WHERE NOT closed GROUP BY ALL
 ),
 after AS (
@@ -413,6 +421,38 @@ def _closed_stats(size: int, key: str, delay: int) -> str:
     )
 
 
+# the log that arrives in batches, as its good rows are landed: partition p of the i-th of two topics becomes 2p + i
+_ARRIVING = f"""
+delayed AS (
+  SELECT * REPLACE ("eventTime" - CASE WHEN event_id % 149 = 0 THEN {10 * I.DAY_MS}
+      WHEN event_id % 13 = 0 THEN {30 * I.HOUR_MS} ELSE 0 END AS "eventTime"),
+    least(event_id * {I.JOB_BATCHES} // (SELECT greatest(count(*), 1) FROM events), {I.JOB_BATCHES - 1}) AS batch_id
+  FROM tx
+),{_raw_log("delayed")},
+batched AS (
+  SELECT * REPLACE (CAST("partition" * 2 + CAST(event_id % 7 = 0 AS INT) AS INT) AS "partition") FROM log WHERE reason IS NULL
+)"""
+_ARRIVED = _stamped(I.JOB_SPEC.size_ms, I.JOB_SPEC.out_of_orderness_ms, I.JOB_SPEC.allowed_lateness_ms, _ARRIVING)
+_ARRIVED_STATS = f"""
+in_time AS (SELECT * EXCLUDE ("windowStart") FROM stamped WHERE NOT late),
+stats AS ({_stats("in_time", _KEY, _DAY)}
+),
+given AS (
+  SELECT {_KEY} AS "key", "eventTime" - "eventTime" % {_DAY} AS "windowStart", count(DISTINCT batch_id) AS given
+  FROM in_time GROUP BY ALL
+),
+done AS (
+  SELECT * FROM stats WHERE "windowEnd" <=
+    (SELECT max("eventTime") - {I.JOB_SPEC.out_of_orderness_ms + I.JOB_SPEC.allowed_lateness_ms} FROM batched)
+)"""
+_LATE_RECORD = (
+    "SELECT 'LATE_EVENT' AS \"errorType\", 'event arrived after watermark and allowed lateness' AS reason, "
+    "'transactions.raw' AS \"sourceTopic\", 'transactions.replay' AS \"replayTopic\", "
+    f'{_json(_FIELDS)} AS "rawValue", {I.OBSERVED_AT}::BIGINT AS "observedAt" FROM stamped WHERE late'
+)
+_SQL_TIME = "strftime(make_timestamp(\"{0}\" * 1000), '%Y-%m-%dT%H:%M:%S.%gZ') AS \"{0}\""
+
+
 ORACLE: dict[str, str] = {
     "transactions": _with(select=f'SELECT {_COLS}, "partition", "offset" FROM tx'),
     "parsed_transactions": _with(
@@ -466,14 +506,16 @@ valid AS (SELECT * REPLACE (CAST("partition" * 2 AS INT) AS "partition") FROM lo
         _RAW, "\nread AS (SELECT * FROM log WHERE event_id % 137 <> 0)", select=_sql_aggregate("read", _MINUTE)
     ),
     "sql_aggregates_daily": _with(select=_sql_aggregate("tx", _DAY)),
+    "sql_aggregate_json": _with(
+        select=f'SELECT {_AGGREGATE_JSON} AS "value" FROM (SELECT * REPLACE ('
+        f'{_SQL_TIME.format("windowStart")}, {_SQL_TIME.format("windowEnd")}) FROM ({_sql_aggregate("tx", _DAY)}))'
+    ),
     "late_events": _with(
         _LATE_MINUTE, select='SELECT batch_id, "eventId", "eventTime", watermark FROM stamped WHERE late'
     ),
     "late_records": _with(
         _LATE_DAY,
-        select="SELECT 'LATE_EVENT' AS \"errorType\", 'event arrived after watermark and allowed lateness' AS reason, "
-        "'transactions.raw' AS \"sourceTopic\", 'transactions.replay' AS \"replayTopic\", "
-        f'{_json(_FIELDS)} AS "rawValue", {I.OBSERVED_AT}::BIGINT AS "observedAt" FROM stamped WHERE late',
+        select=_LATE_RECORD,
     ),
     "aggregates_in_time": _with(
         _LATE_DAY,
@@ -568,4 +610,14 @@ incoming AS (
     ),
     "stream_high_risk_alerts": _with(select=_high_risk("tx")),
     "stream_emissions": _with(_LATE_DAY, _emissions(_MERCHANT), select="SELECT * FROM emission_stats"),
+    "stream_job_exact": _with(
+        _ARRIVED, _emissions(_USER, I.JOB_SPEC), select=_bursts("emission_stats", _CAUSE)
+    ),
+    "stream_job_final": _with(_ARRIVED, _ARRIVED_STATS, select=_aggregate("done")),
+    "stream_job_corrections": _with(
+        _ARRIVED, _ARRIVED_STATS, select=_aggregate('stats JOIN given USING ("key", "windowStart")', ", given")
+    ),
+    "stream_job_quarantine": _with(
+        _ARRIVED, _REJECTED, select=f"SELECT * FROM rejected UNION ALL ({_LATE_RECORD})"
+    ),
 }

@@ -15,9 +15,9 @@ from riskstream.operators import aggregates, alerts, changelog, contracts, emiss
 from riskstream.plans import pipeline
 from riskstream.plans.lookup import ensure_checkpoint_dir
 from riskstream.plans.sql import sql_aggregates
-from riskstream.schemas import AGGREGATE, ALERT, TRANSACTION_FIELDS
-from riskstream.sources import sinks
-from riskstream.streaming import exact, ingest, windows
+from riskstream.schemas import AGGREGATE, ALERT, DLQ, TRANSACTION_FIELDS
+from riskstream.sources import logs, sinks
+from riskstream.streaming import exact, ingest, job, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -150,6 +150,11 @@ def sql_aggregates_daily(spark, sf_dir):
     return _millis(sql_aggregates(I.transactions(spark, sf_dir), DAY), "windowStart", "windowEnd")
 
 
+@query
+def sql_aggregate_json(spark, sf_dir):
+    return sinks.json_values(sql_aggregates(I.transactions(spark, sf_dir), DAY))
+
+
 # --- late events and repeated emissions
 
 
@@ -181,7 +186,7 @@ def window_emissions(spark, sf_dir):
 
 @query
 def aggregate_emissions(spark, sf_dir):
-    stats = emissions.window_emissions(_stamped(spark, sf_dir), E.aggregate_key(), I.LATE_SPEC)
+    stats = emissions.window_emissions(_stamped(spark, sf_dir), E.aggregate_key(), I.LATE_SPEC, first_event=False)
     return aggregates.aggregate_records(stats, "kind", "batch_id", "partition", "offset")
 
 
@@ -383,3 +388,57 @@ def stream_emissions(spark, sf_dir):
     landed.select(*ingest.LANDED_SCHEMA.fieldNames()).write.parquet(f"{folder}/{ingest.LANDED}")
     rows = ingest.landed_stream(spark, folder)
     return _run(exact.exact_emissions(rows, E.merchant_key(), I.LATE_SPEC), folder)
+
+
+# --- the whole job: raw records in, results of each mode out
+
+
+def _finished(*running) -> None:
+    for query in running:
+        query.awaitTermination()
+
+
+def _run_job(spark: SparkSession, sf_dir: str, mode: str, *results: str) -> str:
+    """The folder of a job that ran over the raw log, which arrives in batches, and
+    gave the named results. In corrections mode the windows follow every batch, in
+    the others they read all batches at the end."""
+    folder = _scratch(spark)
+    risk = job.RiskJob(f"{folder}/job", I.JOB_SPEC, mode=mode)
+    arriving = I.arriving_log(spark, sf_dir)
+    for batch in range(I.JOB_BATCHES):
+        arrived = arriving.filter(F.col("batch_id") == batch).drop("batch_id")
+        arrived.write.mode("append").parquet(f"{folder}/log")
+        log = logs.file_stream(spark, f"{folder}/log")
+        _finished(risk.start_ingest(log, I.OBSERVED_AT, available_now=True))
+        if mode == job.CORRECTIONS:
+            _finished(*risk.start_windows(spark, True, results).values())
+    if mode != job.CORRECTIONS:
+        _finished(*risk.start_windows(spark, True, results).values())
+    return risk.root
+
+
+@query
+def stream_job_exact(spark, sf_dir):
+    return spark.read.parquet(f"{_run_job(spark, sf_dir, job.EXACT, 'user_bursts')}/user_bursts")
+
+
+@query
+def stream_job_final(spark, sf_dir):
+    return spark.read.parquet(f"{_run_job(spark, sf_dir, job.FINAL, 'aggregates')}/aggregates")
+
+
+@query
+def stream_job_corrections(spark, sf_dir):
+    """The last value of every window, and how often it was given out."""
+    given = spark.read.parquet(f"{_run_job(spark, sf_dir, job.CORRECTIONS, 'aggregates')}/aggregates")
+    window = ["key", "windowStart"]
+    values = [name for name in AGGREGATE.fieldNames() if name not in window]
+    last = F.max_by(F.struct(*values), "batch_id").alias("last")
+    return given.groupBy(*window).agg(last, F.count(F.lit(1)).alias("given")).select(*window, "last.*", "given")
+
+
+@query
+def stream_job_quarantine(spark, sf_dir):
+    """What the job sets aside: records that cannot be read, and late ones."""
+    root = _run_job(spark, sf_dir, job.FINAL)
+    return ingest.landed_table(spark, root, ingest.QUARANTINE).select(*DLQ.fieldNames())

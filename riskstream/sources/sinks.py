@@ -52,19 +52,39 @@ def start_batch_sink(
     output_mode: str = "append",
     available_now: bool = False,
 ) -> StreamingQuery:
-    """Hand every micro-batch to `write(frame, batch_id)`, which must overwrite
-    what an earlier attempt of the same batch has written."""
+    """Hand every micro-batch to `write(frame, batch_id)`, which must replace or
+    keep what an earlier attempt of the same batch has written."""
     writer = (
         records.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).outputMode(output_mode)
     )
     return _trigger(writer, available_now).start()
 
 
+def write_once(frame: DataFrame, folder: str) -> None:
+    """Write a folder of Parquet that appears as a whole, and only if it is not there yet.
+
+    Files are written aside, in a folder beside it that Spark's readers skip, and
+    moved in one step. So a reader of the parent never sees part of a batch, nor
+    a batch twice, wherever a run dies. Needs a file system that moves folders in
+    one step, as HDFS and local ones do.
+    """
+    spark = frame.sparkSession
+    paths = spark._jvm.org.apache.hadoop.fs
+    target = paths.Path(folder)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(target):
+        return
+    aside = paths.Path(paths.Path(target.getParent(), "_unfinished"), target.getName())
+    frame.write.mode("overwrite").parquet(aside.toString())
+    if not files.rename(aside, target):
+        raise OSError(f"{aside.toString()} could not be moved to {folder}")
+
+
 def write_batch_folder(path: str) -> Callable[[DataFrame, int], None]:
-    """A `write` for `start_batch_sink`: one folder per batch, replaced on retry."""
+    """A `write` for `start_batch_sink`: one folder per batch, written once."""
 
     def write(frame: DataFrame, batch_id: int) -> None:
-        frame.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        write_once(frame, f"{path}/batch_id={batch_id}")
 
     return write
 

@@ -8,7 +8,8 @@ Each micro-batch is parsed, then written as folders under `root`:
 - progress/:    the highest event time so far, one row.
 
 The watermark of a batch is made of earlier batches only, so a retried batch gets
-the same one. A folder that is complete is never written again.
+the same one. A folder appears when all of it is written, and is never written
+again, so its readers count every row once.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from riskstream.operators.alerts import high_risk_alerts
 from riskstream.operators.late import events_in_time, late_events, late_records, watermark_after
 from riskstream.operators.parse import parse_transactions, rejected_records, valid_transactions
 from riskstream.schemas import TRANSACTION
-from riskstream.sources.sinks import start_batch_sink
+from riskstream.sources.sinks import start_batch_sink, write_once
 
 LANDED, QUARANTINE, ALERTS, PROGRESS = "landed", "quarantine", "alerts", "progress"
 
@@ -41,16 +42,6 @@ LANDED_SCHEMA = T.StructType(
 _PROGRESS_SCHEMA = "highest bigint"
 
 
-def is_complete(spark: SparkSession, folder: str) -> bool:
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
-
-
-def write_once(frame: DataFrame, folder: str) -> None:
-    if not is_complete(frame.sparkSession, folder):
-        frame.write.mode("overwrite").parquet(folder)
-
-
 def start_ingest(
     log: DataFrame,
     root: str,

@@ -21,12 +21,13 @@ from riskstream.operators.alerts import anomaly_records, burst_records
 from riskstream.operators.parse import read_transactions_leniently
 from riskstream.schemas import AGGREGATE, ALERT, DLQ, SQL_AGGREGATE
 from riskstream.sources.logs import from_topics, merge_topics
-from riskstream.sources.sinks import json_values, start_file_sink, start_topic_sink
+from riskstream.sources.sinks import json_values, start_batch_sink, start_file_sink, start_topic_sink, write_batch_folder
 from riskstream.streaming import windows
 from riskstream.streaming.exact import exact_emissions, use_disk_state
 from riskstream.streaming.ingest import ALERTS, QUARANTINE, landed_stream, start_ingest
 
-EXACT, FINAL = "exact", "final"
+EXACT, FINAL, CORRECTIONS = "exact", "final", "corrections"
+MODES = (EXACT, FINAL, CORRECTIONS)
 
 
 @dataclass(frozen=True)
@@ -34,7 +35,8 @@ class RiskJob:
     """Folders and settings of one job.
 
     mode: "exact" gives a result at the close of a window and one per later row,
-    "final" one result when the allowed lateness is over.
+    "final" one result when the allowed lateness is over, "corrections" a new
+    result whenever a window changes, in a folder per micro-batch.
     """
 
     root: str
@@ -45,8 +47,8 @@ class RiskJob:
     files_per_batch: int | None = None
 
     def __post_init__(self) -> None:
-        if self.mode not in (EXACT, FINAL):
-            raise ValueError(f"mode must be {EXACT!r} or {FINAL!r}, not {self.mode!r}")
+        if self.mode not in MODES:
+            raise ValueError(f"mode must be one of {MODES}, not {self.mode!r}")
 
     def _checkpoint(self, name: str) -> str:
         return f"{self.root}/checkpoints/{name}"
@@ -67,7 +69,7 @@ class RiskJob:
 
     def window_results(self, landed: DataFrame) -> dict[str, DataFrame]:
         """Name → streaming frame of each windowed result."""
-        if self.mode == FINAL:
+        if self.mode != EXACT:
             return {
                 "aggregates": windows.stream_aggregates(landed, self.spec),
                 "user_bursts": windows.stream_user_bursts(landed, self.spec, self.limits),
@@ -84,14 +86,25 @@ class RiskJob:
             ),
         }
 
-    def start_windows(self, spark: SparkSession, available_now: bool = False) -> dict[str, StreamingQuery]:
+    def start_windows(
+        self, spark: SparkSession, available_now: bool = False, only: tuple[str, ...] | None = None
+    ) -> dict[str, StreamingQuery]:
+        """Start the windowed results, or those named in `only`."""
         use_disk_state(spark)
         landed = landed_stream(spark, self.root, self.files_per_batch)
         return {
-            name: start_file_sink(frame, f"{self.root}/{name}", self._checkpoint(name), available_now=available_now)
+            name: self._start_result(name, frame, available_now)
             for name, frame in self.window_results(landed).items()
+            if only is None or name in only
         }
 
+    def _start_result(self, name: str, frame: DataFrame, available_now: bool) -> StreamingQuery:
+        folder, checkpoint = f"{self.root}/{name}", self._checkpoint(name)
+        if self.mode == CORRECTIONS:
+            write = write_batch_folder(folder)
+            return start_batch_sink(frame, write, checkpoint, windows.CORRECTIONS, available_now)
+        return start_file_sink(frame, folder, checkpoint, available_now=available_now)
+
     def outputs(self) -> dict[str, tuple[str, T.StructType]]:
         """Folder → topic and record schema of everything the job writes for others."""
         return {

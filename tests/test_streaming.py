@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from test_late import SPEC, account, make_rows, rounded
 
 from riskstream.functions import expressions as E
-from riskstream.operators import aggregates, emissions, late
+from riskstream.operators import aggregates, alerts, emissions, late
 from riskstream.schemas import AGGREGATE, LOG, SQL_AGGREGATE
 from riskstream.sources import logs, sinks
 from riskstream.streaming import exact, ingest, windows
-from riskstream.streaming.job import EXACT, FINAL, RiskJob
+from riskstream.streaming.job import CORRECTIONS, EXACT, FINAL, RiskJob
 
 
 def raw_text(row):
@@ -201,4 +201,68 @@ def test_corrections_to_batch_folders(spark, ingested):
 
 def test_unknown_mode_is_refused(tmp_path):
     with pytest.raises(ValueError, match="mode"):
-        RiskJob(str(tmp_path), mode="corrections")
+        RiskJob(str(tmp_path), mode="sometimes")
+
+
+def test_batch_that_dies_while_writing_is_counted_once(spark, tmp_path):
+    folder = f"{tmp_path}/landed/batch_id=0"
+    rows = spark.range(0, 40, 1, 4)
+    dying = rows.withColumn("id", F.when(F.col("id") < 30, F.col("id")).otherwise(F.raise_error(F.lit("lost")).cast("long")))
+    sinks.write_once(rows.limit(5), f"{tmp_path}/landed/batch_id=1")
+    with pytest.raises(Exception, match="lost"):
+        sinks.write_once(dying, folder)
+    assert spark.read.parquet(f"{tmp_path}/landed").count() == 5  # nothing of the batch is seen
+
+    # files of an attempt that died before its end, as a killed driver leaves them
+    rows.write.mode("overwrite").parquet(f"{tmp_path}/landed/_unfinished/batch_id=0")
+    assert spark.read.parquet(f"{tmp_path}/landed").count() == 5
+    sinks.write_once(rows, folder)
+    sinks.write_once(rows, folder)
+    assert spark.read.parquet(f"{tmp_path}/landed").count() == 45
+
+    stream = spark.readStream.schema("id long, batch_id int").parquet(f"{tmp_path}/landed")
+    run(sinks.start_file_sink(stream, f"{tmp_path}/out", f"{tmp_path}/cp", available_now=True))
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 45
+
+
+def test_ingest_restarted_after_a_lost_batch(spark):
+    """The run dies with a part of its folders written; the batch is tried again."""
+    rows, source = make_rows(5, count=60, per_batch=30, step=6_000), scratch("source")
+    job = RiskJob(scratch("job"), SPEC)
+    write_batches(spark, rows, source)
+    kept = sinks.write_once
+
+    def lost(frame, folder):
+        if f"/{ingest.LANDED}/" in folder:
+            raise OSError("lost")
+        kept(frame, folder)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(ingest, "write_once", lost)
+        log = logs.file_stream(spark, source, files_per_batch=1)
+        with pytest.raises(Exception, match="lost"):
+            job.start_ingest(log, observed_at=77, available_now=True).awaitTermination(240)
+    run(job.start_ingest(logs.file_stream(spark, source, files_per_batch=1), observed_at=77, available_now=True))
+    late_ids = account(rows)[1]
+    landed = ingest.landed_table(spark, job.root)
+    assert sorted(r.eventId for r in landed.collect()) == sorted(r["eventId"] for r in rows if r["eventId"] not in late_ids)
+    assert ingest.landed_table(spark, job.root, ingest.QUARANTINE).filter("errorType = 'PARSE_OR_VALIDATION_ERROR'").count() == 1
+
+
+def test_job_in_corrections_mode(spark, ingested):
+    _, _, job = ingested
+    corrected = RiskJob(scratch("corrected"), SPEC, mode=CORRECTIONS)
+    ingest.landed_table(spark, job.root).write.partitionBy("batch_id").parquet(f"{corrected.root}/{ingest.LANDED}")
+    for query in corrected.start_windows(spark, available_now=True).values():
+        run(query)
+    landed = ingest.landed_table(spark, job.root)
+    for name, want in (
+        ("aggregates", aggregates.country_category_aggregates(landed, SPEC)),
+        ("user_bursts", alerts.user_burst_alerts(landed, SPEC)),
+    ):
+        given = spark.read.parquet(f"{corrected.root}/{name}")
+        value = "eventCount" if name == "aggregates" else "reason"
+        last = given.groupBy("key", "windowStart").agg(F.max_by(value, "batch_id").alias(value))
+        want = want.select(last.columns)
+        assert want.count() > 0
+        assert last.exceptAll(want).count() == 0 and want.exceptAll(last).count() == 0
