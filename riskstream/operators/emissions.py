@@ -4,6 +4,10 @@ after the close but within the allowed lateness.
 Input rows are stamped with `watermark` (see `late`). FIRE carries all rows that
 came before the close; each REFIRE carries all rows up to its own, in the order
 (batch_id, partition, offset). Rows that are late emit nothing.
+
+The rows are summed once, into cells: one for all that came before the close, and
+one per block of the log for those after it. All buffers are fixed-width, so Spark
+sums in hash maps. What comes next reads the cells, and the later rows alone.
 """
 
 from __future__ import annotations
@@ -14,6 +18,7 @@ from pyspark.sql import functions as F
 from riskstream.config import MINUTE, WindowSpec
 from riskstream.functions import expressions as E
 from riskstream.operators.late import is_closed, is_late, watermark_after, window_start
+from riskstream.plans.lookup import materialize
 
 FIRE, REFIRE = "FIRE", "REFIRE"
 
@@ -47,113 +52,104 @@ def _added(a: Column, b: Column) -> Column:
     return F.coalesce(a + b, a, b)
 
 
-def window_emissions(stamped: DataFrame, key: Column, spec: WindowSpec = MINUTE) -> DataFrame:
+_GROUP = ["key", "windowStart"]
+_CELL = ["batch_id", "partition", "_block"]
+
+
+def arrival(rows: DataFrame) -> Column:
+    """The place of a row in the order (batch_id, partition, offset), as one fixed-width number."""
+    position = E.position(rows.drop("topic"))  # partitions are unique over the topics
+    return F.col("batch_id").cast("decimal(18,0)") * F.lit(str(1 << 63)).cast("decimal(19,0)") + position.cast("decimal(19,0)")
+
+
+def window_emissions(
+    stamped: DataFrame, key: Column, spec: WindowSpec = MINUTE, first_event: bool = True
+) -> DataFrame:
     """Statistics per emission, with its `kind` and the batch_id, partition and
-    offset of the row that caused it (-1 for FIRE)."""
+    offset of the row that caused it (-1 for FIRE). `first_event` adds the eventId
+    of the first row, which is looked up by its place, after any filter on the
+    statistics."""
+    closed = is_closed(spec)
     rows = stamped.filter(~is_late(spec)).select(
         key.alias("key"),
         window_start(spec).alias("windowStart"),
         "eventTime",
-        "batch_id",
-        "partition",
+        F.when(closed, F.col("batch_id").cast("bigint")).otherwise(-1).alias("batch_id"),
+        F.when(closed, F.col("partition")).otherwise(-1).alias("partition"),
+        F.when(closed, F.floor(F.col("offset") / _BLOCK)).otherwise(-1).alias("_block"),
         "offset",
-        "eventId",
-        "mlFraudScore",
+        F.greatest(F.lit(0.0), F.col("mlFraudScore")).alias("maxFraudScore"),
         *sum_parts(),
-        is_closed(spec).alias("closed"),
+        arrival(stamped).alias("samplePlace"),
     )
-    group = ["key", "windowStart"]
-    order = F.struct("batch_id", "partition", "offset")
-    on_time = (
-        rows.filter(~F.col("closed"))
-        .groupBy(*group)
-        .agg(
+    cells = materialize(
+        rows.groupBy(*_GROUP, *_CELL).agg(
             F.count(F.lit(1)).alias("eventCount"),
             *[F.sum(name).cast(sum_kind(name)).alias(name) for name in PARTS],
-            F.greatest(F.lit(0.0), F.max("mlFraudScore")).alias("maxFraudScore"),
-            F.min_by("eventId", order).alias("sampleEventId"),
+            F.max("maxFraudScore").alias("maxFraudScore"),
+            F.min("samplePlace").alias("samplePlace"),
+            F.max("eventTime").alias("newest"),
         )
-        .withColumn("kind", F.lit(FIRE))
-        .withColumn("batch_id", F.lit(-1).cast("bigint"))
-        .withColumn("partition", F.lit(-1))
-        .withColumn("offset", F.lit(-1).cast("bigint"))
     )
-    after = rows.filter("closed").select(
-        *group,
-        F.lit(1).cast("bigint").alias("eventCount"),
-        *[F.col(name).cast(sum_kind(name)).alias(name) for name in PARTS],
-        F.greatest(F.lit(0.0), F.col("mlFraudScore")).alias("maxFraudScore"),
-        F.col("eventId").alias("sampleEventId"),
-        F.lit(REFIRE).alias("kind"),
-        F.col("batch_id").cast("bigint").alias("batch_id"),
-        "partition",
-        "offset",
+    values = ["eventCount", *PARTS, "maxFraudScore", "samplePlace"]
+    # a window whose close lies beyond the last watermark has not fired yet; late rows are never the newest
+    last_watermark = cells.agg(watermark_after(F.max("newest"), spec)).scalar()
+    fires = cells.filter(F.col("_block") < 0).filter(F.col("windowStart") + (spec.size_ms - 1) <= last_watermark)
+    fires = fires.select(
+        *_GROUP, *values, F.lit(FIRE).alias("kind"), "batch_id", "partition", F.lit(-1).cast("bigint").alias("offset")
     )
-    # FIRE rows go out as they are; only groups with later rows need running totals
-    continued = on_time.join(after.select(*group).distinct(), group, "left_semi")
-    refires = _running_stats(continued.unionByName(after), group).filter(F.col("kind") == REFIRE)
-
-    # a window whose close lies beyond the last watermark has not fired yet
-    last_watermark = stamped.agg(watermark_after(F.max("eventTime"), spec)).scalar()
-    fires = on_time.filter(F.col("windowStart") + (spec.size_ms - 1) <= last_watermark)
-    return fires.unionByName(refires).select(
-        *group,
+    emitted = fires.unionByName(_refires(rows.filter(F.col("_block") >= 0), cells)).select(
+        *_GROUP,
         (F.col("windowStart") + spec.size_ms).alias("windowEnd"),
         "eventCount",
         *totals(),
         "maxFraudScore",
-        "sampleEventId",
+        "samplePlace",
         "kind",
         "batch_id",
         "partition",
         "offset",
     )
-
-
-def _running_stats(rows: DataFrame, group: list[str]) -> DataFrame:
-    """Running totals per group in log order, without a task that holds a group.
-
-    Level one sums blocks of offsets, level two runs over the block sums, level
-    three runs inside each block, which has at most _BLOCK rows.
-    """
-    block = ["batch_id", "partition", "_block"]
-    blocked = rows.withColumn("_block", F.floor(F.col("offset") / _BLOCK))
-    sums = blocked.groupBy(*group, *block).agg(
-        F.sum("eventCount").alias("_count"),
-        *[F.sum(name).alias(f"_{name}") for name in PARTS],
-        F.max("maxFraudScore").alias("_max"),
-        F.min_by("sampleEventId", "offset").alias("_first"),
-    )
-    before = Window.partitionBy(*group).orderBy(*block).rowsBetween(Window.unboundedPreceding, -1)
-    totals = sums.select(
-        *group,
-        *block,
-        F.sum("_count").over(before).alias("_count"),
-        *[F.sum(f"_{name}").over(before).cast(sum_kind(name)).alias(f"_{name}") for name in PARTS],
-        F.max("_max").over(before).alias("_max"),
-        F.first("_first").over(before).alias("_first"),
+    if not first_event:
+        return emitted.drop("samplePlace")
+    events = stamped.select(arrival(stamped).alias("samplePlace"), F.col("eventId").alias("sampleEventId"))
+    return emitted.join(events, "samplePlace").drop("samplePlace")
+
+
+def _refires(later: DataFrame, cells: DataFrame) -> DataFrame:
+    """A running total per later row of a group, in log order, without a task that
+    holds the rows of a group: totals run over the cells, which are sums, and inside
+    each cell, which has at most _BLOCK rows."""
+    groups = cells.filter(F.col("_block") >= 0).select(*_GROUP).distinct()
+    before = Window.partitionBy(*_GROUP).orderBy(*_CELL).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = cells.join(groups, _GROUP, "left_semi").select(
+        *_GROUP,
+        *_CELL,
+        F.sum("eventCount").over(before).alias("_count"),
+        *[F.sum(name).over(before).cast(sum_kind(name)).alias(f"_{name}") for name in PARTS],
+        F.max("maxFraudScore").over(before).alias("_max"),
+        F.first("samplePlace").over(before).alias("_first"),
     )
     inside = (
-        Window.partitionBy(*group, *block).orderBy("offset").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        Window.partitionBy(*_GROUP, *_CELL).orderBy("offset").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    local = blocked.select(
-        *group,
-        *block,
-        "kind",
+    local = later.select(
+        *_GROUP,
+        *_CELL,
         "offset",
-        F.sum("eventCount").over(inside).alias("eventCount"),
+        F.count(F.lit(1)).over(inside).alias("eventCount"),
         *[F.sum(name).over(inside).cast(sum_kind(name)).alias(name) for name in PARTS],
         F.max("maxFraudScore").over(inside).alias("maxFraudScore"),
-        F.first("sampleEventId").over(inside).alias("sampleEventId"),
+        F.first("samplePlace").over(inside).alias("samplePlace"),
     )
-    return local.join(totals, [*group, *block]).select(
-        *group,
-        "kind",
-        "batch_id",
-        "partition",
-        "offset",
+    return local.join(earlier, [*_GROUP, *_CELL]).select(
+        *_GROUP,
         (F.col("eventCount") + F.coalesce("_count", F.lit(0))).alias("eventCount"),
         *[_added(F.col(name), F.col(f"_{name}")).cast(sum_kind(name)).alias(name) for name in PARTS],
         F.greatest("maxFraudScore", "_max").alias("maxFraudScore"),
-        F.coalesce("_first", "sampleEventId").alias("sampleEventId"),
+        F.coalesce("_first", "samplePlace").alias("samplePlace"),
+        F.lit(REFIRE).alias("kind"),
+        "batch_id",
+        "partition",
+        "offset",
     )

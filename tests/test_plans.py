@@ -42,6 +42,9 @@ def test_no_cross_join(spark, sf_dir, name):
         "user_window_stats",
         "sql_aggregates_minute",
         "aggregate_emissions",
+        "burst_emissions",
+        "anomaly_emissions",
+        "window_emissions",
         "topic_totals",
     ],
 )
@@ -50,6 +53,11 @@ def test_aggregates_hash(spark, sf_dir, name):
     assert "HashAggregate" in text and "SortAggregate" not in text
 
 
+@pytest.mark.parametrize("name", ["aggregate_emissions", "burst_emissions", "anomaly_emissions", "window_emissions"])
+def test_emissions_read_the_events_twice_at_most(spark, sf_dir, name):
+    assert plan(QUERIES[name](spark, sf_dir)).count("FileScan") <= 2
+
+
 def test_partial_aggregation_before_the_shuffle(spark, sf_dir):
     text = plan(QUERIES["aggregates_minute"](spark, sf_dir))
     assert text.count("Exchange") == 1
