@@ -44,7 +44,11 @@ def quantise(v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Cosines of rows, in double precision, summed in the order of components."""
+    """Cosines of rows, in double precision, summed in the order of components.
+
+    Rows are brought near 1 by a power of two, which changes no digit, so that no square leaves the range of doubles.
+    """
+    a, b = (np.ldexp(v, -np.frexp(np.abs(v).max(axis=1, keepdims=True))[1]) for v in (a, b))
     dot, na, nb = np.zeros(len(a)), np.zeros(len(a)), np.zeros(len(a))
     for i in range(a.shape[1]):
         x, y = a[:, i], b[:, i]

@@ -145,3 +145,14 @@ def test_nearest_edges(spark):
         assert got == want
     assert ann.nearest(df.limit(0)).count() == 0
     assert ann.nearest(df.filter("vec_id in (0, 1, 2)")).count() == 2
+
+
+@pytest.mark.parametrize("scale", [1e-200, 1e200])
+def test_nearest_at_any_magnitude(spark, scale):
+    rng = np.random.default_rng(3)
+    rows = [(int(i), [float(x) * 2.0 ** (i % 5) for x in rng.integers(-9, 10, size=6)]) for i in range(101)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    far = df.selectExpr("vec_id", f"transform(embedding, x -> x * {scale:e}D) AS embedding")
+    plain, scaled = ({(r.query_id, r.rank): r for r in ann.nearest(d).collect()} for d in (df, far))
+    assert plain.keys() == scaled.keys() and len(plain) == 15
+    assert all(abs(plain[k].score - scaled[k].score) < 1e-12 for k in plain)
