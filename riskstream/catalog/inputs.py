@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskstream import config as cfg
-from riskstream.config import DEFAULT_TOPICS, WindowSpec
+from riskstream.config import DEFAULT_TOPICS, RiskThresholds, WindowSpec
 from riskstream.functions.expressions import JSON_WRITE, event_timestamp
 from riskstream.schemas import TRANSACTION_FIELDS
 from riskstream.sources.events import raw_log_from_events, read_events, transactions_from_events
@@ -14,6 +14,8 @@ from riskstream.sources.events import raw_log_from_events, read_events, transact
 # instants that stand for "now" in checked queries
 OBSERVED_AT = 1_735_689_600_000
 BATCH_EVENTS = 100
+# limits that the sparse test events reach within a minute
+LOW_LIMITS = RiskThresholds(merchant_count=3, merchant_amount=19_000.0, merchant_score_count=1, merchant_score=0.9)
 DAY_MS, HOUR_MS = 86_400_000, 3_600_000
 
 # wide window and delays, to match the sparse test events
@@ -130,6 +132,56 @@ def quarantine_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def damaged_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as a raw record, written in one of twenty-four ways, most of them odd."""
+    tx = transactions_from_events(spread(events(spark, sf_dir)))
+    n, time = F.col("event_id"), F.col("eventTime").cast("string")
+    case, amount = n % 24, F.concat((n % 1000).cast("string"), F.lit(".5"))
+
+    def joined(*parts):
+        return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+
+    def record(rest=',"ipRisk":35', event_id=joined('"evt-', n, '"'), user='"u"', event_time=time, amount=amount):
+        return joined('{"eventId":', event_id, ',"userId":', user, ',"eventTime":', event_time, ',"amount":', amount, rest, "}")
+
+    odd = {
+        1: record(',"ipRisk":"35"', event_time=joined('"', time, '"'), amount=joined('"', amount, '"')),
+        2: record(',"ipRisk":35.7'),
+        3: record(',"ipRisk":"35.7"'),
+        4: joined('{"eventId":"evt-', n, '","userId":"u","eventTime":', time, "}"),
+        5: record(amount="null"),
+        6: record(amount='"abc"'),
+        7: record(event_id='{"x":1}'),
+        8: record(',"country":["KR"]'),
+        9: record(event_id=n),
+        10: joined(record(), " trailing"),
+        11: record(joined(',"eventId":"again-', n, '"')),
+        12: joined('{"EVENTID":"evt-', n, '","userId":"u","eventTime":', time, "}"),
+        13: joined("[", record(), "]"),
+        14: F.lit(""),
+        15: record(event_time=joined(time, ".75")),
+        16: record(event_time=joined('"', time, '.75"')),
+        17: record(',"ipRisk":3000000000'),
+        18: record(amount='""'),
+        19: record(',"added":{"a":[1]}'),
+        20: F.translate(record(), '"', "'"),
+        21: record(user='" "', amount=joined("-", amount)),
+        22: record(amount="true"),
+        23: record(event_id=joined('"{x', n, '"')),
+    }
+    value = record()
+    for which, text in odd.items():
+        value = F.when(case == which, text).otherwise(value)
+    return tx.select(
+        F.lit(DEFAULT_TOPICS.raw).alias("topic"),
+        F.lit(0).alias("partition"),
+        n.alias("offset"),
+        F.lit(None).cast("timestamp").alias("timestamp"),
+        F.lit(None).cast("binary").alias("key"),
+        F.encode(value, "UTF-8").alias("value"),
+    )
+
+
 def activity_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records of three topics in one table."""
     tx = transactions_from_events(events(spark, sf_dir))

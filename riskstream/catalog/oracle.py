@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from riskstream.catalog import inputs as I
-from riskstream.config import WindowSpec
+from riskstream.config import RiskThresholds, WindowSpec
 
 _SIZES = {"minute": 60_000, "day": I.DAY_MS}
 
@@ -157,17 +157,18 @@ def _bursts(stats: str, extra: str = "") -> str:
   FROM {stats} WHERE "eventCount" >= 5 OR "totalAmount" >= 3000"""
 
 
-def _anomalies(stats: str, extra: str = "") -> str:
+def _anomalies(stats: str, extra: str = "", limits: RiskThresholds = RiskThresholds()) -> str:
     return f"""
   SELECT {_alert_id('MERCHANT_ANOMALY', '"key"', '"windowStart"', '"sampleEventId"')} AS "alertId",
     'MERCHANT_ANOMALY' AS "alertType",
-    CASE WHEN avg_score >= 0.72 THEN 'CRITICAL' ELSE 'WARN' END AS severity, "key",
+    CASE WHEN avg_score >= {limits.merchant_score} THEN 'CRITICAL' ELSE 'WARN' END AS severity, "key",
     'merchant window anomaly; count=' || "eventCount" || ', totalAmount=' || {_fixed('"totalAmount"', 2)}
       || ', avgFraudScore=' || {_fixed('avg_score', 4)} AS reason,
     "windowStart", "windowEnd", "windowEnd" AS "eventTime",
     greatest("totalAmount", avg_score) AS "metricValue", "sampleEventId"{extra}
   FROM (SELECT *, "totalFraudScore" / "eventCount" AS avg_score FROM {stats})
-  WHERE "eventCount" >= 25 OR "totalAmount" >= 15000 OR ("eventCount" >= 5 AND avg_score >= 0.72)"""
+  WHERE "eventCount" >= {limits.merchant_count} OR "totalAmount" >= {limits.merchant_amount}
+    OR ("eventCount" >= {limits.merchant_score_count} AND avg_score >= {limits.merchant_score})"""
 
 
 def _sql_aggregate(source: str, size: int) -> str:
@@ -359,6 +360,23 @@ profiles AS (
   WHERE rn = 1 AND op <> 'd'
 )"""
 
+# what the rules of parsing say to each way in which a record is written
+_DAMAGED = """
+damaged AS (
+  SELECT *,
+    CASE WHEN c IN (3, 6, 7, 8, 13, 14, 16, 17, 20, 22) THEN 'malformed JSON'
+         WHEN c = 12 THEN 'eventId is required' WHEN c = 21 THEN 'userId is required' END AS reason,
+    c NOT IN (13, 14, 20) AS is_record,
+    CASE c WHEN 7 THEN '{"x":1}' WHEN 9 THEN event_id::VARCHAR WHEN 11 THEN 'again-' || event_id
+           WHEN 12 THEN NULL WHEN 23 THEN '{x' || event_id ELSE 'evt-' || event_id END AS id,
+    CASE WHEN c = 21 THEN ' ' ELSE 'u' END AS who,
+    CASE WHEN c <> 16 THEN "eventTime" END AS happened,
+    CASE WHEN c = 21 THEN -1 ELSE 1 END * CASE WHEN c NOT IN (4, 5, 6, 12, 18, 22) THEN event_id % 1000 + 0.5::DOUBLE END AS paid,
+    CASE WHEN c = 8 THEN '["KR"]' END AS land,
+    CASE WHEN c NOT IN (3, 4, 8, 11, 12, 17, 19) THEN 35 END AS ip
+  FROM (SELECT event_id, event_id % 24 AS c, "eventTime" FROM tx)
+)"""
+
 _ACTIVITY = """
 activity AS (
   SELECT 'transactions.raw' AS topic, "partition", "offset" FROM tx
@@ -463,6 +481,23 @@ ORACLE: dict[str, str] = {
     "rejections_by_reason": _with(
         _RAW, _REJECTED, select='SELECT "errorType", reason, count(*) AS records FROM rejected GROUP BY ALL'
     ),
+    "parse_matrix": _with(
+        _DAMAGED,
+        select="SELECT event_id AS \"offset\", reason, "
+        + ", ".join(
+            f"CASE WHEN reason IS DISTINCT FROM 'malformed JSON' THEN {value} END AS \"{name}\""
+            for name, value in {
+                "eventId": "id", "userId": "who", "eventTime": "happened", "amount": "coalesce(paid, 0)",
+                "mlFraudScore": "0.0::DOUBLE", "ipRisk": "coalesce(ip, 0)::INTEGER",
+            }.items()
+        )
+        + " FROM damaged",
+    ),
+    "lenient_matrix": _with(
+        _DAMAGED,
+        select='SELECT event_id AS "offset", id AS "eventId", who AS "userId", happened AS "eventTime", paid AS amount, '
+        'NULL::DOUBLE AS "mlFraudScore", land AS country, ip::INTEGER AS "ipRisk" FROM damaged WHERE is_record',
+    ),
     "lenient_transactions": _with(
         _RAW, select=f'SELECT "partition", "offset", {_COLS} FROM log WHERE event_id % 137 <> 0'
     ),
@@ -477,6 +512,9 @@ ORACLE: dict[str, str] = {
     "user_bursts_minute": _with(_stats_cte(_MINUTE, _USER), select=_bursts("stats")),
     "user_bursts_daily": _with(_stats_cte(_DAY, _USER), select=_bursts("stats")),
     "merchant_anomalies_minute": _with(_stats_cte(_MINUTE, _MERCHANT), select=_anomalies("stats")),
+    "merchant_anomalies_minute_low_limits": _with(
+        _stats_cte(_MINUTE, _MERCHANT), select=_anomalies("stats", limits=I.LOW_LIMITS)
+    ),
     "merchant_anomalies_daily": _with(_stats_cte(_DAY, _MERCHANT), select=_anomalies("stats")),
     "fraud_alerts_daily": _with(
         f"\nusers AS ({_stats('tx', _USER, _DAY)}\n)",
@@ -601,6 +639,19 @@ incoming AS (
         select="SELECT count(*) AS records, f.field, CAST(0 AS BIGINT) AS nulls FROM log, "
         "(VALUES ('eventId'), ('userId'), ('eventTime'), ('amount')) f(field) WHERE reason IS NULL GROUP BY f.field",
     ),
+    "contract_nulls_of_odd_records": _with(
+        _DAMAGED,
+        select="SELECT count(*) AS records, f.field, count(*) FILTER (CASE f.field WHEN 'eventId' THEN id IS NULL "
+        "WHEN 'eventTime' THEN happened IS NULL WHEN 'amount' THEN paid IS NULL ELSE who IS NULL END) AS nulls FROM damaged, "
+        "(VALUES ('eventId'), ('userId'), ('eventTime'), ('amount')) f(field) WHERE is_record GROUP BY f.field",
+    ),
+    "evolved_transactions": _with(
+        select=f"SELECT * REPLACE ('USD' AS currency, 0 AS \"ipRisk\"), 't-' || \"deviceId\" AS terminal, "
+        f'1 AS "schemaVersion" FROM (SELECT {_COLS} FROM tx)'
+    ),
+    "stream_profiled_high_risk_alerts": _with(
+        _PROFILES, _ENRICHED, select=_high_risk("enriched", "risk_multiplier")
+    ),
     "stream_aggregates": _with(_closed_stats(_MINUTE, _KEY, 40_000), select=_aggregate("done")),
     "stream_user_bursts": _with(_closed_stats(_DAY, _USER, 40_000), select=_bursts("done")),
     "stream_merchant_anomalies": _with(_closed_stats(_DAY, _MERCHANT, 40_000), select=_anomalies("done")),

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskstream.catalog import inputs as I
-from riskstream.config import DAY, DEFAULT_TOPICS, MINUTE
+from riskstream.config import DAY, DEFAULT_TOPICS, MINUTE, REASON_MALFORMED
 from riskstream.functions import expressions as E
 from riskstream.operators import aggregates, alerts, changelog, contracts, emissions, enrich, late, parse, replay, topics
 from riskstream.plans import pipeline
@@ -56,6 +56,21 @@ def rejections_by_reason(spark, sf_dir):
     return topics.rejections_by_reason(rejected_records(spark, sf_dir))
 
 
+@query
+def parse_matrix(spark, sf_dir):
+    """What the parser says to odd records; fields of malformed ones have no meaning."""
+    parsed = parse.parse_transactions(I.damaged_log(spark, sf_dir))
+    read = ~F.col("reason").eqNullSafe(REASON_MALFORMED)
+    fields = ["eventId", "userId", "eventTime", "amount", "mlFraudScore", "ipRisk"]
+    return parsed.select("offset", "reason", *[F.when(read, F.col(name)).alias(name) for name in fields])
+
+
+@query
+def lenient_matrix(spark, sf_dir):
+    read = parse.read_transactions_leniently(I.damaged_log(spark, sf_dir))
+    return read.select("offset", "eventId", "userId", "eventTime", "amount", "mlFraudScore", "country", "ipRisk")
+
+
 @query
 def lenient_transactions(spark, sf_dir):
     read = parse.read_transactions_leniently(I.raw_log(spark, sf_dir))
@@ -106,6 +121,11 @@ def merchant_anomalies_minute(spark, sf_dir):
     return alerts.merchant_anomaly_alerts(I.transactions(spark, sf_dir), MINUTE)
 
 
+@query
+def merchant_anomalies_minute_low_limits(spark, sf_dir):
+    return alerts.merchant_anomaly_alerts(I.transactions(spark, sf_dir), MINUTE, I.LOW_LIMITS)
+
+
 @query
 def merchant_anomalies_daily(spark, sf_dir):
     return alerts.merchant_anomaly_alerts(I.transactions(spark, sf_dir), DAY)
@@ -330,6 +350,25 @@ def contract_nulls(spark, sf_dir):
     return contracts.null_report(contracts.assert_contract(valid, "transactions.raw-value"), "transactions.raw-value")
 
 
+@query
+def contract_nulls_of_odd_records(spark, sf_dir):
+    read = parse.read_transactions_leniently(I.damaged_log(spark, sf_dir))
+    return contracts.null_report(read, "transactions.raw-value")
+
+
+@query
+def evolved_transactions(spark, sf_dir):
+    """Records of a later writer, without two fields that have defaults and with a new one, under the contract."""
+    later = I.transactions(spark, sf_dir).drop("currency", "ipRisk", "event_ts", "partition", "offset")
+    later = later.withColumn("terminal", F.concat(F.lit("t-"), "deviceId"))
+    subject = "transactions.raw-value"
+    problems = contracts.evolution_problems(later.schema, subject)
+    if problems:
+        raise contracts.ContractError("; ".join(problems))
+    whole = contracts.apply_defaults(contracts.assert_contract(later, subject), subject)
+    return whole.select(*TRANSACTION_FIELDS, "terminal", "schemaVersion")
+
+
 # --- everything from one landed parse
 
 
@@ -379,6 +418,13 @@ def stream_high_risk_alerts(spark, sf_dir):
     return _run(alerts.high_risk_alerts(I.transaction_stream(spark, sf_dir)))
 
 
+@query
+def stream_profiled_high_risk_alerts(spark, sf_dir):
+    profiles = changelog.current_state(_changes(spark, sf_dir))
+    rows = enrich.with_profiles(I.transaction_stream(spark, sf_dir), profiles)
+    return _run(enrich.profiled_high_risk_alerts(rows))
+
+
 @query
 def stream_emissions(spark, sf_dir):
     """The repeated results of windows, from state instead of one batch plan."""

@@ -8,7 +8,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskstream.functions.expressions import computed_once
+from riskstream.functions.expressions import computed_once, position
 from riskstream.schemas import PROFILE, PROFILE_CHANGE
 
 DELETE = "d"
@@ -33,23 +33,26 @@ def read_changes(log: DataFrame) -> DataFrame:
     return rows.select("partition", "offset", *fields).filter(kept)
 
 
-def current_state(
-    changes: DataFrame,
-    key: str = "merchant_id",
-    order: tuple[str, ...] = ("source_ts_ms", "partition", "offset"),
-    fields: list[str] | None = None,
-) -> DataFrame:
-    """The last image per key; keys whose last change is a delete are gone.
+def _place(changes: DataFrame) -> Column:
+    """Source time, then place in the log, as one fixed-width number. Changes
+    without a time come before all others."""
+    time = F.coalesce(F.col("source_ts_ms"), F.lit(-(1 << 63)).cast("bigint")).cast("decimal(19,0)")
+    return time * F.lit(str(1 << 63)).cast("decimal(19,0)") + position(changes.drop("topic")).cast("decimal(19,0)")
+
+
+def current_state(changes: DataFrame, key: str = "merchant_id", fields: list[str] | None = None) -> DataFrame:
+    """The last image per key, by source time and place in the log; keys whose last
+    change is a delete are gone.
 
-    The maximum is taken before the shuffle as well, so a key with very many
-    changes sends one row per task.
+    The places are folded in hash maps, before the shuffle as well, so a key with
+    very many changes sends one row per task. The images are then looked up by
+    key and place, which are unique in a log.
     """
     fields = fields or PROFILE.fieldNames()
-    image = F.struct("op", *[f for f in fields if f != key])
-    last = changes.groupBy(key).agg(F.max_by(image, F.struct(*order)).alias("image"))
-    return last.filter(F.coalesce(F.col("image.op") != DELETE, F.lit(True))).select(
-        *[F.col(f) if f == key else F.col(f"image.{f}").alias(f) for f in fields]
-    )
+    placed = changes.withColumn("_place", _place(changes))
+    last = placed.groupBy(key).agg(F.max("_place").alias("_place"))
+    images = placed.join(last, [key, "_place"])
+    return images.filter(F.coalesce(F.col("op") != DELETE, F.lit(True))).select(*fields)
 
 
 def upsert(
@@ -57,15 +60,9 @@ def upsert(
 ) -> DataFrame:
     """Insert new keys and overwrite the values of known ones, stamping `now`.
     Two incoming rows for one key are an error, as in a database statement."""
-    values = [c for c in current.columns if c != key]
-    old = current.select(key, F.lit(False).alias("_new"), F.struct(*values).alias("_row"))
-    new = incoming.withColumn(stamp, now).select(key, F.lit(True).alias("_new"), F.struct(*values).alias("_row"))
-    merged = (
-        old.unionByName(new)
-        .groupBy(key)
-        .agg(F.max_by("_row", "_new").alias("_row"), F.count_if("_new").alias("_incoming"))
-    )
-    once = F.when(F.col("_incoming") <= 1, F.col("_row")).otherwise(
+    times = incoming.groupBy(key).agg(F.count(F.lit(1)).alias("_times"))
+    once = F.when(F.col("_times") == 1, F.col(key)).otherwise(
         F.raise_error(F.concat(F.lit("more than one incoming row for key "), F.col(key)))
     )
-    return merged.withColumn("_row", once).select(key, *[F.col(f"_row.{c}").alias(c) for c in values])
+    new = incoming.withColumn(stamp, now).join(times, key).withColumn(key, once).select(*current.columns)
+    return current.join(times, key, "left_anti").unionByName(new)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,11 +53,20 @@ def schema_problems(schema: T.StructType, subject: str) -> list[str]:
 
 
 def assert_contract(df: DataFrame, subject: str) -> DataFrame:
-    """The frame itself, if its columns fit the contract."""
+    """The frame, if its columns fit the contract. Where the schema lets a required
+    field be null, a null in it fails the query that reads it."""
     problems = schema_problems(df.schema, subject)
     if problems:
         raise ContractError(f"{subject}: " + "; ".join(problems))
-    return df
+    unsure = [f for f in df.schema.fields if f.nullable and f.name in required_fields(subject)]
+    if not unsure:
+        return df
+    return df.withColumns({f.name: _not_null(f, subject) for f in unsure})
+
+
+def _not_null(field: T.StructField, subject: str) -> Column:
+    missing = F.raise_error(F.lit(f"{subject}: required field {field.name} is null"))
+    return F.coalesce(F.col(field.name), missing.cast(field.dataType))
 
 
 def evolution_problems(

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from riskstream import config as cfg
 from riskstream.config import DEFAULT_TOPICS, MINUTE, Topics, WindowSpec
 from riskstream.functions import expressions as E
-from riskstream.plans.lookup import lookup_join, materialize
+from riskstream.plans.lookup import lookup_join
 
 # batches per block of the two-level running maximum
 _BLOCK = 4096
@@ -64,10 +64,10 @@ def batch_watermarks(rows: DataFrame, spec: WindowSpec = MINUTE) -> DataFrame:
     )
 
 
-def stamp_watermark(rows: DataFrame, spec: WindowSpec = MINUTE, broadcast_rows: int | None = None) -> DataFrame:
+def stamp_watermark(rows: DataFrame, spec: WindowSpec = MINUTE, broadcast_bytes: int | None = None) -> DataFrame:
     """Add to each row the watermark that held when its batch was read."""
-    watermarks = materialize(batch_watermarks(rows.select("batch_id", "eventTime"), spec))
-    limit = {} if broadcast_rows is None else {"broadcast_rows": broadcast_rows}
+    watermarks = batch_watermarks(rows.select("batch_id", "eventTime"), spec)
+    limit = {} if broadcast_bytes is None else {"broadcast_bytes": broadcast_bytes}
     return lookup_join(rows, watermarks, "batch_id", ["partition", "offset"], **limit)
 
 

@@ -117,7 +117,7 @@ def test_small_blocks_give_the_same(spark, monkeypatch):
 
 def test_shuffled_watermark_join_gives_the_same(spark):
     rows = frame(spark, make_rows(5))
-    broadcast, salted = late.stamp_watermark(rows, SPEC), late.stamp_watermark(rows, SPEC, broadcast_rows=1)
+    broadcast, salted = late.stamp_watermark(rows, SPEC), late.stamp_watermark(rows, SPEC, broadcast_bytes=1)
     key = ["batch_id", "offset", "partition"]
     assert sorted(map(tuple, broadcast.select(*key, "watermark").collect())) == sorted(
         map(tuple, salted.select(*key, "watermark").collect())

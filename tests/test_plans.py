@@ -46,6 +46,10 @@ def test_no_cross_join(spark, sf_dir, name):
         "anomaly_emissions",
         "window_emissions",
         "topic_totals",
+        "merchant_profiles",
+        "merchant_profiles_after_upsert",
+        "transactions_with_profiles",
+        "profiled_high_risk_alerts",
     ],
 )
 def test_aggregates_hash(spark, sf_dir, name):
@@ -87,7 +91,7 @@ def test_aggregate_reads_only_its_columns(landed):
 def test_large_lookup_is_not_broadcast(spark):
     facts = spark.range(1000).withColumn("k", F.col("id") % 10)
     lookup = spark.range(10).select(F.col("id").alias("k"), F.lit(1).alias("v")).repartition(3)
-    assert "_salt" in plan(lookup_join(facts, lookup, "k", ["id"], broadcast_rows=5))
+    assert "_salt" in plan(lookup_join(facts, lookup, "k", ["id"], broadcast_bytes=5))
     assert "_salt" not in plan(lookup_join(facts, lookup, "k", ["id"]))
 
 

@@ -3,7 +3,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from riskstream.operators import changelog, enrich
-from riskstream.plans.lookup import lookup_join
+from riskstream.plans.lookup import lookup_join, size_in_bytes
 from riskstream.sources.logs import text_log
 
 PROFILE = '{"merchant_id":"%s","risk_tier":"%s","risk_multiplier":%s,"manual_review_required":%s,"updated_at":"2026-06-22T10:00:00Z","__op":"%s","__source_ts_ms":%d}'
@@ -80,11 +80,25 @@ def test_lookup_join_is_the_same_both_ways(spark, how):
     )
     lookup = spark.range(40).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
     small = lookup_join(facts, lookup, "k", ["id"], how)
-    large = lookup_join(facts, lookup, "k", ["id"], how, broadcast_rows=5, salts=4)
+    large = lookup_join(facts, lookup, "k", ["id"], how, broadcast_bytes=5)
     assert small.exceptAll(large).count() == 0 and large.exceptAll(small).count() == 0
     assert large.columns == small.columns
 
 
+def test_hot_keys_alone_get_salts(spark):
+    facts = spark.range(4000).select("id", F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).alias("k"))
+    joined = lookup_join(facts, spark.range(4000).select(F.col("id").alias("k"), F.lit(1).alias("v")), "k", ["id"], broadcast_bytes=5)
+    assert joined.count() == 4000 and joined.agg(F.sum("v")).first()[0] == 4000
+    assert size_in_bytes(facts) > 4000 * 8
+
+
+def test_latest_place_in_the_log_wins(spark):
+    rows = [("a", None, 0, 9, "u", 1), ("a", 5, 1, 2, "u", 2), ("a", 5, 1, 3, "u", 3), ("a", 5, 0, 8, "u", 4), ("b", None, 0, 1, "u", 5), ("c", -7, 0, 2, "u", 6), ("c", 2**62, 0, 0, "u", 7)]
+    log = spark.createDataFrame(rows, "merchant_id string, source_ts_ms bigint, partition int, offset bigint, op string, v int")
+    got = changelog.current_state(log, fields=["merchant_id", "v"]).collect()
+    assert sorted(map(tuple, got)) == [("a", 3), ("b", 5), ("c", 7)]
+
+
 def test_profiles_scale_the_rules(spark, changes):
     tx = spark.createDataFrame(
         [("e1", "u", "tea-house", 0.6, 1.0), ("e2", "u", "book-barn", 0.95, 1.0), ("e3", "u", None, 0.95, 1.0)],

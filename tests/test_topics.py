@@ -1,4 +1,5 @@
 import pytest
+from pyspark.errors import PySparkException
 
 from riskstream.operators import contracts, topics
 from riskstream.operators.contracts import ContractError
@@ -114,3 +115,11 @@ def test_log_files_round_trip(spark, log, tmp_path, fmt):
     log.write.format(fmt).save(str(tmp_path / fmt))
     back = logs.file_table(spark, str(tmp_path / fmt), fmt)
     assert back.exceptAll(log).count() == 0 and back.count() == log.count()
+
+
+def test_null_in_a_required_field_fails_the_query(spark):
+    frame = spark.createDataFrame([("e", None, 1, 2.0)], "eventId string, userId string, eventTime bigint, amount double")
+    checked = contracts.assert_contract(frame, "transactions.raw-value")
+    assert checked.dtypes == frame.dtypes and checked.select("amount").first().amount == 2.0
+    with pytest.raises(PySparkException, match="required field userId is null"):
+        checked.collect()
