@@ -48,8 +48,6 @@ def test_no_cross_join(spark, sf_dir, name):
         "topic_totals",
         "merchant_profiles",
         "merchant_profiles_after_upsert",
-        "transactions_with_profiles",
-        "profiled_high_risk_alerts",
     ],
 )
 def test_aggregates_hash(spark, sf_dir, name):
@@ -88,6 +86,12 @@ def test_aggregate_reads_only_its_columns(landed):
         assert name not in schema
 
 
+@pytest.mark.parametrize("name", ["transactions_with_profiles", "profiled_high_risk_alerts"])
+def test_profiles_are_computed_once(spark, sf_dir, name):
+    text = plan(QUERIES[name](spark, sf_dir))
+    assert "BroadcastHashJoin" in text and text.count("FileScan") == 1 and "from_json" not in text
+
+
 def test_large_lookup_is_not_broadcast(spark):
     facts = spark.range(1000).withColumn("k", F.col("id") % 10)
     lookup = spark.range(10).select(F.col("id").alias("k"), F.lit(1).alias("v")).repartition(3)
