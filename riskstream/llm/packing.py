@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import functools
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 
@@ -18,6 +19,8 @@ CAPACITY = 2048
 END_ID = 1
 #: A piece may leave this share of its slot empty; longer gaps are closed by cutting.
 SLACK = 0.02
+#: Pieces of open bins that one more round deals to a group of workers; it leaves them some 10,000 at most.
+REST = 200_000
 
 
 def rank_file_encoder(path: str, pattern: str) -> Callable[[str], list[int]]:
@@ -89,6 +92,7 @@ class _Bins:
 def pack(
     docs: DataFrame, capacity: int = CAPACITY, slack: float = SLACK, end_id: int = END_ID,
     encoder: Callable[[], Callable[[str], list[int]]] = public_encoder, doc_id: str = "doc_id", text: str = "text",
+    rest: int = REST,
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, doc_tokens, ids (little-endian 32-bit), class, sequence_id, offset.
 
@@ -97,8 +101,10 @@ def pack(
     number of pieces of one class. Workers fill sequences on their own, in the
     order in which they read, and number them in ranges of their own. What is
     left in a worker's open bins, less than one bin per class, goes through the
-    same classes again in a second round by class, and what that leaves, less
-    than a bin per class in all, is packed by first fit.
+    same classes again in further rounds: pieces are dealt by class and a hash
+    of their place into as many groups as keep a group near `rest` pieces, and
+    each round leaves less than a bin per class and group. What the round of one
+    group leaves, less than a bin per class in all, is packed by first fit.
     Repeated rows and ids are packed like others. An empty table gives no rows;
     other columns are ignored.
     """
@@ -123,8 +129,8 @@ def pack(
                     yield rows.take()
         yield rows.take()
 
-    def refill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, bins = Rows(_ARROW), _Bins((1 << 62) + (TaskContext.get().partitionId() << 40))
+    def refill(turn: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, bins = Rows(_ARROW), _Bins((1 << 62) + (turn << 56) + (TaskContext.get().partitionId() << 40))
         for row in rows_of(batches):
             for full in bins.add(list(row), row[5]):
                 rows.add(tuple(full), 4 * full[2])
@@ -152,12 +158,18 @@ def pack(
         yield rows.take()
 
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole(text).alias("text"))
-    first = written(source.mapInArrow(fill, schema_of(_SCHEMA)), "packed")
-    left = first.filter("sequence_id is null")
-    second = written(left.repartition("class").mapInArrow(refill, schema_of(_SCHEMA)), "packed-rest")
+    parts, left = [], written(source.mapInArrow(fill, schema_of(_SCHEMA)), "packed")
+    groups = 0
+    while groups != 1:
+        parts.append(left.filter("sequence_id is not null"))
+        left = left.filter("sequence_id is null")
+        wanted = max(1, -(-left.count() // rest))
+        groups = min(wanted, max(1, groups // 2)) if groups else wanted  # fewer in each round, so that rounds end
+        dealt = left.repartition("class", F.pmod(F.xxhash64("doc_id", "start"), F.lit(groups)))
+        left = written(dealt.mapInArrow(functools.partial(refill, len(parts) - 1), schema_of(_SCHEMA)), "packed-rest")
     # less than one bin for each of the classes, of which there are at most `capacity`
-    last = second.filter("sequence_id is null").repartition(1).mapInArrow(finish, schema_of(_SCHEMA))
-    return first.filter("sequence_id is not null").unionByName(second.filter("sequence_id is not null")).unionByName(last)
+    last = left.filter("sequence_id is null").repartition(1).mapInArrow(finish, schema_of(_SCHEMA))
+    return functools.reduce(DataFrame.unionByName, [*parts, left.filter("sequence_id is not null"), last])
 
 
 def packing_digest(pieces: DataFrame) -> DataFrame:

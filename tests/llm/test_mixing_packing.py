@@ -89,9 +89,10 @@ def test_packing_edges(docs, texts, no_docs):
     assert packing.pack(no_docs).count() == 0
 
 
-def test_packing_round_trip(spark, sf_dir):
-    table = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    used, padded = check_packing(packing.pack(table), [(r[0], r[1] or "") for r in table.select("doc_id", "text").collect()])
+@pytest.mark.parametrize("rest", [packing.REST, 40])
+def test_packing_round_trip(spark, sf_dir, rest):
+    table = spark.read.parquet(f"{sf_dir}/documents.parquet").repartition(6)
+    used, padded = check_packing(packing.pack(table, rest=rest), [(r[0], r[1] or "") for r in table.select("doc_id", "text").collect()])
     assert used > 0.95 * padded
 
 
