@@ -89,6 +89,20 @@ def test_packing_edges(docs, texts, no_docs):
     assert packing.pack(no_docs).count() == 0
 
 
+def packed_ids(spark, text):
+    """The ids that pack() gives to a document of this text, without its end."""
+    rows = packing.pack(spark.createDataFrame([(1, text)], "doc_id long, text string")).orderBy("start").collect()
+    ids = np.frombuffer(b"".join(bytes(r["ids"]) for r in rows), dtype="<u4").tolist()
+    assert {r["doc_tokens"] for r in rows} == {len(ids)} and ids[-1] == packing.END_ID
+    return ids[:-1]
+
+
+@pytest.mark.parametrize("text", ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n <|endoftext", "<|ENDOFTEXT|> é"])
+def test_packing_reads_added_tokens(spark, text):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert packed_ids(spark, text) == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("rest", [packing.REST, 40])
 def test_packing_round_trip(spark, sf_dir, rest):
     table = spark.read.parquet(f"{sf_dir}/documents.parquet").repartition(6)
