@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import functools
 import json
+import re
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 
@@ -22,6 +23,9 @@ END_ID = 1
 SLACK = 0.02
 #: Pieces of open bins that one more round deals to a group of workers; it leaves them some 10,000 at most.
 REST = 200_000
+#: The pattern of the ranks fails on runs of white space of some 1,000,000 characters; runs from here on are not given to it.
+LONG_GAP = 100_000
+_LONG_GAP = re.compile(rf"(?<!\s)\s{{{LONG_GAP}}}")
 
 
 def rank_file_encoder(path: str, pattern: str) -> Callable[[str], list[int]]:
@@ -37,7 +41,8 @@ def public_encoder() -> Callable[[str], list[int]]:
     """The ids that `tokenizers` gives by the public 50k byte-level BPE, whose files belong to the installed package.
 
     The ranks give the same ids several times faster, but for texts that hold an
-    added token of the vocabulary; those are left to `tokenizers` itself.
+    added token of the vocabulary, or a run of white space too long for their
+    pattern; those are left to `tokenizers` itself.
     """
     import public_tokenizers
     from tokenizers import Tokenizer
@@ -49,7 +54,7 @@ def public_encoder() -> Callable[[str], list[int]]:
     by_ranks = rank_file_encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
     def encode(text: str) -> list[int]:
-        if any(token in text for token in added):
+        if any(token in text for token in added) or (len(text) >= LONG_GAP and _LONG_GAP.search(text)):
             return whole_vocabulary().encode(text, add_special_tokens=False).ids
         return by_ranks(text)
 

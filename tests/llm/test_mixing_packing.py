@@ -103,6 +103,12 @@ def test_packing_reads_added_tokens(spark, text):
     assert packed_ids(spark, text) == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("text", [" " * 1_200_000, "a" + "\n" * 2_000_000 + "b", "a b " * 60_000 + "\t \u2003\x85" * 300_000 + "end"])
+def test_packing_reads_long_white_space(spark, text):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert packed_ids(spark, text) == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("rest", [packing.REST, 40])
 def test_packing_round_trip(spark, sf_dir, rest):
     table = spark.read.parquet(f"{sf_dir}/documents.parquet").repartition(6)
