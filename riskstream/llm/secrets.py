@@ -34,14 +34,15 @@ LEAST_SCORE = 0.75
 _STEMS = re.compile(rb"passw|pwd|passphrase|secret|token|credential|auth|private|key|bearer|salt")
 _BASE_STEMS = re.compile(rb"password|passwd|secret|token|api_?key")
 
-#: name = "literal", name: literal, "name" => 'literal', name = other_name + "literal"; quotes may hold escapes.
+#: name = "literal", name: literal, "name" => 'literal', at["name"] = "literal", name = other_name + "literal"; quotes may
+#: hold escapes. A name is tried from the edge of its word only, so that names and blanks of any length are read in linear time.
 _PAIR = re.compile(
-    r"""(?P<q>["']?)(?P<name>[A-Za-z_][A-Za-z0-9_.-]{0,63})(?P=q)[ \t]{0,8}(?::=|=>|=(?!=)|:(?!:))[ \t]{0,8}(?=["'A-Za-z0-9+/_.$-])"""
+    r"""(?P<q>["']?)(?<![A-Za-z0-9_.-])[0-9.-]*+(?P<name>[A-Za-z_][A-Za-z0-9_.-]*+)(?P=q)(?:(?<=["'])[ \t]*+\])?+[ \t]*+(?::=|=>|=(?!=)|:(?!:))[ \t]*+(?=["'A-Za-z0-9+/_.$-])"""
 )
 _TERM = re.compile(
     r"""(?P<lit>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*')|\$\{?(?P<var>[A-Za-z_]\w*)\}?|(?P<bare>[A-Za-z0-9+/_.=-]+)"""
 )
-_PLUS = re.compile(r"[ \t]{0,8}(?:\+|\.\.)[ \t]{0,8}")
+_PLUS = re.compile(r"[ \t]*+(?:\+|\.\.)[ \t]*+")
 _SPACE = re.compile(r"\s")
 _NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_.-]*\Z")
 _PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
@@ -109,7 +110,8 @@ def literal_spans(text: str, least_score: float = LEAST_SCORE) -> list[tuple[int
     """Spans of literals that reach a sensitive name by assignment.
 
     The text is read as assignments of terms: quoted literals, bare words and
-    names, joined by +. A name that was assigned before stands for its
+    names, joined by +, with any number of blanks between. The target is a name
+    of any length, or the last quoted subscript of one. A name that was assigned before stands for its
     literals, so key = "..."; password = key finds the literal of key. A
     literal's score is that of its most sensitive name, weighted with how much
     the value that it is part of looks like a secret. A value refers to those

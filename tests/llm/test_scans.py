@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 import pytest
 from oracle_check import connect, differences
@@ -57,6 +58,32 @@ def test_literals(text, literals):
     assert [text[s:e] for s, e, _ in secrets.literal_spans(text)] == literals
 
 
+@pytest.mark.parametrize(
+    ("text", "literals"),
+    [
+        ("signing_private_key" + " " * 9 + "= 'kX82hs71Lq0zPw93'", ["kX82hs71Lq0zPw93"]),
+        ("private_key" + "\t" * 40 + "=" + " " * 300 + "'kX82hs71Lq0zPw93'", ["kX82hs71Lq0zPw93"]),
+        ("k" + " " * 20 + "= 'kX82hs71Lq0zPw93'\nprivate_key = k", ["kX82hs71Lq0zPw93"]),
+        ("private_key = 'kX82hs71'" + " " * 20 + "+" + " " * 20 + "'Lq0zPw93'", ["kX82hs71", "Lq0zPw93"]),
+        ("private_key" + "_a" * 200 + " = 'kX82hs71Lq0zPw93'", ["kX82hs71Lq0zPw93"]),
+        ('config["private_key"] = "kX82hs71Lq0zPw93"', ["kX82hs71Lq0zPw93"]),
+        ("config['app'][ 'private_key' ]   => 'kX82hs71Lq0zPw93'", ["kX82hs71Lq0zPw93"]),
+        ("--private-key=kX82hs71Lq0zPw93 2private_key = 'Zq81mm02Xk3vTr47'", ["kX82hs71Lq0zPw93", "Zq81mm02Xk3vTr47"]),
+        ("title" + " " * 20 + "= 'kX82hs71Lq0zPw93'", []),
+        ('config["title"] = "kX82hs71Lq0zPw93"', []),
+        ("private_key] = 'kX82hs71Lq0zPw93'", []),
+    ],
+)
+def test_literals_of_aligned_long_and_subscripted_names(text, literals):
+    assert [text[s:e] for s, e, _ in secrets.literal_spans(text)] == literals
+
+
+@pytest.mark.parametrize("text", ["a" * 1_000_000, "1." * 500_000, "a" + " " * 1_000_000, "'" * 500_000, "a = " + " " * 1_000_000, "a b " * 200_000])
+def test_long_runs_are_read_in_linear_time(text):
+    begin = time.process_time()
+    assert secrets.literal_spans(text) == [] and time.process_time() - begin < 10
+
+
 def test_no_literal_of_a_long_sum_is_left_out():
     pieces = [f"kX{n:04d}qZ" for n in range(3000)]
     text = 'a = ""\n' + "".join(f'a = a + "{piece}"\n' for piece in pieces) + "auth_token = a"
