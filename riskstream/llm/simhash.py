@@ -207,6 +207,17 @@ def _spanning(pairs: np.ndarray) -> np.ndarray:
         label = after
 
 
+def _classes(docs: DataFrame, radius: int, shingle: int, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, fp) of every row, and (fp, root, component_id) of every fingerprint; root tells components of one name apart."""
+    rows = written(fingerprints(docs, doc_id, text, shingle), "doc-fingerprints")
+    least = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    links = written(ball_links(rows, radius), "links")
+    roots = components(links).withColumnRenamed("node", "fp")
+    classes = least.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    names = classes.groupBy("root").agg(F.min("least").alias("component_id"))
+    return rows, written(classes.join(names, "root").select("fp", "root", "component_id"), "print-components")
+
+
 def near_duplicates(
     docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -219,23 +230,34 @@ def near_duplicates(
     id (it is null then). Repeated rows and ids give a row each. An empty table
     gives no rows; other columns are ignored.
     """
-    rows = written(fingerprints(docs, doc_id, text, shingle), "doc-fingerprints")
-    least = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    links = written(ball_links(rows, radius), "links")
-    roots = components(links).withColumnRenamed("node", "fp")
-    classes = least.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    names = classes.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_print = written(classes.join(names, "root").select("fp", "component_id"), "print-components")
+    rows, by_print = _classes(docs, radius, shingle, doc_id, text)
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
-    return rows.join(by_print, "fp").select("doc_id", digits.alias("fingerprint"), "component_id")
+    return rows.join(by_print.drop("root"), "fp").select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents, with all columns, whose id names their component.
+    """The documents, with all columns, whose id names their component: one row of each component that has an id.
 
-    Rows without an id are kept; rows that repeat a kept id are kept with it.
+    If several rows of a component have that id, the one with the least hash is
+    kept. Rows without an id are kept in components where no row has one, all of
+    them, and dropped from others. Ids on one row each are decided by id alone;
+    only rows with a repeated id or none are looked up by their fingerprint.
     """
-    found = near_duplicates(docs, radius, shingle, doc_id, text)
-    dropped = written(found.filter(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias("id")).distinct(), "dropped")
+    prints, by_print = _classes(docs, radius, shingle, doc_id, text)
+    names = F.when(F.col("component_id") == F.col("doc_id"), 1)
+    ids = prints.join(by_print.drop("root"), "fp").groupBy(F.col("doc_id").alias("id"))
+    ids = written(ids.agg(F.count(F.lit(1)).alias("n"), F.count(names).alias("named")), "ids")
     rows = docs.select(F.struct("*").alias("doc"), F.col(doc_id).cast("long").alias("id"))
-    return rows.join(dropped, "id", "left_anti").select("doc.*")
+    settled = rows.filter("id is not null").join(ids.filter("named = 0 or n > 1"), "id", "left_anti").select("doc.*")
+    several = ids.filter("n > 1 and named > 0").select("id")
+    if several.isEmpty() and ids.filter("id is null").isEmpty():
+        return settled
+    open_rows = rows.filter("id is null").unionByName(rows.join(several, "id", "left_semi").select("doc", "id"))
+    open_rows = written(open_rows.withColumn("place", F.monotonically_increasing_id()), "open-rows")
+    found = fingerprints(open_rows.select("place", F.col("doc")[text].alias("text")), "place", "text", shingle)
+    found = found.withColumnRenamed("doc_id", "place").join(by_print, "fp")
+    found = open_rows.select("place", "id", F.xxhash64(F.to_json("doc")).alias("hash")).join(found, "place")
+    nameless = found.filter("id is null and component_id is null").select("place")
+    least = found.filter("id = component_id").groupBy("root").agg(F.min(F.struct("hash", "place"))["place"].alias("place"))
+    kept = open_rows.join(nameless.unionByName(least.select("place")), "place", "left_semi")
+    return settled.unionByName(kept.select("doc.*"))

@@ -83,6 +83,20 @@ def test_keep_one(docs):
     assert 1 in ids and 2 not in ids and 3 not in ids and ids.count(None) == 3
 
 
+def test_keep_one_of_each_component(spark):
+    """Ids on several texts, rows that repeat, and rows without an id."""
+    bodies = [" ".join(f"{word}{n}" for n in range(40)) for word in ("ant", "bee", "cat", "dog")]
+    rows = [
+        (2, bodies[0], "a"), (5, bodies[0], "b"), (5, bodies[1], "c"),  # 5 is the only document of the second text
+        (7, bodies[2], "d"), (7, bodies[2], "e"), (9, bodies[2], "f"), (7, bodies[3], "g"), (7, bodies[3], "g"),  # 7 names two components
+        (None, bodies[0], "h"), (None, bodies[2].upper(), "i"), (None, "a text that no id has", "j"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = [sorted(r["source"] for r in simhash.keep_one(d).collect()) for d in (df, df.repartition(5), df.filter("source < 'c' or source = 'f'"))]
+    assert found[0] == found[1] and found[0] in (["a", "c", "d", "g", "j"], ["a", "c", "e", "g", "j"])
+    assert found[2] == ["a", "f"]
+
+
 def test_components(spark):
     rng = random.Random(9)
     chain = [(i, i + 1) for i in range(60)]
