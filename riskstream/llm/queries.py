@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskstream.llm import ann, bytespans, exact, licenses, mixing, packing, quality, secrets, simhash, substring
+from riskstream.llm import ann, bytespans, exact, licenses, merkle, mixing, packing, quality, secrets, simhash, substring
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,6 +54,10 @@ def byte_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytespans.bytespan_digest(bytespans.remove_repeats(_documents(spark, sf_dir)))
 
 
+def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.merkle_digest(_documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": substring_dedup,
     "op2_nearest_neighbours": nearest_neighbours,
@@ -65,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licenses": license_labels,
     "op9_packing": packed_sequences,
     "op10_byte_dedup": byte_dedup,
+    "op13_merkle_manifest": merkle_manifest,
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -155,10 +160,68 @@ FROM d LEFT JOIN base USING (r) LEFT JOIN found USING (r)
 """
 
 
+def _merkle_sql() -> str:
+    """Both kinds of trees level by level, and every leaf folded a level a step."""
+    fan = merkle.FANOUT
+    crc_step = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+    encoded = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen({0}::VARCHAR) || ':' || {0}::VARCHAR END"
+    leaf = " || ".join(encoded.format(name) for name in merkle.FIELDS[:-1])
+
+    def tree(name: str, leaves: str) -> str:
+        return f"""
+{name}(tree, lvl, pos, n, digest) AS (
+  SELECT tree, 0, pos, n, digest FROM {leaves}
+  UNION ALL
+  SELECT tree, lvl + 1, pos // {fan}, (n + {fan - 1}) // {fan}, sha256(string_agg(digest, '' ORDER BY pos))
+  FROM {name} WHERE n > 1 GROUP BY tree, lvl, pos // {fan}, n),
+{name}_sides AS (
+  SELECT tree, lvl, pos,
+    coalesce(string_agg(digest, '') OVER (run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+    coalesce(string_agg(digest, '') OVER (run ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM {name} WHERE n > 1 WINDOW run AS (PARTITION BY tree, lvl, pos // {fan} ORDER BY pos))"""
+
+    def fold(name: str, starts: str, nodes: str) -> str:
+        return f"""
+{name}(id, tree, lvl, pos, path, node) AS (
+  SELECT id, tree, 0, pos, path, node FROM {starts}
+  UNION ALL
+  SELECT id, f.tree, f.lvl + 1, f.pos // {fan}, path || l || r, sha256(l || node || r)
+  FROM {name} f JOIN {nodes}_sides s ON f.tree = s.tree AND f.lvl = s.lvl AND f.pos = s.pos),
+{name}_ends AS (SELECT id, any_value(tree) AS tree, max_by(path, lvl) AS path, max_by(node, lvl) AS node FROM {name} GROUP BY id)"""
+
+    return f"""
+WITH RECURSIVE
+bytes AS (SELECT list_transform(range(0, 256), lambda b: list_reduce(list_prepend(b, range(0, 8)), lambda c, i: {crc_step})) AS t),
+d AS (
+  SELECT row_number() OVER () AS id, doc_id, coalesce('s' || source, '-') AS tree, {leaf} AS head, text,
+    xor(list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+      lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) AS crc
+  FROM documents, bytes),
+rows AS (
+  SELECT id, doc_id, tree, sha256(head || {encoded.format("text")}) AS digest,
+    sha256(head || CASE WHEN crc % 2 = 0 THEN {encoded.format("replace(text, chr(10), '')")} ELSE {encoded.format("text")} END) AS other
+  FROM d),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, digest) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n FROM rows),
+{tree("nodes", "leaves")},
+subroots AS (
+  SELECT tree AS source, '' AS tree, digest, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1),
+{tree("tops", "subroots")},
+starts AS (SELECT id, tree, pos, '' AS path, other AS node FROM leaves),
+{fold("steps", "starts", "nodes")},
+top_starts AS (SELECT id, '' AS tree, pos, path, node FROM steps_ends JOIN subroots ON steps_ends.tree = subroots.source),
+{fold("top_steps", "top_starts", "tops")}
+SELECT doc_id, leaves.digest AS leaf, subroots.digest AS subroot, tops.digest AS root, sha256(e.path) AS proof_sha256,
+  e.node AS folded_root, e.node = tops.digest AS verified
+FROM leaves JOIN subroots ON leaves.tree = subroots.source JOIN tops ON tops.n = 1 JOIN top_steps_ends e ON e.id = leaves.id
+"""
+
+
 ORACLE: dict[str, str] = {
     "op1_substring_dedup": _SUBSTRING,
     "op2_nearest_neighbours": _NEAREST,
     "op5_exact_dedup": _EXACT,
     "op7_mixing": _MIXING,
     "op8_licenses": _license_sql(),
+    "op13_merkle_manifest": _merkle_sql(),
 }
