@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskstream.llm import ann, bytespans, exact, licenses, merkle, mixing, packing, quality, secrets, simhash, substring
+from riskstream.llm import ann, bytespans, collocations, exact, licenses, merkle, mixing, packing, quality, secrets, simhash, substring
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,6 +54,10 @@ def byte_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytespans.bytespan_digest(bytespans.remove_repeats(_documents(spark, sf_dir)))
 
 
+def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_documents(spark, sf_dir))
+
+
 def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.merkle_digest(_documents(spark, sf_dir))
 
@@ -69,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licenses": license_labels,
     "op9_packing": packed_sequences,
     "op10_byte_dedup": byte_dedup,
+    "op12_collocations": phrase_collocations,
     "op13_merkle_manifest": merkle_manifest,
 }
 
@@ -160,6 +165,34 @@ FROM d LEFT JOIN base USING (r) LEFT JOIN found USING (r)
 """
 
 
+_COLLOCATIONS = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, '{collocations.NO_LANG}') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), {_UPPER}), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents),
+worded AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+grams AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i : i + k - 1], ' '))) AS phrase
+  FROM worded, range(1, {collocations.LONGEST + 1}) t(k)),
+counts AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY lang, k, phrase),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE k > 1 AND f >= {collocations.THRESHOLD}),
+cuts AS (
+  SELECT c.lang, c.phrase, c.a, cut, x.f AS l, y.f AS r, ({collocations.SCALE}::HUGEINT * a // (x.f + y.f))::BIGINT AS score
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM candidates) c
+  JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(w[1 : cut], ' ')
+  JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(w[cut + 1 : ], ' ')),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+spans AS (SELECT lang, a, k, w, unnest(range(2, k)) AS size FROM candidates),
+inner_phrases AS (
+  SELECT lang, a, unnest(list_transform(range(1, k - size + 2), lambda i: array_to_string(w[i : i + size - 1], ' '))) AS phrase FROM spans),
+longer AS (SELECT lang, phrase, max(a) AS f FROM inner_phrases GROUP BY lang, phrase),
+free AS (
+  SELECT best.* FROM best LEFT JOIN longer USING (lang, phrase) WHERE NOT coalesce(100::HUGEINT * f >= {collocations.ABSORBED}::HUGEINT * a, false))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM free JOIN totals USING (lang) QUALIFY rank <= {collocations.TOP}
+"""
+
+
 def _merkle_sql() -> str:
     """Both kinds of trees level by level, and every leaf folded a level a step."""
     fan = merkle.FANOUT
@@ -223,5 +256,6 @@ ORACLE: dict[str, str] = {
     "op5_exact_dedup": _EXACT,
     "op7_mixing": _MIXING,
     "op8_licenses": _license_sql(),
+    "op12_collocations": _COLLOCATIONS,
     "op13_merkle_manifest": _merkle_sql(),
 }
