@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from riskstream.llm.common import Rows, rows_of, schema_of, whole, written
-from riskstream.llm.grams import CHUNK, PART, Words, answered, chunked, codes, parts_for, read_words, reply_of, unpack
+from riskstream.llm.grams import CHUNK, PART, Words, answered, chunked, codes, distinct, parts_for, read_words, reply_of, unpack
 
 LONGEST = 4
 THRESHOLD = 30
@@ -28,6 +28,12 @@ NO_LANG = "und"
 #: A phrase is dropped if a longer one has at least so many hundredths of its occurrences.
 ABSORBED = 80
 SCALE = 2_000_000
+#: Bits of a phrase's key in its partition: enough that few rare phrases meet a frequent one, as those are counted in vain.
+BITS = 26
+#: Different phrases that a task counts before it gives them out.
+HELD = 400_000
+#: Groups of phrases that are ranked apart before the best of each are ranked together.
+RANKED_APART = 64
 
 _BREAKS = b".,;:!?\x0a\x0b\x0c\x0d"
 _UPPER, _LOWER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"
@@ -107,21 +113,26 @@ def _survivors(threshold: int):
     return answer
 
 
-def _counted(chunk: Words, places: list[np.ndarray], alive: np.ndarray) -> Iterator[tuple[str, int, str, int]]:
-    """lang, number of words, phrase, count of the phrases that are alive, told apart by their words."""
-    names = {tag: i for i, tag in enumerate(dict.fromkeys(chunk.tags))}
-    lang = np.array([names[t] for t in chunk.tags], dtype=np.int64)[chunk.owner] if len(chunk.ids) else chunk.ids
+def _count(chunk: Words, places: list[np.ndarray], alive: np.ndarray, counts: dict[str, dict[bytes, int]]) -> None:
+    """Add the phrases that are alive, told apart by their words, to the counts of their language."""
+    names = list(dict.fromkeys(chunk.tags))
+    number = {t: i for i, t in enumerate(names)}
+    lang = np.array([number[t] for t in chunk.tags], dtype=np.int64)[chunk.owner] if len(chunk.ids) else chunk.ids
     symbols = np.unique(lang * max(1, len(chunk.vocabulary)) + chunk.ids, return_inverse=True)[1]
-    width, done = len(symbols) + 1, 0
+    width, done, words = len(symbols) + 1, 0, chunk.words
     for length, at in enumerate(places, 1):
         at, done = at[alive[done : done + len(at)]], done + len(at)
         same = symbols[at]
         for i in range(1, length):
             same = np.unique(same, return_inverse=True)[1] * width + symbols[at + i]
         _, first, times = np.unique(same, return_index=True, return_counts=True)
-        for place, n in zip(at[first].tolist(), times.tolist(), strict=True):
-            phrase = b" ".join(chunk.words[place : place + length]).decode("utf-8", "surrogatepass")
-            yield chunk.tags[int(chunk.owner[place])], length, phrase, n
+        first = at[first]
+        for i, name in enumerate(names):
+            chosen = lang[first] == i
+            own = counts.setdefault(name, {})
+            for place, n in zip(first[chosen].tolist(), times[chosen].tolist(), strict=True):
+                phrase = b" ".join(words[place : place + length])
+                own[phrase] = own.get(phrase, 0) + n
 
 
 def phrase_counts(
@@ -135,26 +146,38 @@ def phrase_counts(
     schema = pa.schema([("lang", pa.string()), ("words", pa.int32()), ("phrase", pa.string()), ("f", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = Rows(schema)
-        for *packed, replies in rows_of(batches, 1):
+        counts: dict[str, dict[bytes, int]] = {}
+        totals: dict[str, int] = {}
+
+        def held() -> Iterator[pa.RecordBatch]:
+            out = Rows(schema)
+            for name, own in counts.items():
+                for phrase, n in own.items():
+                    out.add((name, phrase.count(b" ") + 1, phrase.decode("utf-8", "surrogatepass"), n))
+                    if out.full():
+                        yield out.take()
+            yield out.take()
+            counts.clear()
+
+        for _, *packed, replies in rows_of(batches, 1):
             own = read_words(*packed)
             places, keys = _phrase_keys(own)
-            code = codes(keys, parts)
-            kept = np.unique(code)[reply_of(replies) > 0]
+            code = codes(keys, parts, BITS)
+            kept = distinct(code)[0][reply_of(replies) > 0]
             near = np.minimum(np.searchsorted(kept, code), max(len(kept) - 1, 0))
             alive = kept[near] == code if len(kept) else np.zeros(len(code), dtype=bool)
-            totals: dict[str, int] = {}
             for i, n in zip(*np.unique(own.owner[places[0]], return_counts=True), strict=True):
                 totals[own.tags[i]] = totals.get(own.tags[i], 0) + int(n)
-            for tag, n in totals.items():
-                out.add((tag, 0, None, n))
-            for row in _counted(own, places, alive):
-                out.add(row)
-                if out.full():
-                    yield out.take()
+            _count(own, places, alive, counts)
+            if sum(map(len, counts.values())) > HELD:
+                yield from held()
+        yield from held()
+        out = Rows(schema)
+        for name, n in totals.items():
+            out.add((name, 0, None, n))
         yield out.take()
 
-    found = answered(chunks, lambda c: _phrase_keys(c)[1], _survivors(threshold), parts)
+    found = answered(chunks, lambda c: _phrase_keys(c)[1], _survivors(threshold), parts, BITS)
     counts = found.mapInArrow(count, schema_of("lang string, words int, phrase string, f long"))
     counts = counts.groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f"))
     counts = written(counts.filter((F.col("f") >= threshold) | (F.col("words") == 0)), "phrases")
@@ -201,7 +224,10 @@ def collocations(
     longer = inner.groupBy("lang", "phrase").agg(F.max("f").alias("longer"))
     absorbed = _wide(F.coalesce("longer", F.lit(0))) * 100 >= _wide(F.col("a")) * ABSORBED
     free = scored.join(longer, ["lang", "phrase"], "left").filter(~absorbed)
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
-    ranked = free.select("lang", "phrase", "a", "best.l", "best.r", "best.score").withColumn("rank", F.row_number().over(order))
+    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    group = F.pmod(F.xxhash64("phrase"), F.lit(RANKED_APART))
+    best = free.select("lang", "phrase", "a", "best.l", "best.r", "best.score").withColumn("group", group)
+    best = best.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "group").orderBy(*order))).filter(F.col("rank") <= top)
+    ranked = best.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
     ranked = ranked.filter(F.col("rank") <= top).join(totals, "lang")
     return ranked.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")

@@ -5,8 +5,8 @@ A chunk is some documents, or a stretch of a long one, as a list of words; its k
 are 64-bit hashes of its word runs. The keys of a chunk go to hash partitions as
 sorted, packed arrays, one row for each partition. A task that has all arrays of a
 partition answers with one byte for every key that a chunk asked about, and the
-answers meet the chunk's text again. Keys that share 32 bits inside a partition get
-the same answer; what is decided by answers must allow for that.
+answers meet the chunk's text again. Keys that share their last bits inside a partition
+get the same answer; what is decided by answers must allow for that.
 """
 
 from __future__ import annotations
@@ -27,9 +27,11 @@ from pyspark.sql import functions as F
 from riskstream.llm.common import Rows, rows_of, schema_of, written
 
 #: Bytes of text in a chunk, and for each hash partition.
-CHUNK, PART = 8 << 20, 32 << 20
-#: Tasks that read chunks again, at most.
-TASKS = 10_000
+CHUNK, PART = 3 << 20, 32 << 20
+#: Chunks that a task reads again, about.
+AGAIN = 12
+#: Bits of a key that name it in its partition, at most 32.
+BITS = 32
 
 _FACTOR = np.uint64(0x9E3779B97F4A7C15 | 1)
 
@@ -93,7 +95,7 @@ def chunked(
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=1)
-        out, number = Rows(schema), TaskContext.get().partitionId() << 33
+        out, number = Rows(schema), TaskContext.get().partitionId() << 20
         tags: list = []
         texts: list[bytes] = []
         waiting = 0
@@ -150,12 +152,19 @@ def parts_for(chunks: DataFrame, part: int = PART) -> int:
     return max(1, math.ceil((chunks.agg(F.sum("size")).first()[0] or 0) / part))
 
 
-def codes(keys: np.ndarray, parts: int) -> np.ndarray:
+def codes(keys: np.ndarray, parts: int, bits: int = BITS) -> np.ndarray:
     """Hash partition (upper half) and the key's name in it (lower half)."""
-    low = np.uint64(0xFFFFFFFF)
+    low = np.uint64((1 << bits) - 1)
     return (((keys >> np.uint64(32)) % np.uint64(parts)) << np.uint64(32)) | (keys & low)
 
 
+def distinct(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct codes, and how often each stands."""
+    codes = np.sort(codes)
+    first = np.flatnonzero(np.concatenate(([True], codes[1:] != codes[:-1]))) if len(codes) else np.empty(0, dtype=np.int64)
+    return codes[first], np.diff(np.append(first, len(codes)))
+
+
 def pack(keys: np.ndarray, times: np.ndarray) -> bytes:
     """Sorted 32-bit keys and how often each stands, as differences, byte by byte."""
     both = np.concatenate((np.diff(keys, prepend=np.uint32(0)), times.astype(np.uint32))).astype("<u4")
@@ -173,14 +182,14 @@ def unpack(body: bytes) -> tuple[np.ndarray, np.ndarray]:
 Answer = Callable[[int, list[bytes]], Callable[[np.ndarray], np.ndarray]]
 
 
-def answered(chunks: DataFrame, keys: Callable[[Words], np.ndarray], answer: Answer, parts: int) -> DataFrame:
+def answered(chunks: DataFrame, keys: Callable[[Words], np.ndarray], answer: Answer, parts: int, bits: int = BITS) -> DataFrame:
     """chunks with `replies`: (part, reply) of the partitions that it has keys in; reply_of() puts them together."""
     schema = pa.schema([("part", pa.int32()), ("chunk", pa.int64()), ("mass", pa.int64()), ("keys", pa.binary())])
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = Rows(schema)
         for chunk, *rest in rows_of(batches, 1):
-            code, times = np.unique(codes(keys(read_words(*rest)), parts), return_counts=True)
+            code, times = distinct(codes(keys(read_words(*rest)), parts, bits))
             part, key = (code >> np.uint64(32)).astype(np.int64), code.astype(np.uint32)
             first = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1]))) if len(part) else np.empty(0, dtype=int)
             for a, b in zip(first.tolist(), [*first[1:].tolist(), len(part)], strict=False):
@@ -207,9 +216,10 @@ def answered(chunks: DataFrame, keys: Callable[[Words], np.ndarray], answer: Ans
     asked = chunks.select("chunk", "tags", "counts", "carry", "body").mapInArrow(ask, schema_of("part int, chunk long, mass long, keys binary"))
     dealt = asked.repartition(parts, "part").sortWithinPartitions("part", "chunk")
     replies = dealt.mapInArrow(reply, schema_of("chunk long, part int, reply binary"))
-    replies = replies.groupBy("chunk").agg(F.collect_list(F.struct("part", "reply")).alias("replies"))
-    tasks = max(1, min(chunks.count(), TASKS))
-    return chunks.repartition(tasks, "chunk").join(replies, "chunk", "left").select("tags", "counts", "carry", "body", "replies")
+    # both sides are dealt by the number of chunks, not by their bytes, which say little of what a chunk takes when it is read
+    tasks = max(1, chunks.count() // AGAIN)
+    replies = replies.repartition(tasks, "chunk").groupBy("chunk").agg(F.collect_list(F.struct("part", "reply")).alias("replies"))
+    return chunks.repartition(tasks, "chunk").join(replies, "chunk", "left").select("chunk", "tags", "counts", "carry", "body", "replies")
 
 
 def reply_of(replies: Iterable[dict] | None) -> np.ndarray:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskstream.llm import ann, bytespans, collocations, exact, licenses, merkle, mixing, packing, quality, secrets, simhash, substring
+from riskstream.llm import ann, bytespans, collocations, exact, jaccard, licenses, merkle, mixing, packing, quality, secrets, simhash, substring
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,6 +54,10 @@ def byte_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytespans.bytespan_digest(bytespans.remove_repeats(_documents(spark, sf_dir)))
 
 
+def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_documents(_documents(spark, sf_dir))
+
+
 def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(_documents(spark, sf_dir))
 
@@ -73,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licenses": license_labels,
     "op9_packing": packed_sequences,
     "op10_byte_dedup": byte_dedup,
+    "op11_jaccard_join": jaccard_join,
     "op12_collocations": phrase_collocations,
     "op13_merkle_manifest": merkle_manifest,
 }
@@ -165,6 +170,21 @@ FROM d LEFT JOIN base USING (r) LEFT JOIN found USING (r)
 """
 
 
+_JACCARD = f"""
+WITH RECURSIVE
+words AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), {_UPPER}), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_distinct(list_transform(range(1, greatest(len(w) - {jaccard.SHINGLE - 2}, 2)),
+    lambda i: array_to_string(w[i : i + {jaccard.SHINGLE - 1}], ' '))) END AS s
+  FROM words),
+items AS (SELECT r, len(s) AS n, unnest(s) AS x FROM sets),
+pairs AS (SELECT a.r, b.r AS other FROM items a JOIN items b USING (x) WHERE a.r <> b.r GROUP BY a.r, b.r, a.n, b.n
+  HAVING 100 * count(*) >= {jaccard.SIMILARITY} * (a.n + b.n - count(*))),
+reach(r, other) AS (SELECT r, r FROM sets UNION SELECT reach.r, pairs.other FROM reach JOIN pairs ON reach.other = pairs.r)
+SELECT any_value(a.doc_id) AS doc_id, any_value(len(a.s)) AS n_shingles, min(b.doc_id) AS component_id
+FROM reach JOIN sets a ON a.r = reach.r JOIN sets b ON b.r = reach.other GROUP BY reach.r
+"""
+
 _COLLOCATIONS = f"""
 WITH pieces AS (
   SELECT coalesce(lang, '{collocations.NO_LANG}') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), {_UPPER}), '[.,;:!?\\x0A-\\x0D]')) AS piece
@@ -256,6 +276,7 @@ ORACLE: dict[str, str] = {
     "op5_exact_dedup": _EXACT,
     "op7_mixing": _MIXING,
     "op8_licenses": _license_sql(),
+    "op11_jaccard_join": _JACCARD,
     "op12_collocations": _COLLOCATIONS,
     "op13_merkle_manifest": _merkle_sql(),
 }

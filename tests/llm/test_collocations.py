@@ -56,7 +56,7 @@ def table():
     return rows + [("say hello world again and again " * 3000, "en"), (noise(rng, 8000), "fr")]
 
 
-@pytest.mark.parametrize(("threshold", "top", "chunk", "part"), [(30, 2000, 8 << 20, 32 << 20), (30, 25, 700, 2000), (3, 500, 5000, 300)])
+@pytest.mark.parametrize(("threshold", "top", "chunk", "part"), [(30, 2000, 3 << 20, 32 << 20), (30, 25, 700, 2000), (3, 500, 5000, 300)])
 def test_phrases(spark, table, threshold, top, chunk, part):
     """Whole documents, and chunks so small that long documents are cut and partitions are many."""
     df = spark.createDataFrame([(i, *r, *"abcdef") for i, r in enumerate(table)], SCHEMA).repartition(3)
