@@ -61,38 +61,10 @@ def coalesced_key() -> Column:
     )
 
 
-# Amounts and scores are summed as decimals of twelve places, so a sum does not
-# depend on the order in which rows reach it, whatever its magnitude. Terms stay
-# below 1e16, totals below 1e25; beyond, the query fails.
-TERM, TOTAL = "decimal(28,12)", "decimal(37,12)"
-_TERM_LIMIT = 1e16
-
-
-def exact_term(value: Column) -> Column:
-    """A number as a term of an exact sum; null where it is null or not finite."""
-    too_large = F.raise_error(F.lit("a term of a sum must be below 1e16")).cast(TERM)
-    size = F.abs(value)
-    return F.when(size < _TERM_LIMIT, value.cast(TERM)).when(size < float("inf"), too_large)
-
-
-def odd_term(value: Column) -> Column:
-    """The number where it is NaN or infinite, else null. These add up in any order."""
-    return F.when(~(F.abs(value) < float("inf")), value)
-
-
-def exact_total(exact: Column, odd: Column) -> Column:
-    """The total of exact and odd terms, as a double."""
-    return F.coalesce(odd, exact.cast("double"))
-
-
-def exact_sum(value: Column) -> Column:
-    """sum(value), rounded to a double once. Fixed-width, so it stays in a hash aggregate."""
-    return exact_total(F.sum(exact_term(value)), F.sum(odd_term(value)))
-
-
 def round_half_up(value: Column) -> Column:
     """Two digits, halves upwards, in binary arithmetic: 1.005 gives 1.0.
-    round() works on the decimal digits and would give 1.01."""
+    round() works on the decimal digits and would give 1.01. Values beyond what
+    a long holds in hundredths give its largest, as rounding to a long does."""
     return F.floor(value * 100.0 + 0.5) / 100.0
 
 

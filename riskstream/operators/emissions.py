@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 from riskstream.config import MINUTE, WindowSpec
 from riskstream.functions import expressions as E
+from riskstream.functions import sums as S
+from riskstream.operators.aggregates import has_far_terms
 from riskstream.operators.late import is_closed, is_late, watermark_after, window_start
 from riskstream.plans.lookup import materialize
 
@@ -25,27 +27,34 @@ FIRE, REFIRE = "FIRE", "REFIRE"
 # log offsets per block of the two-level running totals
 _BLOCK = 65_536
 
-# the two sums of a window, each as exact terms and as those that are not finite
+# the two sums of a window, each as near terms and as those that are not finite
 PARTS = ["amountExact", "amountOdd", "scoreExact", "scoreOdd"]
+# the same of far terms, limb by limb; only where a table has such terms
+_FAR = {name: [f"{name}{i}" for i in range(S.FAR_LIMBS)] for name in ("amountFar", "scoreFar")}
 
 
 def sum_parts() -> list[Column]:
     """The terms of PARTS that a transaction gives."""
     amount, score = F.col("amount"), F.col("mlFraudScore")
-    terms = [E.exact_term(amount), E.odd_term(amount), E.exact_term(score), E.odd_term(score)]
+    terms = [S.near_term(amount), S.odd_term(amount), S.near_term(score), S.odd_term(score)]
     return [term.alias(name) for term, name in zip(terms, PARTS, strict=True)]
 
 
-def totals() -> list[Column]:
-    """The sums made of PARTS, as doubles."""
+def _far_parts() -> list[Column]:
+    columns = zip(_FAR.values(), (F.col("amount"), F.col("mlFraudScore")), strict=True)
+    return [S.far_limb(c, i).alias(name) for names, c in columns for i, name in enumerate(names)]
+
+
+def totals(amount_far: Column | None = None, score_far: Column | None = None) -> list[Column]:
+    """The sums made of PARTS and of the limbs of far terms, as doubles."""
     return [
-        E.exact_total(F.col("amountExact"), F.col("amountOdd")).alias("totalAmount"),
-        E.exact_total(F.col("scoreExact"), F.col("scoreOdd")).alias("totalFraudScore"),
+        S.total(F.col("amountExact"), F.col("amountOdd"), amount_far).alias("totalAmount"),
+        S.total(F.col("scoreExact"), F.col("scoreOdd"), score_far).alias("totalFraudScore"),
     ]
 
 
 def sum_kind(name: str) -> str:
-    return E.TOTAL if name.endswith("Exact") else "double"
+    return S.TOTAL if name.endswith("Exact") else "double" if name.endswith("Odd") else "decimal(38,0)"
 
 
 def _added(a: Column, b: Column) -> Column:
@@ -70,6 +79,9 @@ def window_emissions(
     of the first row, which is looked up by its place, after any filter on the
     statistics."""
     closed = is_closed(spec)
+    has_far = has_far_terms(stamped)
+    parts = [*PARTS, *_FAR["amountFar"], *_FAR["scoreFar"]] if has_far else PARTS
+    far = [S.far_array([F.col(limb) for limb in limbs]) for limbs in _FAR.values()] if has_far else []
     rows = stamped.filter(~is_late(spec)).select(
         key.alias("key"),
         window_start(spec).alias("windowStart"),
@@ -80,29 +92,30 @@ def window_emissions(
         "offset",
         F.greatest(F.lit(0.0), F.col("mlFraudScore")).alias("maxFraudScore"),
         *sum_parts(),
+        *(_far_parts() if has_far else []),
         arrival(stamped).alias("samplePlace"),
     )
     cells = materialize(
         rows.groupBy(*_GROUP, *_CELL).agg(
             F.count(F.lit(1)).alias("eventCount"),
-            *[F.sum(name).cast(sum_kind(name)).alias(name) for name in PARTS],
+            *[F.sum(name).cast(sum_kind(name)).alias(name) for name in parts],
             F.max("maxFraudScore").alias("maxFraudScore"),
             F.min("samplePlace").alias("samplePlace"),
             F.max("eventTime").alias("newest"),
         )
     )
-    values = ["eventCount", *PARTS, "maxFraudScore", "samplePlace"]
+    values = ["eventCount", *parts, "maxFraudScore", "samplePlace"]
     # a window whose close lies beyond the last watermark has not fired yet; late rows are never the newest
     last_watermark = cells.agg(watermark_after(F.max("newest"), spec)).scalar()
     fires = cells.filter(F.col("_block") < 0).filter(F.col("windowStart") + (spec.size_ms - 1) <= last_watermark)
     fires = fires.select(
         *_GROUP, *values, F.lit(FIRE).alias("kind"), "batch_id", "partition", F.lit(-1).cast("bigint").alias("offset")
     )
-    emitted = fires.unionByName(_refires(rows.filter(F.col("_block") >= 0), cells)).select(
+    emitted = fires.unionByName(_refires(rows.filter(F.col("_block") >= 0), cells, parts)).select(
         *_GROUP,
         (F.col("windowStart") + spec.size_ms).alias("windowEnd"),
         "eventCount",
-        *totals(),
+        *totals(*far),
         "maxFraudScore",
         "samplePlace",
         "kind",
@@ -116,7 +129,7 @@ def window_emissions(
     return emitted.join(events, "samplePlace").drop("samplePlace")
 
 
-def _refires(later: DataFrame, cells: DataFrame) -> DataFrame:
+def _refires(later: DataFrame, cells: DataFrame, parts: list[str]) -> DataFrame:
     """A running total per later row of a group, in log order, without a task that
     holds the rows of a group: totals run over the cells, which are sums, and inside
     each cell, which has at most _BLOCK rows."""
@@ -126,7 +139,7 @@ def _refires(later: DataFrame, cells: DataFrame) -> DataFrame:
         *_GROUP,
         *_CELL,
         F.sum("eventCount").over(before).alias("_count"),
-        *[F.sum(name).over(before).cast(sum_kind(name)).alias(f"_{name}") for name in PARTS],
+        *[F.sum(name).over(before).cast(sum_kind(name)).alias(f"_{name}") for name in parts],
         F.max("maxFraudScore").over(before).alias("_max"),
         F.first("samplePlace").over(before).alias("_first"),
     )
@@ -138,14 +151,14 @@ def _refires(later: DataFrame, cells: DataFrame) -> DataFrame:
         *_CELL,
         "offset",
         F.count(F.lit(1)).over(inside).alias("eventCount"),
-        *[F.sum(name).over(inside).cast(sum_kind(name)).alias(name) for name in PARTS],
+        *[F.sum(name).over(inside).cast(sum_kind(name)).alias(name) for name in parts],
         F.max("maxFraudScore").over(inside).alias("maxFraudScore"),
         F.first("samplePlace").over(inside).alias("samplePlace"),
     )
     return local.join(earlier, [*_GROUP, *_CELL]).select(
         *_GROUP,
         (F.col("eventCount") + F.coalesce("_count", F.lit(0))).alias("eventCount"),
-        *[_added(F.col(name), F.col(f"_{name}")).cast(sum_kind(name)).alias(name) for name in PARTS],
+        *[_added(F.col(name), F.col(f"_{name}")).cast(sum_kind(name)).alias(name) for name in parts],
         F.greatest("maxFraudScore", "_max").alias("maxFraudScore"),
         F.coalesce("_first", "samplePlace").alias("samplePlace"),
         F.lit(REFIRE).alias("kind"),

@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from riskstream.config import MINUTE, WindowSpec
-from riskstream.functions import expressions as E
+from riskstream.functions import sums as S
 from riskstream.operators.emissions import FIRE, PARTS, REFIRE, sum_kind, sum_parts, totals
 from riskstream.operators.late import is_closed, window_start
 
@@ -43,27 +43,30 @@ def use_disk_state(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
 
 
-_STATS = f"eventCount bigint, amountExact {E.TOTAL}, amountOdd double, scoreExact {E.TOTAL}, scoreOdd double, maxFraudScore double"
+_STATS = f"eventCount bigint, amountExact {S.TOTAL}, amountOdd double, scoreExact {S.TOTAL}, scoreOdd double, maxFraudScore double"
+S_BITS, S_LIMBS = S.LIMB_BITS, S.FAR_LIMBS  # plain numbers, which go to executors with this module
 _DIGITS = 38  # of decimal sums, as in Spark
 _PARTIAL = (
     f"key string, windowStart bigint, closed boolean, batch_id bigint, partition int, offset bigint, "
-    f"event_ts timestamp, eventId string, {_STATS}"
+    f"event_ts timestamp, eventId string, {_STATS}, amountFar double, scoreFar double"
 )
-_STATE = f"{_STATS}, batch_id bigint, partition int, offset bigint, sampleEventId string, fired boolean"
+_STATE = f"{_STATS}, batch_id bigint, partition int, offset bigint, sampleEventId string, amountFar string, scoreFar string, fired boolean"
+_LIMBS = "array<decimal(38,0)>"
 _OUTPUT = (
-    f"key string, windowStart bigint, {_STATS}, sampleEventId string, kind string, "
+    f"key string, windowStart bigint, {_STATS}, amountFar {_LIMBS}, scoreFar {_LIMBS}, sampleEventId string, kind string, "
     "batch_id bigint, partition int, offset bigint"
 )
 
 
 def _sum_open_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Per Arrow batch: open rows summed per key and window, closed rows as they are.
-    Rows with a value that is null or not finite stay single too, because pandas
-    would leave it out of a sum."""
+    Rows with a value that is null, not finite or far stay single too, because pandas
+    would leave it out of a sum, or round it."""
     decimal.getcontext().prec = _DIGITS
     order = ["batch_id", "partition", "offset"]
     for rows in batches:
         single = rows["closed"] | rows["amountExact"].isna() | rows["scoreExact"].isna()
+        single |= rows["amountFar"].notna() | rows["scoreFar"].notna()
         open_rows = rows[~single].sort_values(order)
         summed = open_rows.groupby(["key", "windowStart"], as_index=False, sort=False).agg(
             closed=("closed", "first"),
@@ -78,6 +81,8 @@ def _sum_open_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             scoreExact=("scoreExact", "sum"),
             scoreOdd=("scoreOdd", "first"),
             maxFraudScore=("maxFraudScore", "max"),
+            amountFar=("amountFar", "first"),
+            scoreFar=("scoreFar", "first"),
         )
         yield summed[list(rows.columns)]
         yield rows[single]
@@ -93,6 +98,19 @@ def _sum(a: Any, b: Any) -> Any:
     return b if a is None else a if b is None else a + b
 
 
+def _far_sum(a: str | None, b: float | None) -> str | None:
+    """The sum of far terms so far, as the digits of a whole number, and one more of them."""
+    return a if b is None else str(int(a or 0) + int(b))
+
+
+def _limbs(digits: str | None) -> list[decimal.Decimal] | None:
+    if digits is None:
+        return None
+    sign, size = (-1, -int(digits)) if digits.startswith("-") else (1, int(digits))
+    parts = [size >> (S_BITS * i) & ((1 << S_BITS) - 1) for i in range(S_LIMBS - 1)]
+    return [decimal.Decimal(sign * part) for part in [*parts, size >> (S_BITS * (S_LIMBS - 1))]]
+
+
 class WindowEmitter(StatefulProcessor):
     """State of one key and window, and what it emits.
 
@@ -148,7 +166,7 @@ class WindowEmitter(StatefulProcessor):
         if stats is None:
             return (
                 row.eventCount, row.amountExact, row.amountOdd, row.scoreExact, row.scoreOdd, row.maxFraudScore,
-                *place, row.eventId, fired,
+                *place, row.eventId, _far_sum(None, row.amountFar), _far_sum(None, row.scoreFar), fired,
             )
         first = stats[6:10] if stats[6:9] <= place else (*place, row.eventId)
         return (
@@ -159,6 +177,8 @@ class WindowEmitter(StatefulProcessor):
             _sum(stats[4], row.scoreOdd),
             _greater(stats[5], row.maxFraudScore),
             *first,
+            _far_sum(stats[10], row.amountFar),
+            _far_sum(stats[11], row.scoreFar),
             fired,
         )
 
@@ -172,6 +192,8 @@ class WindowEmitter(StatefulProcessor):
             eventCount=count,
             **dict(zip(PARTS, parts, strict=True)),
             maxFraudScore=highest,
+            amountFar=_limbs(stats[10]),
+            scoreFar=_limbs(stats[11]),
             sampleEventId=stats[9],
             kind=kind,
             batch_id=batch_id,
@@ -194,6 +216,7 @@ def exact_emissions(stamped: DataFrame, key: Column, spec: WindowSpec = MINUTE)
         F.lit(1).cast("bigint").alias("eventCount"),
         *[term.cast(sum_kind(name)).alias(name) for name, term in zip(PARTS, sum_parts(), strict=True)],
         F.greatest(F.lit(0.0), F.col("mlFraudScore")).alias("maxFraudScore"),
+        *[F.when(S.is_far(F.col(c)), F.col(c)).alias(name) for name, c in (("amountFar", "amount"), ("scoreFar", "mlFraudScore"))],
     )
     life = spec.size_ms + spec.out_of_orderness_ms + spec.allowed_lateness_ms
     emitted = (
@@ -212,7 +235,7 @@ def exact_emissions(stamped: DataFrame, key: Column, spec: WindowSpec = MINUTE)
         "windowStart",
         (F.col("windowStart") + spec.size_ms).alias("windowEnd"),
         "eventCount",
-        *totals(),
+        *totals(F.col("amountFar"), F.col("scoreFar")),
         "maxFraudScore",
         "sampleEventId",
         "kind",

@@ -28,33 +28,6 @@ def test_round_half_up_of_nan_is_zero(spark):
     assert value(spark, E.round_half_up(F.lit(float("nan")))) == 0.0
 
 
-@pytest.mark.parametrize(
-    ("terms", "total"),
-    [
-        ([0.1, 0.2, 0.3, 1e5, 7.77], 100008.37),
-        ([2999.9999997], 2999.9999997),
-        ([1e-7] * 4, 4e-7),
-        ([2e9 + 0.1, 0.2, -2e9, 1e12, 0.3, None], 1e12 + 0.6),
-        ([1.0, float("inf"), 2.0], float("inf")),
-        ([None], None),
-    ],
-)
-def test_sums_do_not_depend_on_order(spark, terms, total):
-    for some in (terms, terms[::-1], sorted(terms, key=lambda x: (x is None, x))):
-        rows = spark.createDataFrame([(x,) for x in some], "x double").repartition(3)
-        assert rows.agg(E.exact_sum(F.col("x"))).first()[0] == total
-
-
-def test_sum_with_nan_is_nan(spark):
-    rows = spark.createDataFrame([(1.0,), (float("nan"),), (float("inf"),)], "x double")
-    assert str(rows.agg(E.exact_sum(F.col("x"))).first()[0]) == "nan"
-
-
-def test_sum_refuses_what_does_not_fit(spark):
-    with pytest.raises(PySparkException):
-        spark.createDataFrame([(1e16,)], "x double").agg(E.exact_sum(F.col("x"))).collect()
-
-
 def test_ratio_of_nothing_is_zero(spark):
     assert value(spark, E.ratio(F.lit(3.0), F.lit(0))) == 0.0
 
