@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +10,7 @@ from riskstream.config import DEFAULT_THRESHOLDS, MINUTE, RiskThresholds, Window
 from riskstream.functions import expressions as E
 from riskstream.functions import rules as R
 from riskstream.operators.aggregates import window_stats
+from riskstream.plans.lookup import materialize
 from riskstream.schemas import ALERT
 
 
@@ -123,6 +122,20 @@ def with_first_event(stats: DataFrame, tx: DataFrame) -> DataFrame:
     return stats.join(ids, "samplePosition").drop("samplePosition")
 
 
+def _burst(limits: RiskThresholds) -> Column:
+    return R.is_burst(F.col("eventCount"), F.col("totalAmount"), limits)
+
+
+def _anomaly(limits: RiskThresholds) -> Column:
+    count, total = F.col("eventCount"), F.col("totalAmount")
+    return R.is_merchant_anomaly(count, total, E.ratio(F.col("totalFraudScore"), count), limits)
+
+
+def _window_keys() -> dict[str, Column]:
+    """Whose windows raise alerts."""
+    return {"user": F.col("userId"), "merchant": E.merchant_key()}
+
+
 def _alerting_stats(tx: DataFrame, key: Column, spec: WindowSpec, rule: Column) -> DataFrame:
     if tx.isStreaming:
         return window_stats(tx, key, spec, first_event="id").filter(rule)
@@ -135,8 +148,7 @@ def user_burst_alerts(
     limits: RiskThresholds = DEFAULT_THRESHOLDS,
     random_ids: bool = False,
 ) -> DataFrame:
-    rule = R.is_burst(F.col("eventCount"), F.col("totalAmount"), limits)
-    stats = _alerting_stats(tx, F.col("userId"), spec, rule)
+    stats = _alerting_stats(tx, F.col("userId"), spec, _burst(limits))
     return burst_records(stats, limits=limits, random_ids=random_ids)
 
 
@@ -146,9 +158,7 @@ def merchant_anomaly_alerts(
     limits: RiskThresholds = DEFAULT_THRESHOLDS,
     random_ids: bool = False,
 ) -> DataFrame:
-    count, total = F.col("eventCount"), F.col("totalAmount")
-    rule = R.is_merchant_anomaly(count, total, E.ratio(F.col("totalFraudScore"), count), limits)
-    stats = _alerting_stats(tx, E.merchant_key(), spec, rule)
+    stats = _alerting_stats(tx, E.merchant_key(), spec, _anomaly(limits))
     return anomaly_records(stats, limits=limits, random_ids=random_ids)
 
 
@@ -158,10 +168,18 @@ def fraud_alerts(
     limits: RiskThresholds = DEFAULT_THRESHOLDS,
     random_ids: bool = False,
 ) -> DataFrame:
-    """All alerts of a bounded table. A stream runs one query per kind instead."""
-    parts = [
-        high_risk_alerts(tx, limits, random_ids=random_ids),
-        user_burst_alerts(tx, spec, limits, random_ids),
-        merchant_anomaly_alerts(tx, spec, limits, random_ids),
-    ]
-    return reduce(DataFrame.unionByName, [part.select(*ALERT.fieldNames()) for part in parts])
+    """All alerts of a bounded table. A stream runs one query per kind instead.
+
+    Users and merchants are summed in one aggregate, with a row for each of both per
+    transaction, and the first events of all window alerts are looked up at once.
+    """
+    keys = F.array(*[F.struct(F.lit(kind).alias("kind"), key.alias("key")) for kind, key in _window_keys().items()])
+    stats = window_stats(tx.withColumn("_keyed", F.explode(keys)), F.col("_keyed"), spec, first_event="position")
+    stats = stats.select(F.col("key.kind").alias("_kind"), F.col("key.key").alias("key"), *[c for c in stats.columns if c != "key"])
+    stats = stats.filter(F.when(F.col("_kind") == "user", _burst(limits)).otherwise(_anomaly(limits)))
+    found = materialize(with_first_event(stats, tx))
+    windows = burst_records(found.filter("_kind = 'user'"), limits=limits, random_ids=random_ids).unionByName(
+        anomaly_records(found.filter("_kind = 'merchant'"), limits=limits, random_ids=random_ids)
+    )
+    single = high_risk_alerts(tx, limits, random_ids=random_ids)
+    return single.select(*ALERT.fieldNames()).unionByName(windows.select(*ALERT.fieldNames()))

@@ -47,9 +47,11 @@ def analyze_log(
     landed = land_parsed(merge_topics(log, *topics.sources), folder)
     good = valid_transactions(landed.filter("accepted")).drop("accepted")
     bad = landed.filter("NOT accepted").drop("accepted")
+    # partitions are unique over the topics by now, whatever these are called
+    placed = good.drop("topic")
     return RiskResults(
         transactions=good,
         quarantine=rejected_records(bad, observed_at, topics),
-        alerts=fraud_alerts(good, spec, limits),
-        aggregates=country_category_aggregates(good, spec),
+        alerts=fraud_alerts(placed, spec, limits),
+        aggregates=country_category_aggregates(placed, spec),
     )

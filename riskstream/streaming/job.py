@@ -68,7 +68,8 @@ class RiskJob:
         )
 
     def window_results(self, landed: DataFrame) -> dict[str, DataFrame]:
-        """Name → streaming frame of each windowed result."""
+        """Name → streaming frame of each windowed result. Landed partitions are unique over the topics."""
+        landed = landed.drop("topic")
         if self.mode != EXACT:
             return {
                 "aggregates": windows.stream_aggregates(landed, self.spec),
