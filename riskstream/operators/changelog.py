@@ -33,7 +33,7 @@ def read_changes(log: DataFrame) -> DataFrame:
     return rows.select("partition", "offset", *fields).filter(kept)
 
 
-def _place(changes: DataFrame) -> Column:
+def change_place(changes: DataFrame) -> Column:
     """Source time, then place in the log, as one fixed-width number. Changes
     without a time come before all others."""
     time = F.coalesce(F.col("source_ts_ms"), F.lit(-(1 << 63)).cast("bigint")).cast("decimal(19,0)")
@@ -49,7 +49,7 @@ def current_state(changes: DataFrame, key: str = "merchant_id", fields: list[str
     key and place, which are unique in a log.
     """
     fields = fields or PROFILE.fieldNames()
-    placed = changes.withColumn("_place", _place(changes))
+    placed = changes.withColumn("_place", change_place(changes))
     last = placed.groupBy(key).agg(F.max("_place").alias("_place"))
     images = placed.join(last, [key, "_place"])
     return images.filter(F.coalesce(F.col("op") != DELETE, F.lit(True))).select(*fields)
