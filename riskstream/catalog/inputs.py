@@ -35,6 +35,13 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transactions_from_events(events(spark, sf_dir)).drop("event_id")
 
 
+def far_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The transactions, with amounts that are multiples of 2**960 in one of 50 and of 2**54 in another."""
+    n = F.col("event_id")
+    amount = F.when(n % 50 == 0, (n % 7 + 1) * 2.0**960).when(n % 50 == 1, (n % 9) * 2.0**54).otherwise(F.col("amount"))
+    return transactions_from_events(events(spark, sf_dir)).withColumn("amount", amount).drop("event_id")
+
+
 def transaction_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same transactions, read as a stream of files."""
     schema = events(spark, sf_dir).schema

@@ -471,6 +471,28 @@ _LATE_RECORD = (
 _SQL_TIME = "strftime(make_timestamp(\"{0}\" * 1000), '%Y-%m-%dT%H:%M:%S.%gZ') AS \"{0}\""
 
 
+_FAR_TX = """
+far AS (
+  SELECT *, CASE WHEN event_id % 50 = 0 THEN event_id % 7 + 1 ELSE 0 END AS huge,
+    CASE WHEN event_id % 50 = 0 THEN 0::DECIMAL(38, 4)
+         WHEN event_id % 50 = 1 THEN (event_id % 9)::DECIMAL(10, 0) * 18014398509481984::DECIMAL(20, 0)
+         ELSE amount::DECIMAL(28, 4) END AS usual
+  FROM tx
+)"""
+# whole multiples of 2**960 leave no room for the rest of a sum; without them it is exact as a decimal, which its digits hold
+_FAR_TOTAL = "CASE WHEN sum(huge) > 0 THEN sum(huge)::DOUBLE * pow(2.0::DOUBLE, 960) ELSE CAST(CAST(sum(usual) AS VARCHAR) AS DOUBLE) END"
+
+
+def _far_stats(key: str) -> str:
+    return f"""
+far_stats AS (
+  SELECT {key} AS "key", "eventTime" - "eventTime" % {_DAY} AS "windowStart", count(*) AS "eventCount",
+    {_FAR_TOTAL} AS "totalAmount", {_sum('"mlFraudScore"')} AS "totalFraudScore", greatest(0.0::DOUBLE, max("mlFraudScore")) AS "maxFraudScore",
+    arg_min("eventId", "partition" * (1::HUGEINT << 44) + "offset") AS "sampleEventId"
+  FROM far GROUP BY 1, 2
+)"""
+
+
 ORACLE: dict[str, str] = {
     "transactions": _with(select=f'SELECT {_COLS}, "partition", "offset" FROM tx'),
     "parsed_transactions": _with(
@@ -534,6 +556,49 @@ valid AS (SELECT * REPLACE (CAST("partition" * 2 AS INT) AS "partition") FROM lo
         f" UNION ALL SELECT {_ALERT_COLS} FROM ({_bursts('users')})"
         f" UNION ALL SELECT {_ALERT_COLS} FROM ({_anomalies('merchants')})",
     ),
+    "fraud_alerts_of_renamed_topics": _with(
+        _RAW,
+        """
+valid AS (SELECT * REPLACE (CAST("partition" * 2 AS INT) AS "partition") FROM log WHERE reason IS NULL)""",
+        f"\nusers AS ({_stats('valid', _USER, _DAY)}\n)",
+        f"\nmerchants AS ({_stats('valid', _MERCHANT, _DAY)}\n)",
+        select=f"SELECT {_ALERT_COLS} FROM ({_high_risk('valid')})"
+        f" UNION ALL SELECT {_ALERT_COLS} FROM ({_bursts('users')})"
+        f" UNION ALL SELECT {_ALERT_COLS} FROM ({_anomalies('merchants')})",
+    ),
+    "totals_of_far_amounts": _with(
+        _FAR_TX, _far_stats(_USER), select='SELECT "key", "windowStart", "eventCount", "totalAmount", "totalFraudScore" FROM far_stats'
+    ),
+    "alerts_of_far_amounts": _with(
+        _FAR_TX,
+        _far_stats(_USER),
+        select=f"""
+  SELECT {_alert_id('USER_PAYMENT_BURST', '"key"', '"windowStart"', '"sampleEventId"')} AS "alertId",
+    CASE WHEN "totalAmount" >= 3000 THEN 'CRITICAL' ELSE 'WARN' END AS severity, "key", "windowStart",
+    greatest("totalAmount", "maxFraudScore") AS "metricValue", "sampleEventId"
+  FROM far_stats WHERE "eventCount" >= 5 OR "totalAmount" >= 3000""",
+    ),
+    "sql_totals_of_far_amounts": _with(
+        _FAR_TX,
+        f"""
+raw_stats AS (
+  SELECT {_SQL_KEY} AS "key", "eventTime" - "eventTime" % {_DAY} AS "windowStart", count(*) AS "eventCount", {_FAR_TOTAL} AS total
+  FROM far GROUP BY country, category, "merchantId", "eventTime" - "eventTime" % {_DAY}
+)""",
+        select='SELECT "key", "windowStart", "eventCount", CASE WHEN total < 1e15 THEN round(total, 2) ELSE total END AS "totalAmount" FROM raw_stats',
+    ),
+    "transactions_with_profiles_as_of": _with(
+        _PROFILES,
+        """
+versions AS (
+  SELECT * FROM changes QUALIFY row_number() OVER (PARTITION BY merchant_id, source_ts_ms ORDER BY "partition" DESC, "offset" DESC) = 1)""",
+        select="""
+  SELECT "eventId", CASE WHEN op <> 'd' THEN risk_tier END AS risk_tier,
+    coalesce(CASE WHEN op <> 'd' THEN risk_multiplier END, 1.0::DOUBLE) AS risk_multiplier,
+    CASE WHEN op <> 'd' THEN v.manual_review_required END AS manual_review_required
+  FROM tx t ASOF LEFT JOIN versions v ON t."merchantId" = v.merchant_id AND t."eventTime" >= v.source_ts_ms""",
+    ),
+    "merchant_profiles_in_increments": _with(_PROFILES, select="SELECT * FROM profiles"),
     "alert_json": _with(select=f'SELECT {_ALERT_JSON} AS "value" FROM ({_high_risk("tx")})'),
     "aggregates_minute": _with(_stats_cte(_MINUTE, _KEY), select=_aggregate("stats")),
     "aggregates_daily": _with(_stats_cte(_DAY, _KEY), select=_aggregate("stats")),

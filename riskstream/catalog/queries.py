@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskstream.catalog import inputs as I
-from riskstream.config import DAY, DEFAULT_TOPICS, MINUTE, REASON_MALFORMED
+from riskstream.config import DAY, DEFAULT_TOPICS, MINUTE, REASON_MALFORMED, Topics
 from riskstream.functions import expressions as E
-from riskstream.operators import aggregates, alerts, changelog, contracts, emissions, enrich, late, parse, replay, topics
+from riskstream.operators import aggregates, alerts, changelog, contracts, emissions, enrich, late, parse, replay, snapshots, topics, versions
 from riskstream.plans import pipeline
 from riskstream.plans.lookup import ensure_checkpoint_dir
 from riskstream.plans.sql import sql_aggregates
@@ -377,6 +377,52 @@ def fraud_alerts_of_landed_log(spark, sf_dir):
     return pipeline.analyze_log(I.raw_log(spark, sf_dir), _scratch(spark), DAY).alerts
 
 
+@query
+def fraud_alerts_of_renamed_topics(spark, sf_dir):
+    """The same log under topics of other names."""
+    named = Topics(raw="my.raw", replay="my.replay")
+    log = I.raw_log(spark, sf_dir).withColumn("topic", F.lit(named.raw))
+    return pipeline.analyze_log(log, _scratch(spark), DAY, topics=named).alerts
+
+
+@query
+def totals_of_far_amounts(spark, sf_dir):
+    """Amounts from cents to 2**963 in one window: sums are exact and rounded once."""
+    stats = aggregates.window_stats(I.far_transactions(spark, sf_dir), F.col("userId"), DAY)
+    return stats.select("key", "windowStart", "eventCount", "totalAmount", "totalFraudScore")
+
+
+@query
+def alerts_of_far_amounts(spark, sf_dir):
+    found = alerts.user_burst_alerts(I.far_transactions(spark, sf_dir), DAY)
+    return found.select("alertId", "severity", "key", "windowStart", "metricValue", "sampleEventId")
+
+
+@query
+def sql_totals_of_far_amounts(spark, sf_dir):
+    found = sql_aggregates(I.far_transactions(spark, sf_dir), DAY)
+    return _millis(found, "windowStart").select("key", "windowStart", "eventCount", "totalAmount")
+
+
+# --- profiles as of the event, and state folded in increments
+
+
+@query
+def transactions_with_profiles_as_of(spark, sf_dir):
+    found = versions.with_profiles_as_of(I.transactions(spark, sf_dir), _changes(spark, sf_dir))
+    return found.select("eventId", "risk_tier", "risk_multiplier", "manual_review_required")
+
+
+@query
+def merchant_profiles_in_increments(spark, sf_dir):
+    """The log in three increments, each of which reads what the log has gained."""
+    log, folder = I.profile_change_log(spark, sf_dir), _scratch(spark)
+    last = log.agg(F.max("offset")).first()[0] or 0
+    for third in (1, 2, 3):
+        found = snapshots.advance(log.filter(F.col("offset") <= last * third // 3), folder)
+    return _profile_columns(found.state())
+
+
 # --- streams: run until the tables are read, then give the sink's table
 
 
