@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from riskstream.llm.common import Rows, rows_of, schema_of, whole, written
-from riskstream.llm.grams import CHUNK, PART, Words, answered, chunked, codes, distinct, parts_for, read_words, reply_of, unpack
+from riskstream.llm.grams import CHUNK, PART, Words, added, answered, chunked, codes, distinct, parts_for, read_words, reply_of, unpack
 
 LONGEST = 4
 THRESHOLD = 30
@@ -75,10 +75,7 @@ class Summary:
         keys = np.concatenate([self.keys, *[k for k, _ in self._waiting]])
         counts = np.concatenate([self.counts, *[c for _, c in self._waiting]])
         self._waiting, self._rows = [], 0
-        order = np.argsort(keys, kind="stable")
-        keys, counts = keys[order], counts[order]
-        first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.empty(0, dtype=int)
-        keys, counts = keys[first], np.add.reduceat(counts, first) if len(first) else counts
+        keys, counts = added(keys, counts)
         if len(keys) > self.capacity:
             cut = int(np.partition(counts, len(counts) - self.capacity - 1)[len(counts) - self.capacity - 1])
             kept = counts > cut
@@ -90,8 +87,9 @@ class Summary:
 def _phrase_keys(chunk: Words) -> tuple[list[np.ndarray], np.ndarray]:
     """First words of the phrases of each length, and the hashes of all of them; a language is part of the hash."""
     langs = np.array([xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass"), 1) for t in chunk.tags], dtype=np.uint64)
-    hashes = chunk.hashes() ^ langs[chunk.owner] if len(chunk.ids) else np.empty(0, dtype=np.uint64)
-    ends = np.concatenate(([0], np.cumsum(chunk.ids == chunk.number.get(_END, -1))))
+    plain = chunk.hashes()
+    hashes = plain ^ langs[chunk.owner] if len(plain) else plain
+    ends = np.concatenate(([0], np.cumsum(plain == np.uint64(xxhash.xxh3_64_intdigest(_END)))))
     places, keys = [], []
     for length in range(1, LONGEST + 1):
         at, key = chunk.runs(length, hashes)
@@ -117,6 +115,7 @@ def _count(chunk: Words, places: list[np.ndarray], alive: np.ndarray, counts: di
     """Add the phrases that are alive, told apart by their words, to the counts of their language."""
     names = list(dict.fromkeys(chunk.tags))
     number = {t: i for i, t in enumerate(names)}
+    chunk.number()
     lang = np.array([number[t] for t in chunk.tags], dtype=np.int64)[chunk.owner] if len(chunk.ids) else chunk.ids
     symbols = np.unique(lang * max(1, len(chunk.vocabulary)) + chunk.ids, return_inverse=True)[1]
     width, done, words = len(symbols) + 1, 0, chunk.words

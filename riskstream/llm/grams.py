@@ -44,7 +44,7 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Words:
-    """The words of a chunk: `ids` number them by `vocabulary`; document i has counts[i] of them and the tag tags[i].
+    """The words of a chunk; document i has counts[i] of them and the tag tags[i].
 
     The first `carry` words belong to the chunk before and are here only because runs begin in them.
     """
@@ -55,23 +55,24 @@ class Words:
     words: list[bytes]
 
     def __post_init__(self) -> None:
-        numbers = dict.fromkeys(self.words)
-        self.vocabulary = list(numbers)
-        for i, word in enumerate(self.vocabulary):
-            numbers[word] = i
-        self.ids = np.fromiter(map(numbers.__getitem__, self.words), dtype=np.int64, count=len(self.words))
-        self.number = numbers
         #: document of each word
         self.owner = np.repeat(np.arange(len(self.counts)), self.counts)
 
+    def number(self) -> None:
+        """Number the words: `ids` by `vocabulary`, and `numbers` the other way."""
+        self.numbers = dict.fromkeys(self.words)
+        self.vocabulary = list(self.numbers)
+        for i, word in enumerate(self.vocabulary):
+            self.numbers[word] = i
+        self.ids = np.fromiter(map(self.numbers.__getitem__, self.words), dtype=np.int64, count=len(self.words))
+
     def hashes(self) -> np.ndarray:
         """A hash for each word of the chunk."""
-        own = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in self.vocabulary), dtype=np.uint64, count=len(self.vocabulary))
-        return own[self.ids]
+        return np.fromiter(map(xxhash.xxh3_64_intdigest, self.words), dtype=np.uint64, count=len(self.words))
 
     def runs(self, length: int, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First words of the runs of `length` words inside one document that end after the carried words, and their hashes."""
-        n = len(self.ids) - length + 1
+        n = len(self.words) - length + 1
         if n <= 0:
             return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.uint64)
         at = np.arange(n)
@@ -178,6 +179,18 @@ def unpack(body: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(both[:half], dtype=np.uint32), both[half:].astype(np.int64)
 
 
+def added(keys: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct 32-bit keys with the sums of their times."""
+    if len(times) and int(times.max()) < 1 << 32:  # one sort of numbers is much faster than one of places
+        both = np.sort(keys.astype(np.uint64) << np.uint64(32) | times.astype(np.uint64))
+        keys, times = (both >> np.uint64(32)).astype(np.uint32), (both & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    else:
+        order = np.argsort(keys, kind="stable")
+        keys, times = keys[order], times[order]
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.empty(0, dtype=np.int64)
+    return keys[first], np.add.reduceat(times, first) if len(first) else times
+
+
 #: From the mass of a partition and its packed arrays to an answer: a byte for each key of an array.
 Answer = Callable[[int, list[bytes]], Callable[[np.ndarray], np.ndarray]]
 

@@ -24,15 +24,17 @@ from pyspark.sql import functions as F
 
 from riskstream.llm.common import Rows, rows_of, schema_of, whole, written
 from riskstream.llm.components import components
-from riskstream.llm.grams import CHUNK, PART, Words, answered, chunked, codes, distinct as distinct_codes, mixed, parts_for, read_words, reply_of, unpack
+from riskstream.llm.grams import CHUNK, PART, Words, added, answered, chunked, codes, distinct as distinct_codes, mixed, parts_for, read_words, reply_of, unpack
 
 SHINGLE = 5
 #: Least similarity, in hundredths.
 SIMILARITY = 80
 #: A shingle is frequent from 2 ** RARE different sets on.
-RARE = 7
+RARE = 10
 #: Sets with more shingles use frequent ones alone, as their combinations are too many.
-LARGE = 400
+LARGE = 100
+#: Shingles of a set that are tried first, to join near copies before their signatures are compared.
+LEADING = 4
 #: Open pairs for each open row, below which all open pairs are compared; and the rounds after which they are in any case.
 OPEN_PAIRS, ROUNDS = 32, 8
 
@@ -50,7 +52,7 @@ def shingles(chunk: Words, length: int, wanted: np.ndarray) -> tuple[np.ndarray,
 
     A document of fewer words than `length` has one shingle, all its words.
     """
-    hashes = chunk.hashes() if len(chunk.ids) else np.empty(0, dtype=np.uint64)
+    hashes = chunk.hashes()
     owners, keys = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.uint64)]
     for size in range(1, length + 1):
         fits = wanted & ((chunk.counts >= size) if size == length else (chunk.counts == size))
@@ -60,8 +62,12 @@ def shingles(chunk: Words, length: int, wanted: np.ndarray) -> tuple[np.ndarray,
             owners.append(chunk.owner[at][inside])
             keys.append(key[inside])
     owner, key = np.concatenate(owners), np.concatenate(keys)
-    order = np.lexsort((key, owner))
+    order = np.argsort(owner, kind="stable")
     owner, key = owner[order], key[order]
+    edges = np.searchsorted(owner, np.arange(len(chunk.counts) + 1)).tolist()
+    for a, b in zip(edges, edges[1:], strict=False):
+        if b - a > 1:
+            key[a:b].sort()
     new = np.ones(len(key), dtype=bool)
     new[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])
     return owner[new], key[new]
@@ -90,9 +96,7 @@ def _sets(chunks: DataFrame, length: int) -> DataFrame:
 
 def _classes(mass: int, bodies: list[bytes]):
     """The answer for a shingle: the whole part of the binary logarithm of the number of sets that hold it."""
-    keys, times = map(np.concatenate, zip(*map(unpack, bodies), strict=True))
-    names, where = np.unique(keys, return_inverse=True)
-    total = np.bincount(where, weights=times).astype(np.int64)
+    names, total = added(*map(np.concatenate, zip(*map(unpack, bodies), strict=True)))
     return lambda asked: np.log2(total[np.searchsorted(names, asked)] + 0.5).astype(np.uint8)
 
 
@@ -125,7 +129,7 @@ def signatures(keys: np.ndarray, classes: np.ndarray, similarity: int, rare: int
 
 
 def _records(chunks: DataFrame, length: int, similarity: int, rare: int, large: int, part: int) -> DataFrame:
-    """place, n, shared, sigs, before, tokens of the sets that have signatures. `tags` of chunks are the wanted documents."""
+    """place, n, shared, lead, sigs, before, tokens of the sets that have signatures. `tags` of chunks are the wanted documents."""
     parts = parts_for(chunks, part)
 
     def wanted(own: Words) -> np.ndarray:
@@ -137,7 +141,7 @@ def _records(chunks: DataFrame, length: int, similarity: int, rare: int, large:
         return shingles(own, length, wanted(own))[1]
 
     longs = pa.list_(pa.int64())
-    schema = pa.schema([("place", pa.int64()), ("n", pa.int64()), ("shared", pa.int64()), ("sigs", longs), ("before", longs), ("tokens", longs)])
+    schema = pa.schema([("place", pa.int64()), ("n", pa.int64()), ("shared", pa.int64()), ("lead", longs), ("sigs", longs), ("before", longs), ("tokens", longs)])
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = Rows(schema)
@@ -146,21 +150,24 @@ def _records(chunks: DataFrame, length: int, similarity: int, rare: int, large:
             owner, key = shingles(own, length, wanted(own))
             code = codes(key, parts)
             level = reply_of(replies)[np.searchsorted(distinct_codes(code)[0], code)]
-            order = np.lexsort((key, level, owner))
-            owner, key, level = owner[order], key[order], level[order]
-            edges = np.searchsorted(owner, np.arange(len(own.counts) + 1)).tolist()
-            for i in sorted(own.tags):
-                a, b = edges[i], edges[i + 1]
-                sigs, before, shared = signatures(key[a:b], level[a:b], similarity, rare, large)
+            edges = np.searchsorted(owner, np.arange(len(own.counts) + 1))
+            others = np.concatenate(([0], np.cumsum(level > 0)))[edges]
+            sizes, others = np.diff(edges), np.diff(others)
+            able = np.flatnonzero((others > 1) & (100 * others >= similarity * sizes))
+            for i, a, b in zip(able.tolist(), edges[able].tolist(), edges[able + 1].tolist(), strict=True):
+                order = np.argsort(level[a:b], kind="stable")
+                keys, levels = key[a:b][order], level[a:b][order]
+                sigs, before, shared = signatures(keys, levels, similarity, rare, large)
                 if len(sigs):
-                    out.add((chunk << _PLACE_BITS | i, b - a, shared, sigs.view(np.int64), before, key[a:b].view(np.int64)), 16 * len(sigs) + 8 * (b - a))
+                    lead = np.sort(mixed(keys[levels > 0] + np.uint64(2)))[:LEADING].view(np.int64)
+                    out.add((chunk << _PLACE_BITS | i, b - a, shared, lead, sigs.view(np.int64), before, key[a:b].view(np.int64)), 16 * len(sigs) + 8 * (b - a))
                 if out.full():
                     yield out.take()
         yield out.take()
 
     longs = "array<long>"
     found = answered(chunks, keys, _classes, parts)
-    return found.mapInArrow(sign, schema_of(f"place long, n long, shared long, sigs {longs}, before {longs}, tokens {longs}"))
+    return found.mapInArrow(sign, schema_of(f"place long, n long, shared long, lead {longs}, sigs {longs}, before {longs}, tokens {longs}"))
 
 
 def _possible(x: str, y: str, similarity: int) -> Column:
@@ -184,36 +191,49 @@ def _verified(pairs: DataFrame, records: DataFrame, similarity: int) -> DataFram
 _ROW = ["place", "n", "shared", "before", "comp"]
 
 
+def _centred(rows: DataFrame) -> DataFrame:
+    """sig, x, y: every row of a signature beside its centre, the set that has fewest shingles of its own."""
+    centre = F.struct((F.col("n") - F.col("shared")).alias("own"), F.struct(*_ROW).alias("y"))
+    centres = rows.groupBy("sig").agg(F.min(centre)["y"].alias("y"))
+    return rows.select("sig", F.struct(*_ROW).alias("x")).join(centres, "sig").filter("x.place <> y.place")
+
+
+def _similar(tried: DataFrame, records: DataFrame, similarity: int) -> DataFrame:
+    pairs = tried.filter((F.col("x.comp") != F.col("y.comp")) & _possible("x", "y", similarity))
+    pairs = written(pairs.select(F.col("y.place").alias("a"), F.col("x.place").alias("b")).distinct(), "pairs")
+    return written(_verified(pairs, records, similarity), "similar")
+
+
 def links(records: DataFrame, similarity: int = SIMILARITY, open_pairs: int = OPEN_PAIRS) -> DataFrame:
-    """Links (a, b) of similar sets, with the components that all such links make."""
-    rows = records.select("place", "n", "shared", F.explode(F.arrays_zip("sigs", "before")).alias("s"), F.col("place").alias("comp"))
-    rows = rows.select(F.col("s.sigs").alias("sig"), "place", "n", "shared", F.col("s.before").alias("before"), "comp")
-    rows = _open(written(rows, "signatures"))
-    found = None
+    """Links (a, b) of similar sets, with the components that all such links make.
+
+    The leading shingles join most near copies at little cost. Then all signatures are gone through; those whose sets
+    are in one component already are left out before anything is joined.
+    """
+    lead = records.select(F.explode("lead").alias("sig"), "place", "n", "shared", F.lit(0).cast("long").alias("before"), F.col("place").alias("comp"))
+    found = _similar(_centred(lead), records, similarity)
+    roots = components(found).withColumnRenamed("node", "place")
+    named = records.drop("tokens", "lead").join(roots, "place", "left").withColumn("comp", F.coalesce("root", "place"))
+    rows = named.select("place", "n", "shared", "comp", F.explode(F.arrays_zip("sigs", "before")).alias("s"))
+    rows = _open(rows.select(F.col("s.sigs").alias("sig"), "place", "n", "shared", F.col("s.before").alias("before"), "comp"))
     for turn in range(ROUNDS + 1):
         sizes = rows.groupBy("sig").agg(F.count(F.lit(1)).alias("m"))
         total = sizes.agg(F.sum("m").alias("rows"), F.sum(F.expr("m * (m - 1) div 2")).alias("pairs")).first()
         if not total["rows"]:
             break
         last = turn == ROUNDS or total["pairs"] <= open_pairs * total["rows"]
-        x = rows.select("sig", F.struct(*_ROW).alias("x"))
         if last:
-            y = rows.select("sig", F.struct(*_ROW).alias("y"))
+            x, y = (rows.select("sig", F.struct(*_ROW).alias(name)) for name in "xy")
             tried = x.join(y, "sig").filter("x.place < y.place")
         else:
-            centres = rows.groupBy("sig").agg(F.min(F.struct(*_ROW)).alias("y"))
-            tried = x.join(centres, "sig").filter("x.place <> y.place")
-        pairs = tried.filter((F.col("x.comp") != F.col("y.comp")) & _possible("x", "y", similarity))
-        pairs = written(pairs.select(F.col("y.place").alias("a"), F.col("x.place").alias("b")).distinct(), "pairs")
-        new = written(_verified(pairs, records, similarity), "similar")
-        found = new if found is None else found.unionByName(new)
+            tried = _centred(rows)
+        found = found.unionByName(_similar(tried, records, similarity))
         if last:
             break
         roots = components(found).withColumnRenamed("node", "place")
         rest = tried.select("sig", "x.*").drop("comp").join(roots, "place", "left")
-        rest = rest.select("sig", "place", "n", "shared", "before", F.coalesce("root", "place").alias("comp"))
-        rows = _open(written(rest, "open-signatures"))
-    return records.sparkSession.createDataFrame([], "a long, b long") if found is None else found
+        rows = _open(rest.select("sig", "place", "n", "shared", "before", F.coalesce("root", "place").alias("comp")))
+    return found
 
 
 def _open(rows: DataFrame) -> DataFrame:

@@ -70,7 +70,7 @@ def table():
 
 @pytest.mark.parametrize(
     "options",
-    [{}, {"rare": 1}, {"rare": 1, "large": 40, "open_pairs": 0}, {"rare": 3, "large": 100, "open_pairs": 2, "chunk": 4000, "part": 20_000}, {"similarity": 60, "rare": 2}],
+    [{}, {"rare": 1, "large": 40, "open_pairs": 0}, {"rare": 3, "large": 400, "open_pairs": 2, "chunk": 4000, "part": 20_000, "similarity": 70}],
 )
 def test_components(spark, table, options):
     """Rare and frequent shingles, combinations and single ones, rounds of centres and open pairs: no link is lost."""
