@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskstream import config as cfg
 from riskstream.config import DEFAULT_TOPICS, RiskThresholds, WindowSpec
 from riskstream.functions.expressions import JSON_WRITE, event_timestamp
-from riskstream.schemas import TRANSACTION_FIELDS
+from riskstream.operators.contracts import DEFAULTS
+from riskstream.operators.evolution import published
+from riskstream.schemas import TRANSACTION, TRANSACTION_FIELDS
 from riskstream.sources.events import raw_log_from_events, read_events, transactions_from_events
 
 # instants that stand for "now" in checked queries
@@ -242,3 +245,40 @@ def supplier_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((F.col("s_suppkey") % 1000 + 700) / 1000).cast("decimal(6,3)").alias("risk_multiplier"),
         (F.col("s_acctbal") < 0).alias("manual_review_required"),
     )
+
+
+def contract_texts() -> dict[int, str]:
+    """Version → published text of a contract of transactions: an early one with fewer fields, a whole amount and
+    another name for the user, the one in use, and a later one without channel and with a terminal."""
+    own = list(TRANSACTION.fields)
+    defaults = DEFAULTS["transactions.raw-value"]
+    early = [f for f in own if f.name not in ("currency", "ipRisk", "mlFraudScore")]
+    early = [T.StructField("user", f.dataType, f.nullable) if f.name == "userId" else f for f in early]
+    early = [T.StructField(f.name, T.LongType(), f.nullable) if f.name == "amount" else f for f in early]
+    version = T.StructField("schemaVersion", T.IntegerType(), False)
+    later = [*[f for f in own if f.name != "channel"], T.StructField("terminal", T.StringType(), True), version]
+    return {
+        1: published("Payment", T.StructType(early)),
+        2: published("Payment", T.StructType([*own, version]), defaults, {"userId": ("user",)}),
+        3: published("Payment", T.StructType(later), defaults),
+    }
+
+
+def versioned_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """event_id, version, value: every event as a record of one of three versions of its contract. One in 50 names a
+    version that is not there, one in 47 lacks its id, one in 43 has an amount that is no number."""
+    rows = transactions_from_events(events(spark, sf_dir))
+    n = F.col("event_id")
+    number = (n % 3 + 1).cast("int")
+    amount = F.when(n % 43 == 0, F.lit('"much"')).when(number == 1, F.floor("amount").cast("string"))
+    amount = F.coalesce(amount, F.to_json(F.struct("amount"), JSON_WRITE).substr(F.lit(11), F.length(F.to_json(F.struct("amount"))) - 11))
+    ident = F.when(n % 47 != 0, F.col("eventId")).alias("eventId")
+    plain = ["merchantId", "category", "eventTime", "country", "deviceId", "paymentStatus"]
+    whole = ["userId", *plain, "currency", "mlFraudScore", "ipRisk"]
+    members = (
+        F.when(number == 1, F.to_json(F.struct(ident, F.col("userId").alias("user"), *plain, "channel"), JSON_WRITE))
+        .when(number == 2, F.to_json(F.struct(ident, *whole, "channel", F.lit(2).alias("schemaVersion")), JSON_WRITE))
+        .otherwise(F.to_json(F.struct(ident, *whole, F.concat(F.lit("t-"), "deviceId").alias("terminal"), F.lit(3).alias("schemaVersion")), JSON_WRITE))
+    )
+    value = F.concat(F.lit('{"amount":'), amount, F.lit(","), F.substring(members, 2, 1 << 30))
+    return rows.select("event_id", F.when(n % 50 == 0, 9).otherwise(number).alias("version"), value.alias("value"))

@@ -714,6 +714,22 @@ incoming AS (
         select=f"SELECT * REPLACE ('USD' AS currency, 0 AS \"ipRisk\"), 't-' || \"deviceId\" AS terminal, "
         f'1 AS "schemaVersion" FROM (SELECT {_COLS} FROM tx)'
     ),
+    "transactions_of_versions": _with(
+        select="SELECT event_id, " + ", ".join(
+            f"CASE WHEN event_id % 50 <> 0 THEN {sql} END AS \"{name}\"" for name, sql in {
+                **{f: f'"{f}"' for f in _FIELDS},
+                "eventId": 'CASE WHEN event_id % 47 <> 0 THEN "eventId" END',
+                "amount": "CASE WHEN event_id % 43 <> 0 THEN CASE event_id % 3 WHEN 0 THEN floor(amount) ELSE amount END END",
+                "channel": "CASE WHEN event_id % 3 <> 2 THEN channel END",
+                "mlFraudScore": 'CASE event_id % 3 WHEN 0 THEN 0.0 ELSE "mlFraudScore" END',
+                "ipRisk": 'CASE event_id % 3 WHEN 0 THEN 0 ELSE "ipRisk" END',
+                "schemaVersion": "CAST(CASE event_id % 3 WHEN 0 THEN 1 ELSE event_id % 3 + 1 END AS INTEGER)",
+            }.items()
+        )
+        + ", CASE WHEN event_id % 50 = 0 THEN 'no contract for version 9' "
+        "WHEN event_id % 43 = 0 THEN 'malformed JSON, or a field that is not of its type' "
+        "WHEN event_id % 47 = 0 THEN 'required field eventId is null' END AS \"contractProblem\" FROM tx"
+    ),
     "stream_profiled_high_risk_alerts": _with(
         _PROFILES, _ENRICHED, select=_high_risk("enriched", "risk_multiplier")
     ),

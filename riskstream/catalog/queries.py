@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from riskstream.catalog import inputs as I
 from riskstream.config import DAY, DEFAULT_TOPICS, MINUTE, REASON_MALFORMED, Topics
 from riskstream.functions import expressions as E
-from riskstream.operators import aggregates, alerts, changelog, contracts, emissions, enrich, late, parse, replay, snapshots, topics, versions
+from riskstream.operators import aggregates, alerts, changelog, contracts, emissions, enrich, evolution, late, parse, replay, snapshots, topics, versions
 from riskstream.plans import pipeline
 from riskstream.plans.lookup import ensure_checkpoint_dir
 from riskstream.plans.sql import sql_aggregates
@@ -369,6 +369,15 @@ def evolved_transactions(spark, sf_dir):
     return whole.select(*TRANSACTION_FIELDS, "terminal", "schemaVersion")
 
 
+@query
+def transactions_of_versions(spark, sf_dir):
+    """Records of three versions of a contract, read from its published files, under the second one."""
+    folder = _scratch(spark)
+    evolution.write_contracts(spark, I.contract_texts(), folder)
+    found = evolution.read_contracts(spark, folder)
+    return evolution.read_versions(I.versioned_log(spark, sf_dir), found, found[2])
+
+
 # --- everything from one landed parse
 
 
