@@ -451,6 +451,23 @@ batched AS (
   SELECT * REPLACE (CAST("partition" * 2 + CAST(event_id % 7 = 0 AS INT) AS INT) AS "partition") FROM log WHERE reason IS NULL
 )"""
 _ARRIVED = _stamped(I.JOB_SPEC.size_ms, I.JOB_SPEC.out_of_orderness_ms, I.JOB_SPEC.allowed_lateness_ms, _ARRIVING)
+_RECEIVED = """
+received AS (
+  SELECT *, CASE WHEN event_id % 7 = 0 THEN 'transactions.replay' ELSE 'transactions.raw' END AS topic FROM log
+)"""
+_JOB_BATCHES = """
+read_parts AS (
+  SELECT batch_id, r.topic, r."partition", min(r."offset") AS low, max(r."offset") + 1 AS high, count(*) AS records,
+    count(*) FILTER (r.reason IS NOT NULL) AS rejected, count(*) FILTER (s.late) AS late,
+    max(r."eventTime") FILTER (r.reason IS NULL) AS highest, any_value(m.watermark) AS watermark
+  FROM received r LEFT JOIN (SELECT event_id, late FROM stamped) s USING (event_id) LEFT JOIN marks m USING (batch_id) GROUP BY ALL
+),
+read_batches AS (
+  SELECT batch_id, CAST(NULL AS VARCHAR) AS topic, CAST(NULL AS INTEGER) AS "partition", CAST(NULL AS BIGINT) AS low,
+    CAST(NULL AS BIGINT) AS high, CAST(sum(records) AS BIGINT) AS records, CAST(sum(rejected) AS BIGINT) AS rejected,
+    CAST(sum(late) AS BIGINT) AS late, max(max(highest)) OVER (ORDER BY batch_id) AS highest, any_value(watermark) AS watermark
+  FROM read_parts GROUP BY batch_id
+)"""
 _ARRIVED_STATS = f"""
 in_time AS (SELECT * EXCLUDE ("windowStart") FROM stamped WHERE NOT late),
 stats AS ({_stats("in_time", _KEY, _DAY)}
@@ -752,4 +769,21 @@ incoming AS (
     "stream_job_quarantine": _with(
         _ARRIVED, _REJECTED, select=f"SELECT * FROM rejected UNION ALL ({_LATE_RECORD})"
     ),
+    "stream_job_progress": _with(
+        _ARRIVED, _RECEIVED, _JOB_BATCHES, select="SELECT * FROM read_parts UNION ALL SELECT * FROM read_batches"
+    ),
+    "stream_job_lag": _with(
+        _ARRIVED,
+        _RECEIVED,
+        f"""
+ends AS (
+  SELECT topic, "partition", min("offset") AS low, max("offset") + 1 AS high,
+    max("offset") FILTER (batch_id < {I.JOB_BATCHES - 1}) + 1 AS committed FROM received GROUP BY ALL
+)""",
+        select='''SELECT t.topic, "partition", CASE WHEN high IS NULL THEN 0 ELSE 1 END AS available, high - low AS messages,
+  high AS "logEndOffset", high - committed AS lag
+FROM (VALUES ('transactions.raw'), ('transactions.replay'), ('transactions.aggregates'),
+  ('transactions.aggregates.sql'), ('alerts.fraud'), ('transactions.dlq'), ('merchant_risk_profiles')) t(topic)
+LEFT JOIN ends USING (topic)''',
+    ),
 }

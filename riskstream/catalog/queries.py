@@ -499,16 +499,18 @@ def _finished(*running) -> None:
         query.awaitTermination()
 
 
-def _run_job(spark: SparkSession, sf_dir: str, mode: str, *results: str) -> str:
+def _run_job(spark: SparkSession, sf_dir: str, mode: str, *results: str, folder: str | None = None, unread: int = 0) -> str:
     """The folder of a job that ran over the raw log, which arrives in batches, and
     gave the named results. In corrections mode the windows follow every batch, in
-    the others they read all batches at the end."""
-    folder = _scratch(spark)
+    the others they read all batches at the end. The last `unread` batches come after the run."""
+    folder = folder or _scratch(spark)
     risk = job.RiskJob(f"{folder}/job", I.JOB_SPEC, mode=mode)
     arriving = I.arriving_log(spark, sf_dir)
     for batch in range(I.JOB_BATCHES):
         arrived = arriving.filter(F.col("batch_id") == batch).drop("batch_id")
         arrived.write.mode("append").parquet(f"{folder}/log")
+        if batch >= I.JOB_BATCHES - unread:
+            continue
         log = logs.file_stream(spark, f"{folder}/log")
         _finished(risk.start_ingest(log, I.OBSERVED_AT, available_now=True))
         if mode == job.CORRECTIONS:
@@ -543,3 +545,17 @@ def stream_job_quarantine(spark, sf_dir):
     """What the job sets aside: records that cannot be read, and late ones."""
     root = _run_job(spark, sf_dir, job.FINAL)
     return ingest.landed_table(spark, root, ingest.QUARANTINE).select(*DLQ.fieldNames())
+
+
+@query
+def stream_job_progress(spark, sf_dir):
+    """Offsets, records and watermark of every batch of the job."""
+    return job.RiskJob(_run_job(spark, sf_dir, job.FINAL)).progress(spark)
+
+
+@query
+def stream_job_lag(spark, sf_dir):
+    """What a job that stopped before the last batch has yet to read of each topic."""
+    folder = _scratch(spark)
+    risk = job.RiskJob(_run_job(spark, sf_dir, job.FINAL, folder=folder, unread=1))
+    return risk.lag(logs.file_table(spark, f"{folder}/log"))

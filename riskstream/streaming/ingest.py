@@ -5,7 +5,8 @@ Each micro-batch is parsed, then written as folders under `root`:
 - landed/:      good rows in time, with `batch_id` and the `watermark` that held;
 - quarantine/:  rejected and late records;
 - alerts/:      high-risk alerts, late rows included;
-- progress/:    the highest event time so far, one row.
+- progress/:    what the batch read per topic and partition (offsets, records, rejected and late ones), and a row
+                for the whole batch, without a topic, with the highest event time so far.
 
 The watermark of a batch is made of earlier batches only, so a retried batch gets
 the same one. A folder appears when all of it is written, and is never written
@@ -14,14 +15,14 @@ again, so its readers count every row once.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from riskstream.config import DEFAULT_THRESHOLDS, DEFAULT_TOPICS, MINUTE, RiskThresholds, Topics, WindowSpec
 from riskstream.operators.alerts import high_risk_alerts
-from riskstream.operators.late import events_in_time, late_events, late_records, watermark_after
+from riskstream.operators.late import events_in_time, is_late, late_events, late_records, watermark_after
 from riskstream.operators.parse import parse_transactions, rejected_records, valid_transactions
 from riskstream.schemas import TRANSACTION
 from riskstream.sources.sinks import start_batch_sink, write_once
@@ -39,7 +40,36 @@ LANDED_SCHEMA = T.StructType(
         T.StructField("batch_id", T.LongType()),
     ]
 )
-_PROGRESS_SCHEMA = "highest bigint"
+PROGRESS_SCHEMA = (
+    "topic string, partition int, low bigint, high bigint, records bigint, rejected bigint, late bigint, highest bigint, watermark bigint"
+)
+
+
+def batch_progress(parsed: DataFrame, before: Column, spec: WindowSpec = MINUTE) -> DataFrame:
+    """What a batch of parsed records holds, per topic and partition and as a whole.
+
+    low and high bound the offsets read, high being the next one to read; highest is the
+    greatest event time of good rows, in the whole row that of all batches so far.
+    """
+    stamped = parsed.withColumn("watermark", watermark_after(before, spec))
+    good = F.col("reason").isNull()
+    counts = [
+        F.count(F.lit(1)).alias("records"),
+        F.count_if(~good).alias("rejected"),
+        F.count_if(good & is_late(spec)).alias("late"),
+        F.max(F.when(good, F.col("eventTime"))).alias("highest"),
+        F.first("watermark").alias("watermark"),
+    ]
+    bounds = [F.min("offset").alias("low"), (F.max("offset") + 1).alias("high")]
+    parts = stamped.groupBy("topic", "partition").agg(*bounds, *counts)
+    whole = stamped.agg(*counts).withColumns(
+        {
+            **{name: F.lit(None).cast(kind) for name, kind in (("topic", "string"), ("partition", "int"), ("low", "long"), ("high", "long"))},
+            "highest": F.greatest("highest", before),
+            "watermark": watermark_after(before, spec),
+        }
+    )
+    return parts.unionByName(whole)
 
 
 def start_ingest(
@@ -62,13 +92,12 @@ def start_ingest(
 
         before = F.lit(None).cast("bigint")
         if batch_id > 0:
-            last = spark.read.schema(_PROGRESS_SCHEMA).parquet(folder(PROGRESS, batch_id - 1)).first()
+            last = spark.read.schema(PROGRESS_SCHEMA).parquet(folder(PROGRESS, batch_id - 1)).filter("topic IS NULL").first()
             before = F.lit(last.highest).cast("bigint")
         parsed = parse_transactions(frame).persist()
         try:
             valid = valid_transactions(parsed).withColumn("watermark", watermark_after(before, spec))
-            highest = F.greatest(F.max("eventTime"), before).alias("highest")
-            write_once(valid.agg(highest).coalesce(1), folder(PROGRESS))
+            write_once(batch_progress(parsed, before, spec).coalesce(1), folder(PROGRESS))
             late = late_records(late_events(valid, spec), observed_at, topics)
             rejected = rejected_records(parsed, observed_at, topics)
             write_once(rejected.unionByName(late), folder(QUARANTINE))

@@ -19,12 +19,13 @@ from riskstream.functions import expressions as E
 from riskstream.operators.aggregates import aggregate_records
 from riskstream.operators.alerts import anomaly_records, burst_records
 from riskstream.operators.parse import read_transactions_leniently
+from riskstream.operators.topics import topic_statistics
 from riskstream.schemas import AGGREGATE, ALERT, DLQ, SQL_AGGREGATE
 from riskstream.sources.logs import from_topics, merge_topics
 from riskstream.sources.sinks import json_values, start_batch_sink, start_file_sink, start_topic_sink, write_batch_folder
 from riskstream.streaming import windows
 from riskstream.streaming.exact import exact_emissions, use_disk_state
-from riskstream.streaming.ingest import ALERTS, QUARANTINE, landed_stream, start_ingest
+from riskstream.streaming.ingest import ALERTS, PROGRESS, PROGRESS_SCHEMA, QUARANTINE, landed_stream, start_ingest
 
 EXACT, FINAL, CORRECTIONS = "exact", "final", "corrections"
 MODES = (EXACT, FINAL, CORRECTIONS)
@@ -67,6 +68,22 @@ class RiskJob:
             available_now,
         )
 
+    def progress(self, spark: SparkSession) -> DataFrame:
+        """What each ingested batch read: per topic and partition, as the topic numbers them, and in a row
+        without topic for the batch. Read from what ingest has landed, so it outlives the run, and a batch
+        that is tried again counts once. There must be a first batch."""
+        rows = spark.read.schema(f"{PROGRESS_SCHEMA}, batch_id bigint").parquet(f"{self.root}/{PROGRESS}")
+        return rows.withColumn("partition", F.expr(f"CAST(partition div {len(self.topics.sources)} AS INT)"))
+
+    def committed_offsets(self, spark: SparkSession) -> DataFrame:
+        """topic, partition, offset: the next one to read of each partition, as commits for `topic_statistics`."""
+        read = self.progress(spark).filter("topic IS NOT NULL")
+        return read.groupBy("topic", "partition").agg(F.max("high").alias("offset"))
+
+    def lag(self, log: DataFrame) -> DataFrame:
+        """Statistics of the topics of a log, with what this job has yet to read of them."""
+        return topic_statistics(log, self.committed_offsets(log.sparkSession), self.topics)
+
     def window_results(self, landed: DataFrame) -> dict[str, DataFrame]:
         """Name → streaming frame of each windowed result. Landed partitions are unique over the topics."""
         landed = landed.drop("topic")

@@ -266,3 +266,67 @@ def test_job_in_corrections_mode(spark, ingested):
         want = want.select(last.columns)
         assert want.count() > 0
         assert last.exceptAll(want).count() == 0 and want.exceptAll(last).count() == 0
+
+
+def test_progress_of_ingest(spark, ingested):
+    rows, source, job = ingested
+    got = job.progress(spark).collect()
+    whole = {r.batch_id: r for r in got if r.topic is None}
+    parts = [r for r in got if r.topic is not None]
+    assert sorted(whole) == list(range(12)) and all(r.partition is None and r.low is None for r in whole.values())
+    assert {b: r.records for b, r in whole.items()} == {
+        b: sum(r["batch_id"] == b for r in rows) + (b % 10 == 0) for b in range(12)
+    }
+    for name in ("records", "rejected", "late"):
+        assert sum(r[name] for r in parts) == sum(r[name] for r in whole.values())
+    assert sum(r.rejected for r in parts) == 2 and sum(r.late for r in parts) == len(account(rows)[1])
+    highest = [max(r["eventTime"] for r in rows if r["batch_id"] <= b) for b in range(12)]
+    assert [whole[b].highest for b in range(12)] == highest
+    assert [whole[b].watermark for b in range(12)] == [None, *(h - SPEC.out_of_orderness_ms - 1 for h in highest[:-1])]
+    # partitions as the topics number them
+    assert {(r.topic, r.partition) for r in parts} == {("transactions.raw", r["partition"]) for r in rows} | {("transactions.replay", 9)}
+
+
+def test_lag_follows_what_was_read(spark, ingested):
+    rows, source, job = ingested
+    log = logs.file_table(spark, source)
+    done = {(r.topic, r.partition): r.lag for r in job.lag(log).filter("available = 1").collect()}
+    assert set(done.values()) == {0}
+    behind = RiskJob(scratch("behind"), SPEC)
+    part = scratch("part")
+    write_batches(spark, rows, part, range(4))
+    run(behind.start_ingest(logs.file_stream(spark, part), observed_at=77, available_now=True))
+    newest = {}
+    for r in rows:
+        at = newest.setdefault(r["partition"], [0, 0])
+        at[0] = max(at[0], r["offset"] + 1)
+        at[1] = max(at[1], r["offset"] + 1 if r["batch_id"] < 4 else 0)
+    raw = behind.lag(log).filter("available = 1 AND topic = 'transactions.raw'").collect()
+    assert {r.partition: r.lag for r in raw} == {p: high - read for p, (high, read) in newest.items()}
+
+
+def test_progress_of_an_empty_batch(spark):
+    job, source = RiskJob(scratch("job"), SPEC), scratch("source")
+    rows = make_rows(5, count=30, per_batch=30, step=6_000)
+    write_batches(spark, rows, source)
+    spark.createDataFrame([("other.topic", 0, 99, None, None, bytearray(b"ignored"))], LOG).coalesce(1).write.mode("append").parquet(source)
+    run(job.start_ingest(logs.file_stream(spark, source, files_per_batch=1), observed_at=77, available_now=True))
+    whole = job.progress(spark).filter("topic IS NULL").orderBy("batch_id").collect()
+    assert [r.records for r in whole] == [31, 0]
+    assert whole[1].highest == whole[0].highest == max(r["eventTime"] for r in rows)
+    assert (whole[1].rejected, whole[1].late) == (0, 0)
+
+
+def test_progress_of_an_earlier_layout(spark):
+    """A job whose first batch was landed with the highest event time alone goes on."""
+    job, source = RiskJob(scratch("job"), SPEC), scratch("source")
+    rows = make_rows(5, count=60, per_batch=30, step=6_000)
+    write_batches(spark, rows, source, [0])
+    run(job.start_ingest(logs.file_stream(spark, source), observed_at=77, available_now=True))
+    folder = f"{job.root}/{ingest.PROGRESS}/batch_id=0"
+    highest = max(r["eventTime"] for r in rows if r["batch_id"] == 0)
+    spark.createDataFrame([(highest,)], "highest bigint").coalesce(1).write.mode("overwrite").parquet(folder)
+    write_batches(spark, rows, source, [1])
+    run(job.start_ingest(logs.file_stream(spark, source), observed_at=77, available_now=True))
+    last = job.progress(spark).filter("topic IS NULL AND batch_id = 1").first()
+    assert (last.watermark, last.highest) == (highest - SPEC.out_of_orderness_ms - 1, max(r["eventTime"] for r in rows))
