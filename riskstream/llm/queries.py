@@ -100,13 +100,13 @@ SELECT doc_id, len(w) AS n_words, n_removed, sha256(coalesce(list_aggregate(k, '
 
 _NEAREST = """
 WITH v AS (
-  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  SELECT vec_id, row_number() OVER () AS own, embedding::DOUBLE[] AS e FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x <> 0)) > 0
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 pairs AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_cosine_similarity(q.e, c.e) AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
-ranked AS (SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank FROM pairs)
+  SELECT q.vec_id AS query_id, q.own, c.vec_id, list_cosine_similarity(q.e, c.e) AS score
+  FROM v q JOIN v c ON q.own <> c.own WHERE q.vec_id % 50 = 0),
+ranked AS (SELECT *, (row_number() OVER (PARTITION BY own ORDER BY score DESC, vec_id))::INTEGER AS rank FROM pairs)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
