@@ -759,9 +759,14 @@ incoming AS (
     ),
     "stream_high_risk_alerts": _with(select=_high_risk("tx")),
     "stream_emissions": _with(_LATE_DAY, _emissions(_MERCHANT), select="SELECT * FROM emission_stats"),
-    "stream_job_exact": _with(
-        _ARRIVED, _emissions(_USER, I.JOB_SPEC), select=_bursts("emission_stats", _CAUSE)
-    ),
+    **{
+        name: _with(_LATE_DAY, _emissions(_MERCHANT), select="SELECT * FROM emission_stats")
+        for name in ("stream_emissions_in_steps", "stream_emissions_of_state_store")
+    },
+    **{
+        name: _with(_ARRIVED, _emissions(_USER, I.JOB_SPEC), select=_bursts("emission_stats", _CAUSE))
+        for name in ("stream_job_exact", "stream_job_carried")
+    },
     "stream_job_final": _with(_ARRIVED, _ARRIVED_STATS, select=_aggregate("done")),
     "stream_job_corrections": _with(
         _ARRIVED, _ARRIVED_STATS, select=_aggregate('stats JOIN given USING ("key", "windowStart")', ", given")

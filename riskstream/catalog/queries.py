@@ -17,7 +17,7 @@ from riskstream.plans.lookup import ensure_checkpoint_dir
 from riskstream.plans.sql import sql_aggregates
 from riskstream.schemas import AGGREGATE, ALERT, DLQ, TRANSACTION_FIELDS
 from riskstream.sources import logs, sinks
-from riskstream.streaming import exact, ingest, job, windows
+from riskstream.streaming import carried, exact, ingest, job, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -480,13 +480,47 @@ def stream_profiled_high_risk_alerts(spark, sf_dir):
     return _run(enrich.profiled_high_risk_alerts(rows))
 
 
-@query
-def stream_emissions(spark, sf_dir):
-    """The repeated results of windows, from state instead of one batch plan."""
-    exact.use_disk_state(spark)
+def _land_stamped(spark, sf_dir) -> str:
     folder = _scratch(spark)
     landed = late.events_in_time(_stamped(spark, sf_dir), I.LATE_SPEC).withColumn("topic", F.lit(DEFAULT_TOPICS.raw))
     landed.select(*ingest.LANDED_SCHEMA.fieldNames()).write.parquet(f"{folder}/{ingest.LANDED}")
+    return folder
+
+
+def _emissions_in_steps(spark, sf_dir, steps: int) -> DataFrame:
+    """The emissions of landed rows, whose batches are announced in this many parts, one after the other."""
+    folder = _land_stamped(spark, sf_dir)
+    landed = ingest.landed_table(spark, folder)
+    last = landed.agg(F.max("batch_id")).first()[0] or 0
+    for part in range(1, steps + 1):
+        spark.range(1).select(F.lit(last * part // steps).alias("batch_id")).coalesce(1).write.mode("append").parquet(f"{folder}/whole")
+    batches = spark.readStream.schema("batch_id bigint").option("maxFilesPerTrigger", 1).parquet(f"{folder}/whole")
+    read = lambda spark, first, last: landed.filter(F.col("batch_id").between(first, last))
+    out = f"{folder}/results"
+    query = carried.start_emissions(
+        batches, read, f"{folder}/state", out, f"{folder}/checkpoint", E.merchant_key(), I.LATE_SPEC, available_now=True
+    )
+    query.awaitTermination()
+    return spark.read.parquet(out).drop("step")
+
+
+@query
+def stream_emissions(spark, sf_dir):
+    """The repeated results of windows, from a stream with state in tables."""
+    return _emissions_in_steps(spark, sf_dir, 1)
+
+
+@query
+def stream_emissions_in_steps(spark, sf_dir):
+    """The same, with the state carried over several steps."""
+    return _emissions_in_steps(spark, sf_dir, 4)
+
+
+@query
+def stream_emissions_of_state_store(spark, sf_dir):
+    """The same, with a state per key and window in Spark's state store."""
+    exact.use_disk_state(spark)
+    folder = _land_stamped(spark, sf_dir)
     rows = ingest.landed_stream(spark, folder)
     return _run(exact.exact_emissions(rows, E.merchant_key(), I.LATE_SPEC), folder)
 
@@ -525,6 +559,24 @@ def stream_job_exact(spark, sf_dir):
     return spark.read.parquet(f"{_run_job(spark, sf_dir, job.EXACT, 'user_bursts')}/user_bursts")
 
 
+@query
+def stream_job_carried(spark, sf_dir):
+    """A job that stops after its first batches, and goes on on a new checkpoint with other numbers of partitions."""
+    folder = _scratch(spark)
+    root = _run_job(spark, sf_dir, job.CARRIED, "user_bursts", folder=folder, unread=1)
+    risk = job.RiskJob(root, I.JOB_SPEC, mode=job.CARRIED)
+    log = logs.file_stream(spark, f"{folder}/log")
+    _finished(risk.start_ingest(log, I.OBSERVED_AT, available_now=True))
+    batches = carried.ingested_batches(spark, root)
+    emitter = risk.emitters()["user_bursts"]
+    rest = carried.start_emissions(
+        batches, carried.landed_batches(root), f"{root}/state/user_bursts", f"{root}/user_bursts", f"{folder}/new-checkpoint",
+        emitter[0], I.JOB_SPEC, emitter[1], available_now=True,
+    )
+    _finished(rest)
+    return spark.read.parquet(f"{root}/user_bursts").drop("step")
+
+
 @query
 def stream_job_final(spark, sf_dir):
     return spark.read.parquet(f"{_run_job(spark, sf_dir, job.FINAL, 'aggregates')}/aggregates")

@@ -61,8 +61,8 @@ def _added(a: Column, b: Column) -> Column:
     return F.coalesce(a + b, a, b)
 
 
-_GROUP = ["key", "windowStart"]
-_CELL = ["batch_id", "partition", "_block"]
+GROUP = ["key", "windowStart"]
+CELL = ["batch_id", "partition", "_block"]
 
 
 def arrival(rows: DataFrame) -> Column:
@@ -71,18 +71,19 @@ def arrival(rows: DataFrame) -> Column:
     return F.col("batch_id").cast("decimal(18,0)") * F.lit(str(1 << 63)).cast("decimal(19,0)") + position.cast("decimal(19,0)")
 
 
-def window_emissions(
-    stamped: DataFrame, key: Column, spec: WindowSpec = MINUTE, first_event: bool = True
-) -> DataFrame:
-    """Statistics per emission, with its `kind` and the batch_id, partition and
-    offset of the row that caused it (-1 for FIRE). `first_event` adds the eventId
-    of the first row, which is looked up by its place, after any filter on the
-    statistics."""
+def sum_names(has_far: bool) -> list[str]:
+    """The names of the parts of a window's two sums."""
+    return [*PARTS, *_FAR["amountFar"], *_FAR["scoreFar"]] if has_far else PARTS
+
+
+def far_arrays(has_far: bool) -> list[Column]:
+    return [S.far_array([F.col(limb) for limb in limbs]) for limbs in _FAR.values()] if has_far else []
+
+
+def cell_rows(stamped: DataFrame, key: Column, spec: WindowSpec, has_far: bool) -> DataFrame:
+    """The rows in time, with their cell and what they add to it."""
     closed = is_closed(spec)
-    has_far = has_far_terms(stamped)
-    parts = [*PARTS, *_FAR["amountFar"], *_FAR["scoreFar"]] if has_far else PARTS
-    far = [S.far_array([F.col(limb) for limb in limbs]) for limbs in _FAR.values()] if has_far else []
-    rows = stamped.filter(~is_late(spec)).select(
+    return stamped.filter(~is_late(spec)).select(
         key.alias("key"),
         window_start(spec).alias("windowStart"),
         "eventTime",
@@ -95,27 +96,58 @@ def window_emissions(
         *(_far_parts() if has_far else []),
         arrival(stamped).alias("samplePlace"),
     )
+
+
+def cell_values(parts: list[str]) -> list[Column]:
+    """The aggregates that join rows, or cells of them, to one."""
+    return [
+        *[F.sum(name).cast(sum_kind(name)).alias(name) for name in parts],
+        F.max("maxFraudScore").alias("maxFraudScore"),
+        F.min("samplePlace").alias("samplePlace"),
+    ]
+
+
+def window_emissions(
+    stamped: DataFrame, key: Column, spec: WindowSpec = MINUTE, first_event: bool = True
+) -> DataFrame:
+    """Statistics per emission, with its `kind` and the batch_id, partition and
+    offset of the row that caused it (-1 for FIRE). `first_event` adds the eventId
+    of the first row, which is looked up by its place, after any filter on the
+    statistics."""
+    has_far = has_far_terms(stamped)
+    parts = sum_names(has_far)
+    rows = cell_rows(stamped, key, spec, has_far)
     cells = materialize(
-        rows.groupBy(*_GROUP, *_CELL).agg(
-            F.count(F.lit(1)).alias("eventCount"),
-            *[F.sum(name).cast(sum_kind(name)).alias(name) for name in parts],
-            F.max("maxFraudScore").alias("maxFraudScore"),
-            F.min("samplePlace").alias("samplePlace"),
-            F.max("eventTime").alias("newest"),
+        rows.groupBy(*GROUP, *CELL).agg(
+            F.count(F.lit(1)).alias("eventCount"), *cell_values(parts), F.max("eventTime").alias("newest")
         )
     )
-    values = ["eventCount", *parts, "maxFraudScore", "samplePlace"]
     # a window whose close lies beyond the last watermark has not fired yet; late rows are never the newest
     last_watermark = cells.agg(watermark_after(F.max("newest"), spec)).scalar()
     fires = cells.filter(F.col("_block") < 0).filter(F.col("windowStart") + (spec.size_ms - 1) <= last_watermark)
-    fires = fires.select(
-        *_GROUP, *values, F.lit(FIRE).alias("kind"), "batch_id", "partition", F.lit(-1).cast("bigint").alias("offset")
+    emitted = emission_records(fires, refires(rows.filter(F.col("_block") >= 0), cells, parts), spec, has_far)
+    if not first_event:
+        return emitted.drop("samplePlace")
+    events = stamped.select(arrival(stamped).alias("samplePlace"), F.col("eventId").alias("sampleEventId"))
+    return emitted.join(events, "samplePlace").drop("samplePlace")
+
+
+def emission_records(fires: DataFrame, again: DataFrame, spec: WindowSpec, has_far: bool) -> DataFrame:
+    """Cells that fire and the results of later rows, in the columns of window_emissions()."""
+    values = ["eventCount", *sum_names(has_far), "maxFraudScore", "samplePlace"]
+    first = fires.select(
+        *GROUP,
+        *values,
+        F.lit(FIRE).alias("kind"),
+        F.lit(-1).cast("bigint").alias("batch_id"),
+        F.lit(-1).alias("partition"),
+        F.lit(-1).cast("bigint").alias("offset"),
     )
-    emitted = fires.unionByName(_refires(rows.filter(F.col("_block") >= 0), cells, parts)).select(
-        *_GROUP,
+    return first.unionByName(again).select(
+        *GROUP,
         (F.col("windowStart") + spec.size_ms).alias("windowEnd"),
         "eventCount",
-        *totals(*far),
+        *totals(*far_arrays(has_far)),
         "maxFraudScore",
         "samplePlace",
         "kind",
@@ -123,40 +155,36 @@ def window_emissions(
         "partition",
         "offset",
     )
-    if not first_event:
-        return emitted.drop("samplePlace")
-    events = stamped.select(arrival(stamped).alias("samplePlace"), F.col("eventId").alias("sampleEventId"))
-    return emitted.join(events, "samplePlace").drop("samplePlace")
 
 
-def _refires(later: DataFrame, cells: DataFrame, parts: list[str]) -> DataFrame:
+def refires(later: DataFrame, cells: DataFrame, parts: list[str]) -> DataFrame:
     """A running total per later row of a group, in log order, without a task that
     holds the rows of a group: totals run over the cells, which are sums, and inside
     each cell, which has at most _BLOCK rows."""
-    groups = cells.filter(F.col("_block") >= 0).select(*_GROUP).distinct()
-    before = Window.partitionBy(*_GROUP).orderBy(*_CELL).rowsBetween(Window.unboundedPreceding, -1)
-    earlier = cells.join(groups, _GROUP, "left_semi").select(
-        *_GROUP,
-        *_CELL,
+    groups = cells.filter(F.col("_block") >= 0).select(*GROUP).distinct()
+    before = Window.partitionBy(*GROUP).orderBy(*CELL).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = cells.join(groups, GROUP, "left_semi").select(
+        *GROUP,
+        *CELL,
         F.sum("eventCount").over(before).alias("_count"),
         *[F.sum(name).over(before).cast(sum_kind(name)).alias(f"_{name}") for name in parts],
         F.max("maxFraudScore").over(before).alias("_max"),
         F.first("samplePlace").over(before).alias("_first"),
     )
     inside = (
-        Window.partitionBy(*_GROUP, *_CELL).orderBy("offset").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        Window.partitionBy(*GROUP, *CELL).orderBy("offset").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     local = later.select(
-        *_GROUP,
-        *_CELL,
+        *GROUP,
+        *CELL,
         "offset",
         F.count(F.lit(1)).over(inside).alias("eventCount"),
         *[F.sum(name).over(inside).cast(sum_kind(name)).alias(name) for name in parts],
         F.max("maxFraudScore").over(inside).alias("maxFraudScore"),
         F.first("samplePlace").over(inside).alias("samplePlace"),
     )
-    return local.join(earlier, [*_GROUP, *_CELL]).select(
-        *_GROUP,
+    return local.join(earlier, [*GROUP, *CELL]).select(
+        *GROUP,
         (F.col("eventCount") + F.coalesce("_count", F.lit(0))).alias("eventCount"),
         *[_added(F.col(name), F.col(f"_{name}")).cast(sum_kind(name)).alias(name) for name in parts],
         F.greatest("maxFraudScore", "_max").alias("maxFraudScore"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -80,6 +80,11 @@ def write_once(frame: DataFrame, folder: str) -> None:
         raise OSError(f"{aside.toString()} could not be moved to {folder}")
 
 
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def write_batch_folder(path: str) -> Callable[[DataFrame, int], None]:
     """A `write` for `start_batch_sink`: one folder per batch, written once."""
 

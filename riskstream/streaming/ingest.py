@@ -6,7 +6,8 @@ Each micro-batch is parsed, then written as folders under `root`:
 - quarantine/:  rejected and late records;
 - alerts/:      high-risk alerts, late rows included;
 - progress/:    what the batch read per topic and partition (offsets, records, rejected and late ones), and a row
-                for the whole batch, without a topic, with the highest event time so far.
+                for the whole batch, without a topic, with the highest event time so far. It is written last,
+                so a batch that has progress is whole.
 
 The watermark of a batch is made of earlier batches only, so a retried batch gets
 the same one. A folder appears when all of it is written, and is never written
@@ -97,13 +98,13 @@ def start_ingest(
         parsed = parse_transactions(frame).persist()
         try:
             valid = valid_transactions(parsed).withColumn("watermark", watermark_after(before, spec))
-            write_once(batch_progress(parsed, before, spec).coalesce(1), folder(PROGRESS))
             late = late_records(late_events(valid, spec), observed_at, topics)
             rejected = rejected_records(parsed, observed_at, topics)
             write_once(rejected.unionByName(late), folder(QUARANTINE))
             write_once(high_risk_alerts(valid, limits), folder(ALERTS))
             landed = [f.name for f in LANDED_SCHEMA.fields if f.name != "batch_id"]
             write_once(events_in_time(valid, spec).select(*landed), folder(LANDED))
+            write_once(batch_progress(parsed, before, spec).coalesce(1), folder(PROGRESS))
         finally:
             parsed.unpersist()
 

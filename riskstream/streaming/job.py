@@ -7,9 +7,10 @@ query that is started again on its checkpoint goes on where it stopped.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -24,11 +25,12 @@ from riskstream.schemas import AGGREGATE, ALERT, DLQ, SQL_AGGREGATE
 from riskstream.sources.logs import from_topics, merge_topics
 from riskstream.sources.sinks import json_values, start_batch_sink, start_file_sink, start_topic_sink, write_batch_folder
 from riskstream.streaming import windows
+from riskstream.streaming.carried import ingested_batches, landed_batches, start_emissions
 from riskstream.streaming.exact import exact_emissions, use_disk_state
 from riskstream.streaming.ingest import ALERTS, PROGRESS, PROGRESS_SCHEMA, QUARANTINE, landed_stream, start_ingest
 
-EXACT, FINAL, CORRECTIONS = "exact", "final", "corrections"
-MODES = (EXACT, FINAL, CORRECTIONS)
+EXACT, CARRIED, FINAL, CORRECTIONS = "exact", "carried", "final", "corrections"
+MODES = (EXACT, CARRIED, FINAL, CORRECTIONS)
 
 
 @dataclass(frozen=True)
@@ -36,7 +38,8 @@ class RiskJob:
     """Folders and settings of one job.
 
     mode: "exact" gives a result at the close of a window and one per later row,
-    "final" one result when the allowed lateness is over, "corrections" a new
+    "carried" the same with state in tables instead of a state store, in a folder per
+    step, and limits that may change between runs, "final" one result when the allowed lateness is over, "corrections" a new
     result whenever a window changes, in a folder per micro-batch.
     """
 
@@ -85,22 +88,29 @@ class RiskJob:
         return topic_statistics(log, self.committed_offsets(log.sparkSession), self.topics)
 
     def window_results(self, landed: DataFrame) -> dict[str, DataFrame]:
-        """Name → streaming frame of each windowed result. Landed partitions are unique over the topics."""
+        """Name → streaming frame of each windowed result, but for the mode "carried", whose results come in steps. Landed partitions are unique over the topics."""
         landed = landed.drop("topic")
+        if self.mode == CARRIED:
+            raise ValueError("start_windows() runs the steps of this mode")
         if self.mode != EXACT:
             return {
                 "aggregates": windows.stream_aggregates(landed, self.spec),
                 "user_bursts": windows.stream_user_bursts(landed, self.spec, self.limits),
                 "merchant_anomalies": windows.stream_merchant_anomalies(landed, self.spec, self.limits),
             }
+        return {
+            name: finish(exact_emissions(landed, key, self.spec)) for name, (key, finish) in self.emitters().items()
+        }
+
+    def emitters(self) -> dict[str, tuple[Column, Callable[[DataFrame], DataFrame]]]:
+        """Name → key and records of what windows emit."""
         cause = ("kind", "batch_id", "partition", "offset")
         return {
-            "aggregates": aggregate_records(exact_emissions(landed, E.aggregate_key(), self.spec), *cause),
-            "user_bursts": burst_records(
-                exact_emissions(landed, F.col("userId"), self.spec), *cause, limits=self.limits
-            ),
-            "merchant_anomalies": anomaly_records(
-                exact_emissions(landed, E.merchant_key(), self.spec), *cause, limits=self.limits
+            "aggregates": (E.aggregate_key(), lambda stats: aggregate_records(stats, *cause)),
+            "user_bursts": (F.col("userId"), lambda stats: burst_records(stats, *cause, limits=self.limits)),
+            "merchant_anomalies": (
+                E.merchant_key(),
+                lambda stats: anomaly_records(stats, *cause, limits=self.limits),
             ),
         }
 
@@ -108,6 +118,12 @@ class RiskJob:
         self, spark: SparkSession, available_now: bool = False, only: tuple[str, ...] | None = None
     ) -> dict[str, StreamingQuery]:
         """Start the windowed results, or those named in `only`."""
+        if self.mode == CARRIED:
+            return {
+                name: self._start_carried(spark, name, available_now)
+                for name in self.emitters()
+                if only is None or name in only
+            }
         use_disk_state(spark)
         landed = landed_stream(spark, self.root, self.files_per_batch)
         return {
@@ -116,6 +132,20 @@ class RiskJob:
             if only is None or name in only
         }
 
+    def _start_carried(self, spark: SparkSession, name: str, available_now: bool) -> StreamingQuery:
+        key, finish = self.emitters()[name]
+        return start_emissions(
+            ingested_batches(spark, self.root, self.files_per_batch),
+            landed_batches(self.root),
+            f"{self.root}/state/{name}",
+            f"{self.root}/{name}",
+            self._checkpoint(name),
+            key,
+            self.spec,
+            finish,
+            available_now,
+        )
+
     def _start_result(self, name: str, frame: DataFrame, available_now: bool) -> StreamingQuery:
         folder, checkpoint = f"{self.root}/{name}", self._checkpoint(name)
         if self.mode == CORRECTIONS:
