@@ -78,6 +78,51 @@ def test_literals_of_aligned_long_and_subscripted_names(text, literals):
     assert [text[s:e] for s, e, _ in secrets.literal_spans(text)] == literals
 
 
+SECRET = "kX82hs71Lq0zPw93"
+
+
+@pytest.mark.parametrize(
+    ("text", "literals"),
+    [
+        (f'private_key: str = "{SECRET}"', [SECRET]),
+        (f'let authToken: string = "{SECRET}";', [SECRET]),
+        (f'private_key: Optional[str] = "{SECRET}"', [SECRET]),
+        (f'private_key = """{SECRET}"""', [SECRET]),
+        (f"private_key = '''\n  {SECRET}\n  Zq81mm02Xk3vTr47\n'''", [SECRET, "Zq81mm02Xk3vTr47"]),
+        (f'private_key = f"{SECRET}"\nauth_token = b\'{SECRET}\'', [SECRET, SECRET]),
+        (f"private_key = `{SECRET}`", [SECRET]),
+        (f'private_key = ("{SECRET}")', [SECRET]),
+        (f'private_key = (\n  "kX82hs71"\n  + "Lq0zPw93"\n)', ["kX82hs71", "Lq0zPw93"]),
+        (f'private_key = ["{SECRET}", \'Zq81mm02Xk3vTr47\']', [SECRET, "Zq81mm02Xk3vTr47"]),
+        (f'private_key = os.getenv("PRIVATE_KEY_OF_APP", "{SECRET}")', [SECRET]),
+        (f'private_key = fetch_private_key("https://keys.example.com/a81")', []),
+        (f'a, private_key = 1, "{SECRET}"', [SECRET]),
+        (f'private_key, a = "{SECRET}", "Zq81mm02Xk3vTr47"', [SECRET]),
+        (f'call(a, private_key="{SECRET}")', [SECRET]),
+        (f"private_key: |\n  -----BEGIN KEY-----\n  {SECRET}\n\n  Zq81mm02Xk3vTr47\nother: Vb55nn19Lk2wQp60", [SECRET, "Zq81mm02Xk3vTr47"]),
+        (f"<private_key>{SECRET}</private_key><title>Zq81mm02Xk3vTr47</title>", [SECRET]),
+        (f'cfg["k"] = "{SECRET}"\nprivate_key = cfg["k"]', [SECRET]),
+        (f'cfg["k"] = "{SECRET}"\nother["k"] = "Zq81mm02Xk3vTr47"\nprivate_key = cfg[\'k\']', [SECRET]),
+        (f'cfg.k = "{SECRET}"\nprivate_key = cfg["k"]', [SECRET]),
+        ("passphrase=correcthorsebat", ["correcthorsebat"]),
+        ("f(passphrase=correcthorsebat)", []),
+    ],
+)
+def test_literals_of_source_and_configuration_syntax(text, literals):
+    assert [text[s:e] for s, e, _ in secrets.literal_spans(text)] == literals
+
+
+def test_length_of_bare_words_is_a_parameter():
+    assert secrets.literal_spans("passphrase = correcthorsebat") == []
+    assert secrets.literal_spans("passphrase = correcthorsebat", bare_length=8) == [(13, 28, 3)]
+
+
+@pytest.mark.parametrize("text", ["a=(" * 300_000, "a, " * 300_000 + "= 1", "a: |\n" * 200_000, "a=[" + "'x'," * 300_000, "<a>" * 300_000, 'a["b"]' * 150_000])
+def test_nested_forms_are_read_in_linear_time(text):
+    begin = time.process_time()
+    assert secrets.literal_spans(text) == [] and time.process_time() - begin < 20
+
+
 @pytest.mark.parametrize("text", ["a" * 1_000_000, "1." * 500_000, "a" + " " * 1_000_000, "'" * 500_000, "a = " + " " * 1_000_000, "a b " * 200_000])
 def test_long_runs_are_read_in_linear_time(text):
     begin = time.process_time()
