@@ -277,7 +277,7 @@ def _counted(units: DataFrame, how: Reading) -> DataFrame:
 
 
 def repeated_segments(rows: DataFrame, how: Reading) -> tuple[DataFrame, DataFrame]:
-    """(row, at, seg, spans) of all segments with places that a repeated window covers, and the packed texts."""
+    """(row, at, size, seg, spans) of all segments with places that a repeated window covers, and the packed texts."""
     packed = _packed(rows)
     table = written(_segment_table(rows, how), "segments")
     twice = table.groupBy("anchor").agg(F.sum("times").alias("n")).filter("n > 1").select("anchor")
@@ -294,15 +294,17 @@ def repeated_segments(rows: DataFrame, how: Reading) -> tuple[DataFrame, DataFra
     if not hot.isEmpty():
         found = found.unionByName(_counted(_bodies(packed, hot, how), how))
     found = written(found, "found")
-    return shared.join(found, ["anchor", "seg"]).select("row", "at", "seg", "spans"), packed
+    return shared.join(found, ["anchor", "seg"]).select("row", "at", "size", "seg", "spans"), packed
 
 
-def covered(n: int, hits: list[dict]) -> np.ndarray:
-    """Which of n symbols the hits of a text cover."""
+def covered(symbols: Symbols, hits: list[dict]) -> np.ndarray:
+    """Which symbols of a text its hits cover."""
+    n = len(symbols.hashes)
     steps = np.zeros(n + 1, dtype=np.int64)
     for hit in hits:
-        spans = hit["spans"]
-        if hit["at"] + spans[-1] <= n:  # else the hit is of another text that shares the row's hash
+        at, size, spans = hit["at"], hit["size"], hit["spans"]
+        # another text may share the row's hash, but then the segment does not stand here
+        if at + size <= n and xxhash.xxh3_64_intdigest(symbols.cut(at, size)) == hit["seg"] % (1 << 64):
             for s, e in zip(spans[::2], spans[1::2], strict=True):
                 steps[hit["at"] + s] += 1
                 steps[hit["at"] + e] -= 1
@@ -316,14 +318,15 @@ def without_repeats(
     """One row per input row: doc_id and what `finish` makes of a text and the mask of its covered symbols."""
     rows = _sized(docs, doc_id, text)
     hits, packed = repeated_segments(rows, how)
-    listed = hits.groupBy("row").agg(F.collect_set(F.struct("at", "spans")).alias("list"))
+    listed = hits.groupBy("row").agg(F.collect_set(F.struct("at", "size", "seg", "spans")).alias("list"))
     schema = pa.schema([pa.field("doc_id", pa.int64()), *arrow])
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, unpack = Rows(schema), zstandard.ZstdDecompressor()
         for key, body, asked in rows_of(batches, 16):
             text = unpack.decompress(body)
-            rows.add((key, *finish(text, covered(how.count(text), asked or []))), len(text))
+            mask = covered(how.read(text), asked) if asked else np.zeros(how.count(text), dtype=bool)
+            rows.add((key, *finish(text, mask)), len(text))
             if rows.full():
                 yield rows.take()
         yield rows.take()

@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from riskstream.llm import bytespans, passages, substring
 
@@ -133,6 +134,18 @@ def test_all_documents(spark, sf_dir):
     assert Counter(map(tuple, bytespans.bytespan_digest(bytespans.remove_repeats(table)).collect())) == expected_bytes(texts, 400)
 
 
+def test_texts_that_share_a_row_hash_keep_their_own_words(spark, monkeypatch):
+    rng = random.Random(4)
+    some = lambda n: " ".join(f"w{rng.randrange(10_000)}" for _ in range(n))
+    shared = some(90)
+    texts = [(1, f"{some(20)} {shared}"), (2, f"{shared} {some(30)}"), (3, some(200)), (4, some(120)), (5, shared), (6, "")]
+    sized = passages._sized
+    monkeypatch.setattr(passages, "_sized", lambda *a: sized(*a).withColumn("row", F.lit(7).cast("long")))
+    table = spark.createDataFrame(texts, "doc_id long, text string")
+    assert Counter(map(tuple, substring.substring_digest(substring.remove_repeats(table)).collect())) == expected_words(texts, 35)
+    assert Counter(map(tuple, bytespans.bytespan_digest(bytespans.remove_repeats(table)).collect())) == expected_bytes(texts, 400)
+
+
 def test_empty(no_docs):
     assert substring.remove_repeats(no_docs).count() == 0
     assert bytespans.remove_repeats(no_docs).count() == 0
