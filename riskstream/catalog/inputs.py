@@ -53,11 +53,17 @@ def transaction_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transactions_from_events(stream).drop("event_id")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A small file comes as one partition, and would be parsed by one task.
-    Tables with a partition per core, as any large one has, stay as they are."""
+#: Events per task at most, once they are spread; as JSON records they are some 20 times the table's bytes.
+ROWS_PER_TASK = 250_000
+
+
+def spread(df: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """A small file comes as one partition, and would be parsed by one task. Partitions
+    are split by compressed bytes, so a large table has too few for the records made
+    of it: there are a partition per core at least, and one per `rows_per_task` rows."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    wanted = max(cores, -(-df.count() // rows_per_task))
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
 
 
 def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
