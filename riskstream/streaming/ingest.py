@@ -41,6 +41,8 @@ LANDED_SCHEMA = T.StructType(
         T.StructField("batch_id", T.LongType()),
     ]
 )
+#: Records of a micro-batch per task at most when it is parsed; file splits count compressed bytes.
+RECORDS_PER_TASK = 250_000
 PROGRESS_SCHEMA = (
     "topic string, partition int, low bigint, high bigint, records bigint, rejected bigint, late bigint, highest bigint, watermark bigint"
 )
@@ -73,6 +75,13 @@ def batch_progress(parsed: DataFrame, before: Column, spec: WindowSpec = MINUTE)
     return parts.unionByName(whole)
 
 
+def spread_batch(frame: DataFrame, records_per_task: int = RECORDS_PER_TASK) -> DataFrame:
+    """A micro-batch in a partition per core at least, and one per `records_per_task` records."""
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    wanted = max(cores, -(-frame.count() // records_per_task))
+    return frame.repartition(wanted) if frame.rdd.getNumPartitions() < wanted else frame
+
+
 def start_ingest(
     log: DataFrame,
     root: str,
@@ -95,7 +104,7 @@ def start_ingest(
         if batch_id > 0:
             last = spark.read.schema(PROGRESS_SCHEMA).parquet(folder(PROGRESS, batch_id - 1)).filter("topic IS NULL").first()
             before = F.lit(last.highest).cast("bigint")
-        parsed = parse_transactions(frame).persist()
+        parsed = parse_transactions(spread_batch(frame)).persist()
         try:
             valid = valid_transactions(parsed).withColumn("watermark", watermark_after(before, spec))
             late = late_records(late_events(valid, spec), observed_at, topics)
