@@ -32,6 +32,8 @@ SCALE = 2_000_000
 BITS = 26
 #: Different phrases that a task counts before it gives them out.
 HELD = 400_000
+#: Different phrases of a chunk that are added to the counts before the task may give them out.
+STEP = 50_000
 #: Groups of phrases that are ranked apart before the best of each are ranked together.
 RANKED_APART = 64
 
@@ -111,8 +113,11 @@ def _survivors(threshold: int):
     return answer
 
 
-def _count(chunk: Words, places: list[np.ndarray], alive: np.ndarray, counts: dict[str, dict[bytes, int]]) -> None:
-    """Add the phrases that are alive, told apart by their words, to the counts of their language."""
+def _count(chunk: Words, places: list[np.ndarray], alive: np.ndarray, counts: dict[str, dict[bytes, int]]) -> Iterator[None]:
+    """Add the phrases that are alive, told apart by their words, to the counts of their language.
+
+    Stops after every STEP of them, so that the caller may give out and clear the counts before a chunk is done.
+    """
     names = list(dict.fromkeys(chunk.tags))
     number = {t: i for i, t in enumerate(names)}
     chunk.number()
@@ -126,12 +131,15 @@ def _count(chunk: Words, places: list[np.ndarray], alive: np.ndarray, counts: di
             same = np.unique(same, return_inverse=True)[1] * width + symbols[at + i]
         _, first, times = np.unique(same, return_index=True, return_counts=True)
         first = at[first]
-        for i, name in enumerate(names):
-            chosen = lang[first] == i
-            own = counts.setdefault(name, {})
-            for place, n in zip(first[chosen].tolist(), times[chosen].tolist(), strict=True):
-                phrase = b" ".join(words[place : place + length])
-                own[phrase] = own.get(phrase, 0) + n
+        for start in range(0, len(first), STEP):
+            some, often = first[start : start + STEP], times[start : start + STEP]
+            for i, name in enumerate(names):
+                chosen = lang[some] == i
+                own = counts.setdefault(name, {})
+                for place, n in zip(some[chosen].tolist(), often[chosen].tolist(), strict=True):
+                    phrase = b" ".join(words[place : place + length])
+                    own[phrase] = own.get(phrase, 0) + n
+            yield
 
 
 def phrase_counts(
@@ -167,9 +175,9 @@ def phrase_counts(
             alive = kept[near] == code if len(kept) else np.zeros(len(code), dtype=bool)
             for i, n in zip(*np.unique(own.owner[places[0]], return_counts=True), strict=True):
                 totals[own.tags[i]] = totals.get(own.tags[i], 0) + int(n)
-            _count(own, places, alive, counts)
-            if sum(map(len, counts.values())) > HELD:
-                yield from held()
+            for _ in _count(own, places, alive, counts):
+                if sum(map(len, counts.values())) > HELD:
+                    yield from held()
         yield from held()
         out = Rows(schema)
         for name, n in totals.items():

@@ -108,3 +108,18 @@ def test_scores_beyond_64_bits(spark, monkeypatch):
 
 def test_equals_sql(spark, sf_dir):
     assert differences(QUERIES["op12_collocations"](spark, sf_dir), connect(sf_dir), ORACLE["op12_collocations"]) is None
+
+
+def test_counts_are_given_out_within_a_chunk(monkeypatch):
+    monkeypatch.setattr(collocations, "STEP", 7)
+    words = [f"w{i % 97}".encode() for i in range(3000)]
+    chunk = grams.Words(["en"], np.array([len(words)]), 0, words)
+    places, keys = collocations._phrase_keys(chunk)
+    counts, total, most = {}, Counter(), 0
+    for _ in collocations._count(chunk, places, np.ones(len(keys), dtype=bool), counts):
+        most = max(most, sum(map(len, counts.values())))
+        total.update(counts.get("en", {}))
+        counts.clear()
+    assert most <= 7
+    expect = Counter(b" ".join(words[i : i + k]) for k in range(1, 5) for i in range(len(words) - k + 1))
+    assert total == expect
