@@ -6,14 +6,19 @@ late rows, as `ingest` lands them; results equal those of
 into micro-batches.
 
 Rows that came before the close only add up, so each task sums them per key and
-window before the shuffle; a hot key arrives as a few rows. State is kept per key
-and window. Needs the RocksDB state store.
+window before the shuffle; a hot key arrives as a few rows. Every call to the state
+store is a message to Spark, which takes longer than a sum, so keys are hashed into
+KEY_BUCKETS buckets, and state and timers are kept per bucket and window. Spark hands
+rows to a processor cell by cell, so the values of a row travel as one. Needs the
+RocksDB state store.
 """
 
 from __future__ import annotations
 
 import decimal
+import pickle
 import sys
+from collections import namedtuple
 from collections.abc import Iterator
 from typing import Any
 
@@ -33,7 +38,8 @@ from riskstream.operators.late import is_closed, window_start
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
+#: Buckets of keys. A task holds the keys of one bucket and window at a time; a checkpoint keeps its number of buckets.
+KEY_BUCKETS = 256
 
 
 def use_disk_state(spark: SparkSession) -> None:
@@ -46,11 +52,15 @@ def use_disk_state(spark: SparkSession) -> None:
 _STATS = f"eventCount bigint, amountExact {S.TOTAL}, amountOdd double, scoreExact {S.TOTAL}, scoreOdd double, maxFraudScore double"
 S_BITS, S_LIMBS = S.LIMB_BITS, S.FAR_LIMBS  # plain numbers, which go to executors with this module
 _DIGITS = 38  # of decimal sums, as in Spark
-_PARTIAL = (
-    f"key string, windowStart bigint, closed boolean, batch_id bigint, partition int, offset bigint, "
-    f"event_ts timestamp, eventId string, {_STATS}, amountFar double, scoreFar double"
+_PARTIAL = "bucket int, windowStart bigint, event_ts timestamp, packed binary"
+_VALUES = [
+    "key", "closed", "batch_id", "partition", "offset", "eventId", "eventCount", *PARTS, "maxFraudScore", "amountFar", "scoreFar",
+]
+Partial = namedtuple("Partial", _VALUES)
+_STATE = (
+    f"keys array<struct<key string, {_STATS}, batch_id bigint, partition int, offset bigint, "
+    "sampleEventId string, amountFar string, scoreFar string, fired boolean>>"
 )
-_STATE = f"{_STATS}, batch_id bigint, partition int, offset bigint, sampleEventId string, amountFar string, scoreFar string, fired boolean"
 _LIMBS = "array<decimal(38,0)>"
 _OUTPUT = (
     f"key string, windowStart bigint, {_STATS}, amountFar {_LIMBS}, scoreFar {_LIMBS}, sampleEventId string, kind string, "
@@ -61,14 +71,16 @@ _OUTPUT = (
 def _sum_open_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Per Arrow batch: open rows summed per key and window, closed rows as they are.
     Rows with a value that is null, not finite or far stay single too, because pandas
-    would leave it out of a sum, or round it."""
+    would leave it out of a sum, or round it; so do those that are alone with their key."""
     decimal.getcontext().prec = _DIGITS
-    order = ["batch_id", "partition", "offset"]
+    order, group = ["batch_id", "partition", "offset"], ["key", "windowStart"]
     for rows in batches:
         single = rows["closed"] | rows["amountExact"].isna() | rows["scoreExact"].isna()
         single |= rows["amountFar"].notna() | rows["scoreFar"].notna()
+        single |= ~rows[~single].duplicated(group, keep=False).reindex(rows.index, fill_value=False)
         open_rows = rows[~single].sort_values(order)
-        summed = open_rows.groupby(["key", "windowStart"], as_index=False, sort=False).agg(
+        summed = open_rows.groupby(group, as_index=False, sort=False, dropna=False).agg(
+            bucket=("bucket", "first"),
             closed=("closed", "first"),
             batch_id=("batch_id", "first"),
             partition=("partition", "first"),
@@ -84,8 +96,15 @@ def _sum_open_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             amountFar=("amountFar", "first"),
             scoreFar=("scoreFar", "first"),
         )
-        yield summed[list(rows.columns)]
-        yield rows[single]
+        yield _packed(summed)
+        yield _packed(rows[single])
+
+
+def _packed(rows: pd.DataFrame) -> pd.DataFrame:
+    """The columns of _PARTIAL, with the rest as one value that `Partial` is made of."""
+    plain = rows[_VALUES].astype(object).where(rows[_VALUES].notna(), None)
+    packed = [pickle.dumps(values) for values in plain.itertuples(index=False, name=None)]
+    return rows[["bucket", "windowStart", "event_ts"]].assign(packed=pd.Series(packed, index=rows.index, dtype=object))
 
 
 def _greater(a: float, b: float) -> float:
@@ -112,7 +131,7 @@ def _limbs(digits: str | None) -> list[decimal.Decimal] | None:
 
 
 class WindowEmitter(StatefulProcessor):
-    """State of one key and window, and what it emits.
+    """State of the keys of one bucket and window, and what they emit.
 
     Spark's watermark trails the newest event by the whole life of a window, so
     that Spark itself never drops a row that is in time. The timers are set on
@@ -126,42 +145,58 @@ class WindowEmitter(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         decimal.getcontext().prec = _DIGITS
         self._handle = handle
-        self._state = handle.getValueState("window", _STATE)
+        self._state = handle.getValueState("windows", _STATE)
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        name, start = key
-        new = not self._state.exists()
-        stats = None if new else tuple(self._state.get())
+        _, start = key
+        known = self._load()
+        new = known is None
+        windows = {} if new else known
         after = []
-        for row in rows:
+        for given in rows:
+            row = Partial(*pickle.loads(given.packed))
             if row.closed:
                 after.append(row)
             else:
-                stats = self._add(stats, row, fired=False)
+                windows[row.key] = self._add(windows.get(row.key), row, fired=False)
+        waiting = new or any(not stats[-1] for stats in windows.values())
         for row in sorted(after, key=lambda r: (r.batch_id, r.partition, r.offset)):
+            stats = windows.get(row.key)
             if stats is not None and not stats[-1]:
-                yield self._emit(name, start, stats, FIRE, (-1, -1, -1))
-            stats = self._add(stats, row, fired=True)
-            yield self._emit(name, start, stats, REFIRE, (row.batch_id, row.partition, row.offset))
-        self._state.update(stats)
-        if new:
+                yield self._emit(row.key, start, stats, FIRE, (-1, -1, -1))
+            windows[row.key] = stats = self._add(stats, row, fired=True)
+            yield self._emit(row.key, start, stats, REFIRE, (row.batch_id, row.partition, row.offset))
+        self._save(windows)
+        if waiting:  # a timer that has gone off is set again for keys that came after it
             self._handle.registerTimer(start - self._lateness_ms)
+        if new:
             self._handle.registerTimer(start)
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
-        name, start = key
-        stats = tuple(self._state.get()) if self._state.exists() else None
-        if stats is not None and not stats[-1]:
-            yield self._emit(name, start, stats, FIRE, (-1, -1, -1))
-            self._state.update((*stats[:-1], True))
+        _, start = key
+        windows = self._load() or {}
+        waiting = [name for name, stats in windows.items() if not stats[-1]]
+        for name in waiting:
+            yield self._emit(name, start, windows[name], FIRE, (-1, -1, -1))
+            windows[name] = (*windows[name][:-1], True)
         if expiredTimerInfo.getExpiryTimeInMs() >= start:
             self._state.clear()
+        elif waiting:
+            self._save(windows)
+
+    def _load(self) -> dict[str | None, tuple] | None:
+        """Key → its statistics; None if the bucket has no state."""
+        found = self._state.get()
+        return None if found is None else {name: tuple(stats) for name, *stats in found[0]}
+
+    def _save(self, windows: dict[str | None, tuple]) -> None:
+        self._state.update(([(name, *stats) for name, stats in windows.items()],))
 
     def close(self) -> None:
         pass
 
     @staticmethod
-    def _add(stats: tuple | None, row: Row, fired: bool) -> tuple:
+    def _add(stats: tuple | None, row: Partial, fired: bool) -> tuple:
         place = (row.batch_id, row.partition, row.offset)
         if stats is None:
             return (
@@ -205,6 +240,7 @@ class WindowEmitter(StatefulProcessor):
 def exact_emissions(stamped: DataFrame, key: Column, spec: WindowSpec = MINUTE) -> DataFrame:
     """Statistics per emission, in the columns of `emissions.window_emissions`."""
     rows = stamped.select(
+        F.pmod(F.hash(key), F.lit(KEY_BUCKETS)).alias("bucket"),
         key.alias("key"),
         window_start(spec).alias("windowStart"),
         is_closed(spec).alias("closed"),
@@ -222,7 +258,7 @@ def exact_emissions(stamped: DataFrame, key: Column, spec: WindowSpec = MINUTE)
     emitted = (
         rows.mapInPandas(_sum_open_rows, _PARTIAL)
         .withWatermark("event_ts", f"{life} milliseconds")
-        .groupBy("key", "windowStart")
+        .groupBy("bucket", "windowStart")
         .transformWithState(
             statefulProcessor=WindowEmitter(spec.allowed_lateness_ms),
             outputStructType=T._parse_datatype_string(_OUTPUT),

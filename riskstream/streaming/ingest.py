@@ -11,7 +11,8 @@ Each micro-batch is parsed, then written as folders under `root`:
 
 The watermark of a batch is made of earlier batches only, so a retried batch gets
 the same one. A folder appears when all of it is written, and is never written
-again, so its readers count every row once.
+again, so its readers count every row once. Landed rows are a file per RECORDS_PER_TASK
+records, so a small batch is one file, which a stream of landed files reads whole.
 """
 
 from __future__ import annotations
@@ -112,7 +113,8 @@ def start_ingest(
             write_once(rejected.unionByName(late), folder(QUARANTINE))
             write_once(high_risk_alerts(valid, limits), folder(ALERTS))
             landed = [f.name for f in LANDED_SCHEMA.fields if f.name != "batch_id"]
-            write_once(events_in_time(valid, spec).select(*landed), folder(LANDED))
+            files = max(1, -(-parsed.count() // RECORDS_PER_TASK))
+            write_once(events_in_time(valid, spec).select(*landed).coalesce(files), folder(LANDED))
             write_once(batch_progress(parsed, before, spec).coalesce(1), folder(PROGRESS))
         finally:
             parsed.unpersist()

@@ -1,9 +1,14 @@
 """Streams fed in known batches, compared with the batch operators."""
 
 import json
+import pickle
 import tempfile
+from decimal import Decimal
+from types import SimpleNamespace
 
+import pandas as pd
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 from test_late import SPEC, account, make_rows, rounded
 
@@ -330,3 +335,93 @@ def test_progress_of_an_earlier_layout(spark):
     run(job.start_ingest(logs.file_stream(spark, source), observed_at=77, available_now=True))
     last = job.progress(spark).filter("topic IS NULL AND batch_id = 1").first()
     assert (last.watermark, last.highest) == (highest - SPEC.out_of_orderness_ms - 1, max(r["eventTime"] for r in rows))
+
+
+def test_exact_mode_keeps_the_keys_of_a_bucket_in_one_state(spark):
+    """Many keys of a window cost as many calls to the state as one, and each gives its own results."""
+    calls, kept = [], {}
+
+    class Handle:
+        def getValueState(self, name, schema):
+            return self
+
+        def exists(self):
+            calls.append("exists")
+            return "value" in kept
+
+        def get(self):
+            calls.append("get")
+            return kept.get("value")
+
+        def update(self, value):
+            calls.append("update")
+            kept["value"] = value
+
+        def clear(self):
+            calls.append("clear")
+            kept.clear()
+
+        def registerTimer(self, at):
+            calls.append("timer")
+
+    def given(key, closed, offset):
+        values = (key, closed, 0, 0, offset, f"e{offset}", 1, Decimal("1.5"), None, Decimal("0.5"), None, 0.5, None, None)
+        return Row(bucket=7, windowStart=60_000, event_ts=None, packed=pickle.dumps(values))
+
+    emitter = exact.WindowEmitter(30_000)
+    emitter.init(Handle())
+    first = [given(f"u{i}", False, i) for i in range(500)] + [given("u3", True, 1_000), given("u3", True, 900)]
+    out = list(emitter.handleInputRows((7, 60_000), iter(first), None))
+    assert [(r.key, r.kind, r.eventCount, r.offset, r.sampleEventId) for r in out] == [
+        ("u3", "FIRE", 1, -1, "e3"), ("u3", "REFIRE", 2, 900, "e3"), ("u3", "REFIRE", 3, 1_000, "e3"),
+    ]
+    assert len(calls) <= 5
+
+    expired = lambda at: SimpleNamespace(getExpiryTimeInMs=lambda: at)
+    fired = list(emitter.handleExpiredTimer((7, 60_000), None, expired(30_000)))
+    assert sorted(r.key for r in fired) == sorted({f"u{i}" for i in range(500)} - {"u3"}) and {r.kind for r in fired} == {"FIRE"}
+    late_key = list(emitter.handleInputRows((7, 60_000), iter([given("u500", True, 1_001), given("u8", True, 1_002)]), None))
+    assert [(r.key, r.kind, r.eventCount, r.amountExact) for r in late_key] == [
+        ("u500", "REFIRE", 1, Decimal("1.5")), ("u8", "REFIRE", 2, Decimal("3.0")),
+    ]
+    assert list(emitter.handleExpiredTimer((7, 60_000), None, expired(60_000))) == [] and not kept
+    assert len(calls) <= 12
+
+
+def test_exact_mode_sums_rows_of_a_key_before_the_shuffle(spark):
+    at = pd.Timestamp("2024-01-01")
+
+    def row(key, offset, closed=False, amount="1.5"):
+        plain = dict(bucket=1, key=key, windowStart=0, closed=closed, batch_id=0, partition=0, offset=offset, event_ts=at, eventId=f"e{offset}", eventCount=1)
+        return dict(
+            plain, amountExact=amount and Decimal(amount), amountOdd=None, scoreExact=Decimal("0.5"), scoreOdd=None,
+            maxFraudScore=offset / 10, amountFar=None, scoreFar=None,
+        )
+
+    rows = [row("a", 5), row("b", 1), row("a", 2), row("a", 3, closed=True), row("a", 4, amount=None)]
+    frame = pd.DataFrame(rows).astype({"amountOdd": float, "scoreOdd": float, "amountFar": float, "scoreFar": float})
+    got = [exact.Partial(*pickle.loads(p)) for part in exact._sum_open_rows(iter([frame])) for p in part["packed"]]
+    assert sorted((p.key, p.closed, p.offset, p.eventCount, p.amountExact, p.maxFraudScore) for p in got if p.amountExact is not None) == [
+        ("a", False, 2, 2, Decimal("3.0"), 0.5), ("a", True, 3, 1, Decimal("1.5"), 0.3), ("b", False, 1, 1, Decimal("1.5"), 0.1),
+    ]
+    assert [(p.offset, p.amountOdd, p.amountFar) for p in got if p.amountExact is None] == [(4, None, None)]
+
+
+def test_exact_mode_with_more_keys_than_buckets(spark, monkeypatch):
+    """Keys that share a bucket, over several micro-batches."""
+    monkeypatch.setattr(exact, "KEY_BUCKETS", 2)
+    exact.use_disk_state(spark)
+    rows, source, folder = make_rows(3, count=120, per_batch=30, keys=12, step=6_000), scratch("source"), scratch("exact")
+    write_batches(spark, rows, source)
+    job = RiskJob(scratch("job"), SPEC)
+    run(job.start_ingest(logs.file_stream(spark, source, files_per_batch=1), observed_at=77, available_now=True))
+    results = exact.exact_emissions(ingest.landed_stream(spark, job.root, 1), F.col("userId"), SPEC)
+    run(sinks.start_file_sink(results, f"{folder}/out", f"{folder}/checkpoint", available_now=True))
+    assert rounded(stats_of(spark.read.parquet(f"{folder}/out"))) == rounded(account(rows)[0])
+
+
+def test_small_batches_land_as_one_file(spark, ingested):
+    """A stream that takes a number of landed files at a time takes whole batches, as the results of windows need."""
+    _, _, job = ingested
+    for batch in range(12):
+        assert len(spark.read.parquet(f"{job.root}/{ingest.LANDED}/batch_id={batch}").inputFiles()) <= 1
