@@ -77,9 +77,10 @@ def _sum_open_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for rows in batches:
         single = rows["closed"] | rows["amountExact"].isna() | rows["scoreExact"].isna()
         single |= rows["amountFar"].notna() | rows["scoreFar"].notna()
-        single |= ~rows[~single].duplicated(group, keep=False).reindex(rows.index, fill_value=False)
+        keyed = rows[group].notna().all(axis=1)  # open rows without a key or a window are in no sum
+        single |= keyed & ~rows[~single].duplicated(group, keep=False).reindex(rows.index, fill_value=True)
         open_rows = rows[~single].sort_values(order)
-        summed = open_rows.groupby(group, as_index=False, sort=False, dropna=False).agg(
+        summed = open_rows.groupby(group, as_index=False, sort=False).agg(
             bucket=("bucket", "first"),
             closed=("closed", "first"),
             batch_id=("batch_id", "first"),

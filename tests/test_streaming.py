@@ -399,6 +399,7 @@ def test_exact_mode_sums_rows_of_a_key_before_the_shuffle(spark):
         )
 
     rows = [row("a", 5), row("b", 1), row("a", 2), row("a", 3, closed=True), row("a", 4, amount=None)]
+    rows += [row(None, 6), row(None, 7), row(None, 8) | {"windowStart": None}, row("c", 9) | {"windowStart": None}]  # in no window
     frame = pd.DataFrame(rows).astype({"amountOdd": float, "scoreOdd": float, "amountFar": float, "scoreFar": float})
     got = [exact.Partial(*pickle.loads(p)) for part in exact._sum_open_rows(iter([frame])) for p in part["packed"]]
     assert sorted((p.key, p.closed, p.offset, p.eventCount, p.amountExact, p.maxFraudScore) for p in got if p.amountExact is not None) == [
